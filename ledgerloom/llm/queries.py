@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..session import table
-from . import mentions, oneform, refine
+from ..session import settle, table
+from . import mentions, mixing, oneform, packing, reading, refine
+from .tokens import sized
 
 
 def p1_found(spark: SparkSession, sf: str) -> DataFrame:
@@ -42,7 +43,36 @@ def p5_collapsed(spark: SparkSession, sf: str) -> DataFrame:
     return refine.collapsed(table(spark, sf, "norm_tables"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_question_forms, p1_table_forms, p3_found, p3_named, p5_found, p5_collapsed)}
+def p7_windows(spark: SparkSession, sf: str) -> DataFrame:
+    return packing.windows(sized(table(spark, sf, "documents")), table(spark, sf, "pack_sizes"))
+
+
+def p7_fill(spark: SparkSession, sf: str) -> DataFrame:
+    return packing.fill(p7_windows(spark, sf), table(spark, sf, "pack_sizes"))
+
+
+def p8_mixture(spark: SparkSession, sf: str) -> DataFrame:
+    return mixing.mixture(sized(table(spark, sf, "documents"), ("source",)), table(spark, sf, "mix_targets"))
+
+
+def p8_shares(spark: SparkSession, sf: str) -> DataFrame:
+    targets = table(spark, sf, "mix_targets")
+    sizes = settle(sized(table(spark, sf, "documents"), ("source",)))
+    return mixing.shares(mixing.mixture(sizes, targets), mixing.plan(sizes, targets))
+
+
+def p9_found(spark: SparkSession, sf: str) -> DataFrame:
+    return reading.reading_levels(table(spark, sf, "documents"), table(spark, sf, "level_samples")).select("doc_id", "level")
+
+
+def p9_profile(spark: SparkSession, sf: str) -> DataFrame:
+    return reading.reading_levels(table(spark, sf, "documents"), table(spark, sf, "level_samples"))
+
+
+_ALL = (
+    p1_found, p1_question_forms, p1_table_forms, p3_found, p3_named, p5_found, p5_collapsed, p7_windows, p7_fill, p8_mixture, p8_shares, p9_found, p9_profile,
+)
+QUERIES = {f.__name__: f for f in _ALL}
 
 _TIDY = r"regexp_replace(lower(coalesce({}, '')), '[\s\p{{Z}}\p{{P}}]+', '', 'g')"
 _P5 = f"""
