@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.text import fold, number, tokens
 from .extract import strip
-from .scope import RATIOS, TICKER, years, variant
+from .scope import RATIOS, code_words, variant, years
 
 # Fixed values.
 LINK_STOP = tuple("là của và các những bao nhiêu công ty năm trong tại vào cuối đầu".split())
@@ -26,7 +26,7 @@ def family(question: Column, available: Column | None = None) -> Column:
     """Shape of a question by ordered rules; available: array of tickers among its tables."""
     q = F.lower(F.coalesce(question, F.lit("")))
     said = lambda words: F.greatest(*[q.contains(w) for w in words])
-    codes = F.array_distinct(F.regexp_extract_all(F.coalesce(question, F.lit("")), F.lit(f"({TICKER})"), 1))
+    codes = code_words(question)
     several = F.lit(False) if available is None else F.size(F.filter(F.array_intersect(codes, available), lambda t: ~t.isin(*NOT_TICKERS))) > 1
     out = F.when(several, "cross_company_comparison").when(said(COMPARISON_WORDS), "comparison").otherwise("direct_lookup")
     for name, words in reversed(FAMILIES):
@@ -63,15 +63,27 @@ def variant_conflict(table_variant: Column, asked: Column) -> Column:
 
 
 def value_cells(tables: DataFrame) -> DataFrame:
-    """Numeric cells of value columns in labelled rows: table_key, row and column index, row_label, column_header, raw_value, numeric_value, and the table's ticker, year, variant, identity."""
-    paths = F.map_from_entries(F.array_distinct(F.transform(F.coalesce("column_metadata", F.array().cast(tables.schema["column_metadata"].dataType)), lambda m: F.struct(m["column_index"], m["header_path"]))))
-    t = tables.filter(F.size("grid") > 0).select("table_key", "ticker", "year", "variant", "table_identity", "grid", paths.alias("paths"), F.explode("row_labels").alias("l"))
-    cells = t.select("table_key", "ticker", "year", "variant", "table_identity", "grid", "paths", F.col("l.row_index").alias("row_index"), F.col("l.label").alias("row_label"), F.posexplode(F.get("grid", F.col("l.row_index"))).alias("column_index", "raw_value"))
-    header = F.coalesce(F.substring(strip(F.get(F.get("grid", F.lit(0)), F.col("column_index"))), 1, 160), F.lit(""))
-    path = F.try_element_at("paths", F.col("column_index"))
-    cells = cells.withColumn("column_header", header).withColumn("header_path", F.when(path.isNull() | (path == ""), header).otherwise(path))
-    cells = cells.withColumn("numeric_value", number(F.col("raw_value"))).filter(F.col("numeric_value").isNotNull())
-    return cells.filter(is_value_column(F.col("column_index"), F.col("header_path"))).drop("grid", "paths", "header_path")
+    """Numeric cells of value columns in labelled rows: table_key, row and column index, row_label, column_header, raw_value, numeric_value, and the table's ticker, year, variant, identity.
+
+    Headers and roles are worked out once per column and labels once per row, before any cell is exploded.
+    """
+    empty = lambda c: F.array().cast(tables.schema[c].dataType)
+    paths = F.map_from_entries(F.array_distinct(F.transform(F.coalesce("column_metadata", empty("column_metadata")), lambda m: F.struct(m["column_index"], m["header_path"]))))
+    labels = F.map_from_entries(F.transform(F.coalesce("row_labels", empty("row_labels")), lambda m: F.struct(m["row_index"], m["label"])))
+    about = ["table_key", "ticker", "year", "variant", "table_identity"]
+    t = tables.filter(F.size("grid") > 0).select(*about, "grid", paths.alias("paths"), labels.alias("labels"))
+    width = F.aggregate("grid", F.lit(0), lambda m, r: F.greatest(m, F.size(r)))
+
+    def column(i):
+        header = F.coalesce(F.substring(strip(F.get(F.get("grid", F.lit(0)), i)), 1, 160), F.lit(""))
+        path = F.try_element_at("paths", i)
+        return F.struct(header.alias("h"), is_value_column(i, F.when(path.isNull() | (path == ""), header).otherwise(path)).alias("ok"))
+
+    t = t.withColumn("cols", F.transform(F.sequence(F.lit(0), F.greatest(width - 1, F.lit(0))), column))
+    rows = t.select(*about, "labels", "cols", F.posexplode("grid").alias("row_index", "row")).withColumn("row_label", F.try_element_at("labels", F.col("row_index"))).filter("row_label is not null")
+    kept = F.filter(F.transform("row", lambda v, i: F.struct(i.alias("column_index"), v.alias("raw_value"), F.get("cols", i).alias("c"))), lambda s: s["c"]["ok"])
+    cells = rows.select(*about, "row_index", "row_label", F.explode(kept).alias("s")).select(*about, "row_index", "row_label", "s.column_index", F.col("s.c.h").alias("column_header"), "s.raw_value")
+    return cells.withColumn("numeric_value", number(F.col("raw_value"))).filter(F.col("numeric_value").isNotNull())
 
 
 def operands(questions: DataFrame, pairs: DataFrame, cells: DataFrame) -> DataFrame:

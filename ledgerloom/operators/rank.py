@@ -15,21 +15,33 @@ MAX_QUERIES = 20_000
 RELATED = "bên liên quan"
 
 
-def label_overlap(question: Column, labels: Column, stop: tuple[str, ...] = STOP_WORDS) -> Column:
-    """Largest Jaccard overlap of the question's tokens with those of one label; 0 where either is empty."""
-    q = F.array_distinct(tokens(question, stop))
-    sims = F.transform(
-        F.coalesce(labels, F.array().cast("array<string>")),
-        lambda s: (lambda t: F.coalesce(F.try_divide(F.size(F.array_intersect(q, t)), F.size(F.array_union(q, t))), F.lit(0.0)))(F.array_distinct(tokens(s, stop))),
-    )
-    return F.coalesce(F.array_max(sims), F.lit(0.0))
+def token_set(text: Column, stop: tuple[str, ...] = STOP_WORDS) -> Column:
+    return F.array_distinct(tokens(text, stop))
+
+
+def label_sets(labels: Column, stop: tuple[str, ...] = STOP_WORDS) -> Column:
+    """Distinct tokens of each label; null labels count as none."""
+    return F.transform(F.coalesce(labels, F.array().cast("array<string>")), lambda s: token_set(s, stop))
+
+
+def label_overlap(q: Column, sets: Column) -> Column:
+    """Largest Jaccard overlap of the question's token set with one label's; 0 where either is empty."""
+
+    def one(t):
+        both = F.size(F.array_intersect(q, t))
+        return F.coalesce(F.try_divide(both, F.size(q) + F.size(t) - both), F.lit(0.0))
+
+    return F.coalesce(F.array_max(F.transform(sets, one)), F.lit(0.0))
 
 
 def reranked(scored: DataFrame, question: str = "question", weight: float = LABEL_WEIGHT, bonus: float = SECTION_BONUS, penalty: float = RELATED_PENALTY) -> DataFrame:
-    """scored (with question, labels, section, identity) with score + label overlap, section bonus and related-party penalty."""
+    """scored (with question, q_set, label_sets, section, identity) with score + label overlap, section bonus and related-party penalty.
+
+    q_set and label_sets are token sets, worked out once per question and once per table, before they meet.
+    """
     asked = F.lower(F.col(question)).contains(RELATED)
     related = (F.col("section") == "notes") & F.lower(F.coalesce("identity", F.lit(""))).contains(RELATED) & ~asked
-    extra = weight * label_overlap(F.col(question), F.col("labels")) + F.when(F.col("section").isin(*PRIMARY), bonus).otherwise(0.0) - F.when(related, penalty).otherwise(0.0)
+    extra = weight * label_overlap(F.col("q_set"), F.col("label_sets")) + F.when(F.col("section").isin(*PRIMARY), bonus).otherwise(0.0) - F.when(related, penalty).otherwise(0.0)
     return scored.withColumn("score", F.col("score") + extra)
 
 

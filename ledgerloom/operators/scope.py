@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..functions.text import fold, tokens
+from ..functions.text import WORD, fold, tokens
 from .index import STOP_WORDS
 
 # Vocabularies of scope resolution.
-TICKER = r"\b(?=[A-Z0-9]*[A-Z])[A-Z0-9]{2,5}\b"
+TICKER = r"^(?=.*[A-Z])[A-Z0-9]{2,5}$"
 NOT_TICKERS = ("BCTC", "CTCP", "TMCP", "TCT", "TNHH", "VND")
 NAME_NOISE = ("công", "ty", "cổ", "phần", "tổng", "ngân", "hàng")
 PHRASE_NOISE = (*NAME_NOISE, "ctcp", "tmcp", "tct", "tnhh", "tập", "đoàn", "việt", "nam")
@@ -56,10 +56,15 @@ def variant(question: Column) -> Column:
     return F.when(said(SEPARATE_WORDS), "separate").when(said(CONSOLIDATED_WORDS), "consolidated")
 
 
+def code_words(text: Column) -> Column:
+    """Distinct words in order that look like tickers: two to five capitals and digits, one capital at least."""
+    found = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(f"({WORD})"), 1)
+    return F.array_distinct(F.filter(found, lambda t: t.rlike(TICKER)))
+
+
 def literal_codes(question: Column) -> Column:
-    """Distinct tokens that look like tickers, in order."""
-    found = F.array_distinct(F.regexp_extract_all(F.coalesce(question, F.lit("")), F.lit(f"({TICKER})"), 1))
-    return F.filter(found, lambda t: ~t.isin(*NOT_TICKERS))
+    """code_words without the codes of legal forms and of the currency."""
+    return F.filter(code_words(question), lambda t: ~t.isin(*NOT_TICKERS))
 
 
 def _content(c: Column) -> Column:

@@ -79,7 +79,7 @@ def s_bm25_topk(spark: SparkSession, sf: str) -> DataFrame:
     return I.ranked(I.bm25(docs, q), 10, digits=6).select("query_id", "doc_id", "score", "rank")
 
 
-_CODES = r"list_distinct(list_filter(regexp_extract_all(coalesce(question, ''), '\b[A-Z0-9]{2,5}\b'), lambda t: regexp_matches(t, '[A-Z]') AND t NOT IN ('BCTC', 'CTCP', 'TMCP', 'TCT', 'TNHH', 'VND')))"
+_CODES = r"list_distinct(list_filter(regexp_extract_all(coalesce(question, ''), '[\p{L}\p{N}_]+'), lambda t: regexp_full_match(t, '[A-Z0-9]{2,5}') AND regexp_matches(t, '[A-Z]') AND t NOT IN ('BCTC', 'CTCP', 'TMCP', 'TCT', 'TNHH', 'VND')))"
 _SCOPED_DOCS = """SELECT n.ticker AS scope, record_id AS doc_id, repeat(coalesce(n.ticker, '') || ' ' || coalesce(c.name, '') || ' ' || coalesce(n.year::VARCHAR, '') || ' ', 5) || coalesce(searchable_text, '') AS text
 FROM norm_tables n LEFT JOIN companies c USING (ticker)"""
 _SCOPED_Q = f"""SELECT id AS query_id, scope, question AS text FROM (SELECT id, question, unnest({_CODES}) AS scope FROM {_DQ}) WHERE scope IN (SELECT ticker FROM companies)"""
@@ -173,21 +173,21 @@ j AS (SELECT id, record_id, len(list_intersect(q, t)) AS i, len(list_distinct(q
 SELECT id, record_id, round(max(CASE WHEN u = 0 THEN 0 ELSE i::DOUBLE / u END), 6) AS overlap FROM j GROUP BY ALL""")
 def k_label_overlap(spark: SparkSession, sf: str) -> DataFrame:
     c = _cited(spark, sf).filter(F.size("row_labels") > 0)
-    return c.select("id", "record_id", F.round(R.label_overlap(F.col("question"), F.transform("row_labels", lambda x: x["label"])), 6).alias("overlap")).distinct()
+    return c.select("id", "record_id", F.round(R.label_overlap(R.token_set(F.col("question")), R.label_sets(F.transform("row_labels", lambda x: x["label"]))), 6).alias("overlap")).distinct()
 
 
 @query(f"""SELECT DISTINCT id, record_id, (CASE WHEN section_header IN ('balance_sheet', 'income_statement', 'cash_flow') THEN 1e0 ELSE 0e0 END)
  - (CASE WHEN section_header = 'notes' AND lower(coalesce(table_identity, '')) LIKE '%bên liên quan%' AND NOT coalesce(lower(question) LIKE '%bên liên quan%', false) THEN 2e0 ELSE 0e0 END) AS score FROM {_CITED}""")
 def k_section_scores(spark: SparkSession, sf: str) -> DataFrame:
-    c = _cited(spark, sf).select("id", "record_id", F.coalesce("question", F.lit("")).alias("question"), F.lit(None).cast("array<string>").alias("labels"), F.col("section_header").alias("section"), F.col("table_identity").alias("identity"), F.lit(0.0).alias("score"))
+    c = _cited(spark, sf).select("id", "record_id", F.coalesce("question", F.lit("")).alias("question"), F.array().cast("array<string>").alias("q_set"), F.array().cast("array<array<string>>").alias("label_sets"), F.col("section_header").alias("section"), F.col("table_identity").alias("identity"), F.lit(0.0).alias("score"))
     return R.reranked(c, weight=0.0).select("id", "record_id", "score").distinct()
 
 
 @query()
 def k_reranked(spark: SparkSession, sf: str) -> DataFrame:
     docs, q = _scoped(spark, sf)
-    t = _tables(spark, sf).select(F.col("record_id").alias("doc_id"), F.slice(F.transform("row_labels", lambda x: x["label"]), 1, N.MAX_LABELS).alias("labels"), F.col("section_header").alias("section"), F.col("table_identity").alias("identity"))
-    scored = I.bm25(docs, q).join(q.select("query_id", "scope", F.col("text").alias("question")), ["query_id", "scope"]).join(t, "doc_id")
+    t = _tables(spark, sf).select(F.col("record_id").alias("doc_id"), R.label_sets(F.slice(F.transform("row_labels", lambda x: x["label"]), 1, N.MAX_LABELS)).alias("label_sets"), F.col("section_header").alias("section"), F.col("table_identity").alias("identity"))
+    scored = I.bm25(docs, q).join(q.select("query_id", "scope", F.col("text").alias("question"), R.token_set(F.col("text")).alias("q_set")), ["query_id", "scope"]).join(t, "doc_id")
     return I.ranked(R.reranked(scored), 10, ("query_id", "scope"), 6).select("query_id", "scope", "doc_id", "score", "rank")
 
 
@@ -269,7 +269,10 @@ def _one_delivery(t: DataFrame) -> DataFrame:
 
 
 def _operands(spark: SparkSession, sf: str) -> DataFrame:
-    return L.operands(_asked(spark, sf), _pairs(spark, sf), L.value_cells(_one_delivery(_tables(spark, sf))))
+    pairs = _pairs(spark, sf)
+    # Only tables that some question is paired with are taken apart.
+    wanted = _tables(spark, sf).join(pairs.select("table_key").distinct(), "table_key", "left_semi")
+    return L.operands(_asked(spark, sf), pairs, L.value_cells(_one_delivery(wanted)))
 
 
 @query(f"""WITH one AS (SELECT * FROM norm_tables QUALIFY row_number() OVER (PARTITION BY table_key ORDER BY record_id) = 1),
