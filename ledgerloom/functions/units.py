@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from .text import fold, one_spelling
+from .text import INVISIBLE, WIDE_BLANKS, fold
 
 # Spellings after folding (lower case, no accents).
 SCALES = (
@@ -60,17 +60,27 @@ def currency_of(phrase: Column) -> Column:
     return out
 
 
+#: Blanks and invisible signs vanish from amounts, dashes become a minus, full-width digits ordinary.
+_AMOUNT_SRC = "−–—" + "".join(map(chr, range(0xFF01, 0xFF5F))) + " \t\r\n\x0b\x0c" + WIDE_BLANKS + INVISIBLE
+_AMOUNT_DST = "---" + "".join(map(chr, range(0x21, 0x7F)))
+_AMOUNT = r"^[-+(]*[0-9]+(?:[.,][0-9]+)*\)?$"
+
+
+def is_amount(c: Column) -> Column:
+    """Whether `amount` finds a number; cheaper as a filter than the number itself."""
+    return F.translate(c, _AMOUNT_SRC, _AMOUNT_DST).rlike(_AMOUNT)
+
+
 def amount(c: Column) -> Column:
     """The number in a cell as DOUBLE, null where there is none.
 
     `(1.234)` and a leading minus negate; three digits after a separator are thousands, any other
     number of digits after the last separator are decimals; blanks of any kind inside are dropped.
     """
-    s = F.regexp_replace(F.regexp_replace(one_spelling(c), r"[\s]+", ""), "[−–—]", "-")
-    negative = s.rlike(r"^\(.*\)$") | s.startswith("-")
-    body = F.regexp_replace(s, r"^[-+(]+|\)$", "")
-    good = body.rlike(r"^[0-9]+(?:[.,][0-9]+)*$")
-    last = F.regexp_extract(body, r"[.,]([0-9]+)$", 1)
-    digits = F.regexp_replace(body, "[.,]", "")
-    value = digits.try_cast("double") / F.when(F.length(last).isin(0, 3), F.lit(1.0)).otherwise(F.pow(F.lit(10.0), F.length(last).cast("double")))
-    return F.when(good, F.when(negative, -value).otherwise(value))
+    s = F.translate(c, _AMOUNT_SRC, _AMOUNT_DST)
+    points = F.translate(s, ",()+-", ".")
+    last = F.length(F.substring_index(points, ".", -1))
+    whole = (last == 3) | ~points.contains(".")
+    value = F.translate(points, ".", "").try_cast("double") / F.when(whole, F.lit(1.0)).otherwise(F.pow(F.lit(10.0), last.cast("double")))
+    negative = s.startswith("-") | (s.startswith("(") & s.endswith(")"))
+    return F.when(s.rlike(_AMOUNT), F.when(negative, -value).otherwise(value))

@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.text import fold
-from ..functions.units import amount, currency_of, declared_phrase, scale_of, unit_phrase
+from ..functions.units import amount, currency_of, declared_phrase, is_amount, scale_of, unit_phrase
 
 HEADER_ROWS = 6
 #: Powers of ten between known units of money.
@@ -22,7 +22,9 @@ FACTORS = (3, 6, 9, 12)
 def header_phrase(grid: Column, row: Column, col: Column) -> Column:
     """The unit in the header cells above (row, col): the first of at most HEADER_ROWS rows that has one."""
     above = F.slice(grid, F.lit(1), F.least(F.greatest(row, F.lit(0)), F.lit(HEADER_ROWS)))
-    found = F.filter(F.transform(above, lambda r: unit_phrase(F.get(r, col))), lambda p: p.isNotNull())
+    # A cell of digits and marks alone has no unit; most cells are left out by this cheap test.
+    worded = F.filter(F.transform(above, lambda r: F.get(r, col)), lambda t: F.length(F.translate(t, "0123456789.,()-/% ", "")) > 0)
+    found = F.filter(F.transform(worded, unit_phrase), lambda p: p.isNotNull())
     return F.get(found, F.lit(0))
 
 
@@ -83,7 +85,7 @@ def table_amounts(tables: DataFrame, rates: DataFrame) -> DataFrame:
     t = t.withColumn("heads", heads).withColumn("other", stated_phrase(F.lit(None).cast("string"), F.col("caption_context"), F.col("unit_declaration")))
     cells = t.select("record_id", "table_key", "fx_of", "heads", "other", F.posexplode("grid").alias("row_index", "row")).filter(F.col("row_index") > 0)
     cells = cells.select("record_id", "table_key", "fx_of", "heads", "other", "row_index", F.posexplode("row").alias("column_index", "cell")).filter(F.col("column_index") > 0)
-    cells = cells.withColumn("value", amount(F.col("cell"))).filter(F.col("value").isNotNull())
+    cells = cells.filter(is_amount(F.col("cell"))).withColumn("value", amount(F.col("cell")))
     cells = cells.withColumn("unit", F.coalesce(F.get("heads", F.col("column_index")), F.col("other")))
     return with_vnd(cells, rates, "value", "unit", "fx_of", "value_vnd").select("record_id", "table_key", "row_index", "column_index", "value", "unit", "value_vnd")
 
