@@ -28,8 +28,8 @@ _FROM_LATIN = {s: {v: k for k, v in reversed(t.items())} for s, t in _TO_LATIN.i
 _DASHES = {"‐": "-", "‑": "-"}
 _VIETNAMESE = "àáảãạăằắẳẵặâầấẩẫậèéẻẽẹêềếểễệìíỉĩịòóỏõọôồốổỗộơờớởỡợùúủũụưừứửữựỳýỷỹỵđ"
 _PLAIN = _VIETNAMESE + _VIETNAMESE.upper()
-#: Texts without any character outside this class only need their blanks collapsed.
-ODD = r"[^\t\n\r\x20-\x7E" + _PLAIN + "]"
+#: Texts of these characters alone only need their blanks collapsed.
+_ORDINARY = "\t\n\r" + "".join(map(chr, range(0x20, 0x7F))) + _PLAIN
 ORDINARY_BLANKS = r"[ \t\n\r]+"
 _SPACES = re.compile(ORDINARY_BLANKS)
 _TOKEN = re.compile(r"[^\W_]+", re.UNICODE)
@@ -94,7 +94,8 @@ def _one_form_udf(it: Iterator[pd.Series]) -> Iterator[pd.Series]:
 
 
 def is_odd(c: Column) -> Column:
-    return c.rlike(ODD)
+    """Whether a text has a character beyond the ordinary ones (deleting those is far faster than a negated class)."""
+    return F.length(F.translate(c, _ORDINARY, "")) > 0
 
 
 def blanks_collapsed(c: Column) -> Column:
