@@ -58,6 +58,14 @@ _ONE = {ord(a): (ONE_DST[i] if i < len(ONE_DST) else None) for i, a in enumerate
 _FOLD = {ord(a): b for a, b in zip(FOLD_SRC, FOLD_DST)}
 
 
+def let(value: Column, body) -> Column:
+    """body(value) with value worked out once a row, also where body uses it inside a lambda.
+
+    A column that a lambda over an array captures is otherwise worked out again for every element.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def tokens(c: Column, stop: list[str] | tuple[str, ...] = ()) -> Column:
     """Lower-case word tokens in order, repeats kept, stop words left out; null gives an empty array."""
     found = F.regexp_extract_all(F.lower(F.coalesce(c, F.lit(""))), F.lit(f"({WORD})"), 1)

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.text import let
+
 # Layouts of the feeds.
 LAYOUTS = {
     "candidates": ("report_id", "line_position", "page", "section_header", "status", "n_rows", "n_cols", "preceding_unit_declaration", "warnings", "source_path"),
@@ -34,26 +36,33 @@ _MARK, _SEP, _ESC = "\u0001", "\u0001s", "\u0001e"
 
 def well_quoted(raw: Column) -> Column:
     """Whether each double quote encloses a whole field or is doubled inside one."""
-    seg = F.split(F.coalesce(raw, F.lit("")), '"', -1)
-    n = F.size(seg)
-    inner = F.forall(
-        F.transform(seg, lambda s, i: (i % 2 == 1) | (i == 0) | (i == n - 1) | (s == "") | (s.startswith(",") & s.endswith(","))),
-        lambda ok: ok,
-    )
-    first, last = F.element_at(seg, 1), F.element_at(seg, -1)
-    edges = ((first == "") | first.endswith(",")) & ((last == "") | last.startswith(","))
-    return (n == 1) | ((n % 2 == 1) & inner & edges)
+
+    def check(seg):
+        n = F.size(seg)
+        inner = F.forall(
+            F.transform(seg, lambda s, i: (i % 2 == 1) | (i == 0) | (i == n - 1) | (s == "") | (s.startswith(",") & s.endswith(","))),
+            lambda ok: ok,
+        )
+        first, last = F.element_at(seg, 1), F.element_at(seg, -1)
+        edges = ((first == "") | first.endswith(",")) & ((last == "") | last.startswith(","))
+        return (n == 1) | ((n % 2 == 1) & inner & edges)
+
+    return let(F.split(F.coalesce(raw, F.lit("")), '"', -1), check)
 
 
 def record_fields(raw: Column) -> Column:
     """Fields of a well-quoted line, quotes taken off; null counts as the empty line, which has one empty field."""
-    seg = F.split(F.replace(F.coalesce(raw, F.lit("")), F.lit(_MARK), F.lit(_ESC)), '"', -1)
-    n = F.size(seg)
-    parts = F.transform(
-        seg,
-        lambda s, i: F.when(i % 2 == 1, s).when((s == "") & (i > 0) & (i < n - 1), F.lit('"')).otherwise(F.replace(s, F.lit(","), F.lit(_SEP))),
-    )
-    return F.transform(F.split(F.array_join(parts, ""), _SEP, -1), lambda f: F.replace(f, F.lit(_ESC), F.lit(_MARK)))
+
+    def parts(seg):
+        n = F.size(seg)
+        return F.transform(
+            seg,
+            lambda s, i: F.when(i % 2 == 1, s).when((s == "") & (i > 0) & (i < n - 1), F.lit('"')).otherwise(F.replace(s, F.lit(","), F.lit(_SEP))),
+        )
+
+    escaped = F.replace(F.coalesce(raw, F.lit("")), F.lit(_MARK), F.lit(_ESC))
+    joined = F.array_join(let(F.split(escaped, '"', -1), parts), "")
+    return F.transform(F.split(joined, _SEP, -1), lambda f: F.replace(f, F.lit(_ESC), F.lit(_MARK)))
 
 
 def strict_json_strings(c: Column) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..functions.text import fold, number, tokens
+from ..functions.text import fold, let, number, tokens
 from .extract import strip
 from .scope import RATIOS, code_words, variant, years
 
@@ -71,15 +71,18 @@ def value_cells(tables: DataFrame) -> DataFrame:
     paths = F.map_from_entries(F.array_distinct(F.transform(F.coalesce("column_metadata", empty("column_metadata")), lambda m: F.struct(m["column_index"], m["header_path"]))))
     labels = F.map_from_entries(F.transform(F.coalesce("row_labels", empty("row_labels")), lambda m: F.struct(m["row_index"], m["label"])))
     about = ["table_key", "ticker", "year", "variant", "table_identity"]
-    t = tables.filter(F.size("grid") > 0).select(*about, "grid", paths.alias("paths"), labels.alias("labels"))
+    t = tables.filter(F.size("grid") > 0)
     width = F.aggregate("grid", F.lit(0), lambda m, r: F.greatest(m, F.size(r)))
 
-    def column(i):
-        header = F.coalesce(F.substring(strip(F.get(F.get("grid", F.lit(0)), i)), 1, 160), F.lit(""))
-        path = F.try_element_at("paths", i)
-        return F.struct(header.alias("h"), is_value_column(i, F.when(path.isNull() | (path == ""), header).otherwise(path)).alias("ok"))
+    def columns(by_column):
+        def column(i):
+            header = F.coalesce(F.substring(strip(F.get(F.get("grid", F.lit(0)), i)), 1, 160), F.lit(""))
+            path = F.try_element_at(by_column, i)
+            return F.struct(header.alias("h"), is_value_column(i, F.when(path.isNull() | (path == ""), header).otherwise(path)).alias("ok"))
 
-    t = t.withColumn("cols", F.transform(F.sequence(F.lit(0), F.greatest(width - 1, F.lit(0))), column))
+        return F.transform(F.sequence(F.lit(0), F.greatest(width - 1, F.lit(0))), column)
+
+    t = t.select(*about, "grid", labels.alias("labels"), let(paths, columns).alias("cols"))
     rows = t.select(*about, "labels", "cols", F.posexplode("grid").alias("row_index", "row")).withColumn("row_label", F.try_element_at("labels", F.col("row_index"))).filter("row_label is not null")
     kept = F.filter(F.transform("row", lambda v, i: F.struct(i.alias("column_index"), v.alias("raw_value"), F.get("cols", i).alias("c"))), lambda s: s["c"]["ok"])
     cells = rows.select(*about, "row_index", "row_label", F.explode(kept).alias("s")).select(*about, "row_index", "row_label", "s.column_index", F.col("s.c.h").alias("column_header"), "s.raw_value")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..functions.text import tokens
+from ..functions.text import let, tokens
 from .index import STOP_WORDS, ranked
 
 # Fixed values.
@@ -27,11 +27,14 @@ def label_sets(labels: Column, stop: tuple[str, ...] = STOP_WORDS) -> Column:
 def label_overlap(q: Column, sets: Column) -> Column:
     """Largest Jaccard overlap of the question's token set with one label's; 0 where either is empty."""
 
-    def one(t):
-        both = F.size(F.array_intersect(q, t))
-        return F.coalesce(F.try_divide(both, F.size(q) + F.size(t) - both), F.lit(0.0))
+    def over(own):
+        def one(t):
+            both = F.size(F.array_intersect(own, t))
+            return F.coalesce(F.try_divide(both, F.size(own) + F.size(t) - both), F.lit(0.0))
 
-    return F.coalesce(F.array_max(F.transform(sets, one)), F.lit(0.0))
+        return F.array_max(F.transform(sets, one))
+
+    return F.coalesce(let(q, over), F.lit(0.0))
 
 
 def reranked(scored: DataFrame, question: str = "question", weight: float = LABEL_WEIGHT, bonus: float = SECTION_BONUS, penalty: float = RELATED_PENALTY) -> DataFrame:
