@@ -67,17 +67,18 @@ def flatten_levels(df: DataFrame, id_col: str, json_col: str, arrays: tuple[str,
     while True:
         held = _exploded(level, "element", ("_p", "key", "value")).filter(F.col("key").isNotNull())
         named = F.col("key").isin(*arrays)
-        what = kind(F.col("value"))
         base = F.concat_ws(".", "path", "key")
-        common = [F.col(id_col), F.col("owner"), F.col("key").alias("name"), named.alias("named"), F.concat_ws(".", "level", "key").alias("level")]
-        held = held.withColumn("what", what).filter((F.col("what") != "null") & (named | F.col("what").isin("array", "object")))
-        lone = held.filter(F.col("what") != "array").select(
-            *common, F.lit(0).alias("ordinal"), F.when(named, F.concat(base, F.lit("[0]"))).otherwise(base).alias("path"), F.col("value").alias("element")
-        )
-        many = _exploded(held.filter(F.col("what") == "array").drop("element"), "value", ("ordinal", "_k", "element")).select(
-            *common, F.col("ordinal"), F.concat(base, F.lit("["), F.col("ordinal").cast("string"), F.lit("]")).alias("path"), F.col("element")
-        )
-        got = settle(lone.unionByName(many).filter(kind(F.col("element")) != "null"))
+        held = held.withColumn("what", kind(F.col("value"))).filter((F.col("what") != "null") & (named | F.col("what").isin("array", "object")))
+        many = F.col("what") == "array"
+        # One branch for arrays and lone values, so that partitions don't double from level to level.
+        elements = F.when(many, F.variant_get("value", "$", "array<variant>")).otherwise(F.array("value"))
+        held = held.select(
+            F.col(id_col), F.col("owner"), F.col("key").alias("name"), named.alias("named"), F.concat_ws(".", "level", "key").alias("level"), base.alias("base"), many.alias("many"),
+            F.posexplode(elements).alias("ordinal", "element"),
+        )
+        place = F.when(F.col("named") | F.col("many"), F.concat(F.lit("["), F.col("ordinal").cast("string"), F.lit("]"))).otherwise("")
+        got = held.withColumn("path", F.concat("base", place)).drop("base", "many")
+        got = settle(got.filter(kind(F.col("element")) != "null"))
         parts.append(got.filter("named"))
         if got.isEmpty():
             break
