@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.text import let
 from ..session import attach_groups, join_checked, settle
 
 #: White space of any kind and punctuation.
@@ -33,9 +34,13 @@ def invariants(report: Column, grid: Column) -> Column:
 def column_key(report: Column, grid: Column) -> Column:
     """MD5 of the report and the sorted columns, each the normalized cells from top to bottom; short rows are padded with empty cells."""
     width = F.aggregate(grid, F.lit(0), lambda m, r: F.greatest(m, F.coalesce(F.size(r), F.lit(0))))
-    tidy = F.transform(grid, lambda r: F.transform(r, dressed_down))
-    cols = F.transform(F.sequence(F.lit(0), F.greatest(width - 1, F.lit(0))), lambda c: F.array_join(F.transform(tidy, lambda r: F.coalesce(F.get(r, c), F.lit(""))), "\u0001"))
-    return F.md5(F.concat_ws("\u0002", dressed_down(report), F.size(grid).cast("string"), F.array_join(F.array_sort(cols), "\u0002")))
+
+    def columns(tidy):
+        return F.transform(F.sequence(F.lit(0), F.greatest(width - 1, F.lit(0))), lambda c: F.array_join(F.transform(tidy, lambda r: F.coalesce(F.get(r, c), F.lit(""))), "\u0001"))
+
+    # The cells are normalized once, not once per column.
+    cols = let(F.transform(grid, lambda r: F.transform(r, dressed_down)), columns)
+    return F.md5(F.concat_ws("\u0002", dressed_down(report), F.size(grid).cast("string"), width.cast("string"), F.array_join(F.array_sort(cols), "\u0002")))
 
 
 def copies(tables: DataFrame) -> DataFrame:
