@@ -78,7 +78,11 @@ def pack(tokens: np.ndarray, loss: np.ndarray, capacity: int, max_segments: int,
 def _packer(cap: int, limits: Limits):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["doc_id", "piece"], kind="stable", ignore_index=True)
-        w = pack(pdf["n_tokens"].to_numpy(np.int64), pdf["n_loss"].to_numpy(np.int64), cap, limits.segments(cap), limits.loss(cap))
+        tokens, loss = pdf["n_tokens"].to_numpy(np.int64), pdf["n_loss"].to_numpy(np.int64)
+        rest = tokens < cap  # a full piece is a window by itself
+        w = np.empty(len(pdf), dtype=np.int64)
+        w[rest] = pack(tokens[rest], loss[rest], cap, limits.segments(cap), limits.loss(cap))
+        w[~rest] = np.arange((~rest).sum()) + (w[rest].max() + 1 if rest.any() else 0)
         pdf["window_id"] = [f"{s}-{x}" for s, x in zip(pdf.pop("shard"), w)]
         return pdf
 
@@ -90,9 +94,9 @@ def windows(sizes: DataFrame, packs: DataFrame, limits: Limits = Limits()) -> Da
 
     sizes: doc_id, n_tokens, n_context. packs: pack_name, capacity_tokens (a few rows; null or
     non-positive capacities are left out). A document is whole unless it exceeds the capacity (or alone
-    exceeds the loss limit); then it is cut into full pieces and a rest. Full pieces fill windows of
-    their own; all else is packed in hash shards of about SHARD_ITEMS items. Empty documents are items
-    of size 0. Repeated rows are items each for itself; ties among equal items fall by doc_id.
+    exceeds the loss limit); then it is cut into full pieces and a rest. All is packed in hash shards of
+    about SHARD_ITEMS documents. Empty documents are items of size 0. Repeated rows are items each for
+    itself; ties among equal items fall by doc_id.
     """
     sizes = settle(sizes.select("doc_id", "n_tokens", "n_context"))
     named = [(r[0], int(r[1])) for r in packs.select("pack_name", "capacity_tokens").collect() if r[1] and r[1] > 0]
@@ -108,15 +112,12 @@ def windows(sizes: DataFrame, packs: DataFrame, limits: Limits = Limits()) -> Da
         size = F.greatest(size, F.lit(0).cast("bigint"))
         p = p.select("doc_id", "piece", start.alias("start_token"), size.alias("n_tokens"), (size - F.least(size, F.greatest(F.col("n_context") - start, F.lit(0)))).alias("n_loss"))
         p = p.withColumn("pack_name", F.lit(name))
-        full = p.filter(F.col("n_tokens") == cap).withColumn("window_id", F.concat_ws("-", F.lit("full"), F.col("doc_id").cast("string"), F.col("piece").cast("string")))
-        rest = p.filter(F.col("n_tokens") < cap).withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(shards)).cast("int"))
-
+        p = p.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(shards)).cast("int"))
         cols = ["pack_name", "window_id", "doc_id", "piece", "start_token", "n_tokens", "n_loss"]
         kind = sizes.schema["doc_id"].dataType.simpleString()
         schema = f"doc_id {kind}, piece int, start_token bigint, n_tokens bigint, n_loss bigint, pack_name string, window_id string"
-        packed = rest.groupBy("shard").applyInPandas(_packer(cap, limits), schema)
-        both = full.select(*cols).unionByName(packed.select(*cols))
-        out = both if out is None else out.unionByName(both)
+        packed = p.groupBy("shard").applyInPandas(_packer(cap, limits), schema).select(*cols)
+        out = packed if out is None else out.unionByName(packed)
     if out is None:
         raise ValueError("no pack has a capacity")
     return out
