@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.text import tokens
+from ..session import join_checked
 
 # Fixed values.
 K1, B, IDENTITY_BOOST = 1.5, 0.75, 5
@@ -23,14 +24,17 @@ def enriched(identity: list[Column], text: Column, boost: int = IDENTITY_BOOST)
     return F.concat(F.repeat(head, boost), F.coalesce(text, F.lit("")))
 
 
-def postings(docs: DataFrame, stop: tuple[str, ...] = STOP_WORDS) -> DataFrame:
+def postings(docs: DataFrame, stop: tuple[str, ...] = STOP_WORDS, only: DataFrame | None = None) -> DataFrame:
     """docs (scope, doc_id, text) to (scope, doc_id, term, f, dl); texts without a token give no row.
 
-    Terms are counted inside each row's own token array, so building postings needs no shuffle at all.
+    only (scope, term) keeps the postings of those terms; they are dropped before the aggregate's
+    shuffle, by a broadcast while the terms are few.
     """
     d = docs.select("scope", "doc_id", tokens(F.col("text"), stop).alias("t"))
-    sizes = d.select("scope", "doc_id", F.size("t").alias("dl"), F.explode("t").alias("term"))
-    return sizes.groupBy("scope", "doc_id", "term", "dl").agg(F.count("*").alias("f"))
+    words = d.select("scope", "doc_id", F.size("t").alias("dl"), F.explode("t").alias("term"))
+    if only is not None:
+        words = join_checked(words, only, ["scope", "term"], "left_semi", 48)
+    return words.groupBy("scope", "doc_id", "term", "dl").agg(F.count("*").alias("f"))
 
 
 def scope_stats(docs: DataFrame, stop: tuple[str, ...] = STOP_WORDS) -> DataFrame:
@@ -59,15 +63,13 @@ def bm25(docs: DataFrame, queries: DataFrame, stop: tuple[str, ...] = STOP_WORDS
     reduced to terms that some query asks for in that scope.
     """
     q = query_terms(queries, stop)
-    posts = postings(docs, stop)
-    asked = q.select("scope", "term").distinct()
-    posts = posts.join(asked, ["scope", "term"], "left_semi")
-    stats = scope_stats(docs, stop)
-    # One aggregate per asked term; joined back to its postings.
-    terms = term_stats(posts, stats)
+    posts = postings(docs, stop, q.select("scope", "term").distinct())
+    terms = term_stats(posts, scope_stats(docs, stop))
     weight = F.col("idf") * F.col("f") * (k1 + 1.0) / (F.col("f") + k1 * (1.0 - b + b * F.col("dl") / F.col("avgdl")))
     weighted = posts.join(terms, ["scope", "term"]).select("scope", "term", "doc_id", weight.alias("w"))
-    return q.join(weighted, ["scope", "term"]).groupBy("query_id", "scope", "doc_id").agg(F.sum(F.col("qf") * F.col("w")).alias("score"))
+    # A block of queries small enough to be sent to the postings leaves them where they lie.
+    met = join_checked(weighted, q, ["scope", "term"], "inner", 64)
+    return met.groupBy("query_id", "scope", "doc_id").agg(F.sum(F.col("qf") * F.col("w")).alias("score"))
 
 
 def ranked(scored: DataFrame, k: int | None, by: tuple[str, ...] = ("query_id",), digits: int = 9) -> DataFrame:

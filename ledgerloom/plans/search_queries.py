@@ -59,7 +59,7 @@ def s_term_stats(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _tables(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "norm_tables")
+    return table(spark, sf, "norm_tables", widen=True)
 
 
 def _asked(spark: SparkSession, sf: str) -> DataFrame:

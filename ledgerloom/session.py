@@ -26,8 +26,12 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     )
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, widen: bool = False) -> DataFrame:
+    """A table of the folder. widen spreads a scan of fewer partitions than cores, as a file of one row
+    group gives, over all of them; a table large enough to fill the cores is read as it lies."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if widen and df.rdd.getNumPartitions() < cores else df
 
 
 def settle(df: DataFrame) -> DataFrame:
