@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..functions.text import number
-from ..operators import index as I, link as L, metrics as M, normalize as N, plan as P, rank as R, scope as S
+from ..operators import diagnose as D, index as I, link as L, metrics as M, normalize as N, package as K, plan as P, rank as R, scope as S
 from ..session import table
+from ..streaming.ingest import windowed_counts
 from .table_queries import _CELLS, number_sql, scale_sql
 
 QUERIES: dict = {}
@@ -433,3 +434,65 @@ def m_first_failure(spark: SparkSession, sf: str) -> DataFrame:
     return M.first_failure(j).groupBy("stage").agg(F.count("*").alias("n"))
 
 
+
+
+# ---- packages, signs of wrong answers, events
+
+
+_CITES = f"""one AS (SELECT * FROM norm_tables QUALIFY row_number() OVER (PARTITION BY table_key ORDER BY record_id) = 1),
+c AS (SELECT DISTINCT id, table_key FROM dev_answers WHERE table_key IS NOT NULL),
+a AS (SELECT id, max(expected_answer) AS answer FROM dev_answers GROUP BY 1)"""
+
+
+def _best_answers(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "dev_answers").groupBy("id").agg(F.max("expected_answer").alias("answer"))
+
+
+@query(f"""WITH {_CITES}, t AS (SELECT id, list_sort(list(table_key)) AS relevant_tables FROM c GROUP BY 1)
+SELECT q.id, q.question, a.answer, coalesce(relevant_tables, []) AS relevant_tables, coalesce(list_sort(list_distinct(list_transform(relevant_tables, lambda k: regexp_extract(k, '^(.*)\\|[^|]*$', 1)))), []) AS relevant_docs
+FROM {_DQ} q LEFT JOIN a USING (id) LEFT JOIN t USING (id)""")
+def e_package(spark: SparkSession, sf: str) -> DataFrame:
+    t = _pairs(spark, sf).withColumn("rank", F.row_number().over(Window.partitionBy("id").orderBy("table_key")))
+    p = K.assembled(_asked(spark, sf), _best_answers(spark, sf), t)
+    return p.withColumn("relevant_docs", F.array_sort("relevant_docs"))
+
+
+@query(f"""WITH {_CITES} SELECT q.id, 'not finite' AS error FROM {_DQ} q LEFT JOIN a USING (id) WHERE a.answer IS NULL
+UNION ALL SELECT id, 'answer differs' FROM a WHERE id % 7 = 0 AND abs(answer) > 1e-9""")
+def e_check(spark: SparkSession, sf: str) -> DataFrame:
+    """The package against answers of which every seventh was doubled, so that the check has something to find."""
+    t = _pairs(spark, sf).withColumn("rank", F.row_number().over(Window.partitionBy("id").orderBy("table_key")))
+    again = _best_answers(spark, sf).withColumn("answer", F.when(F.col("id") % 7 == 0, F.col("answer") * 2).otherwise(F.col("answer")))
+    q = _asked(spark, sf)
+    return K.check(K.assembled(q, _best_answers(spark, sf), t), q, again)
+
+
+@query("""WITH r AS (SELECT id, max(expected_answer) AS answer FROM dev_answers GROUP BY 1)
+SELECT id, answer, CASE WHEN id % 3 = 0 AND id % 2 = 0 THEN 'both' WHEN id % 3 = 0 THEN 'preferred' ELSE 'other' END AS origin FROM r WHERE id % 3 = 0 OR id % 2 = 0""")
+def e_merged(spark: SparkSession, sf: str) -> DataFrame:
+    a = _best_answers(spark, sf)
+    return K.merged(a.filter("id % 3 = 0"), a.filter("id % 2 = 0")).select("id", "answer", "origin")
+
+
+def _predictions(spark: SparkSession, sf: str) -> DataFrame:
+    t = _one_delivery(_tables(spark, sf)).select("table_key", "ticker", "year", "variant")
+    used = _pairs(spark, sf).join(t, "table_key").groupBy("id").agg(
+        F.array_sort(F.collect_set("ticker")).alias("used_tickers"), F.array_sort(F.collect_set("year")).alias("used_years"), F.array_sort(F.collect_set("variant")).alias("used_variants"), F.count("*").alias("n_tables"), F.count("*").alias("n_cells")
+    )
+    return _asked(spark, sf).join(_best_answers(spark, sf), "id").join(used, "id")
+
+
+@query()
+def r_signs(spark: SparkSession, sf: str) -> DataFrame:
+    return D.signs(_predictions(spark, sf)).select("id", "codes")
+
+
+@query()
+def r_sign_summary(spark: SparkSession, sf: str) -> DataFrame:
+    return D.summary(D.signs(_predictions(spark, sf)))
+
+
+@query("SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY ALL")
+def t_hourly_events(spark: SparkSession, sf: str) -> DataFrame:
+    e = windowed_counts(table(spark, sf, "events"))
+    return e.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "event_type", "n", F.round("total", 4).alias("total"))
