@@ -45,8 +45,9 @@ def zero_credit(value: Column, scored: Column, total: Column) -> Column:
 
 def close(a: Column, b: Column, absolute: float = 1e-6, relative: float = 1e-6) -> Column:
     """Whether two numbers agree within the larger of both tolerances; null and NaN agree with nothing."""
-    near = F.abs(a - b) <= F.greatest(relative * F.greatest(F.abs(a), F.abs(b)), F.lit(absolute))
-    return F.coalesce(near & ~F.isnan(a) & ~F.isnan(b), F.lit(False))
+    most = F.greatest(F.abs(a), F.abs(b))
+    near = (F.abs(a - b) <= F.greatest(relative * most, F.lit(absolute))) & (most < float("inf"))
+    return F.coalesce(((a == b) | near) & ~F.isnan(a) & ~F.isnan(b), F.lit(False))
 
 
 def accuracy(answers: DataFrame, by: list[str]) -> DataFrame:

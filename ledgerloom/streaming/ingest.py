@@ -35,6 +35,7 @@ def ingest(spark: SparkSession, folder: str, out: str, state: str) -> StreamingQ
 
 def windowed_counts(events: DataFrame, size: str = "1 hour", late: str = "1 day") -> DataFrame:
     """Events per window and type, for streams and tables alike; events later than `late` are dropped by a stream only."""
+    events = events.withColumn("ts", F.col("ts").cast("timestamp"))
     if events.isStreaming:
         events = events.withWatermark("ts", late)
     g = events.groupBy(F.window("ts", size).alias("w"), "event_type").agg(F.count("*").alias("n"), F.sum("value").alias("total"))
