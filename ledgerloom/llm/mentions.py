@@ -56,6 +56,8 @@ SLOTS = tuple(
         rf"^\W*.+ nam {_YEAR} cua (?P<a>.+) la bao nhieu",
     )
 )
+#: The pattern "NAME has ITEM in YEAR".
+HAS = SLOTS[11]
 _BREAKS = re.compile(r"[^a-z0-9]+")
 _TELEX = ((re.compile(r"([aeod])\1"), r"\1"), (re.compile(r"w"), ""), (re.compile(r"(?<=[a-z])[sfrxj]\b"), ""))
 
@@ -186,7 +188,15 @@ class Matcher:
         typed = core
         for p, r in _TELEX:  # accents left as the keys that type them
             typed = p.sub(r, typed)
-        forms = {typed.replace(" ", ""), core.replace(" ", ""), slot.replace(" ", ""), core.replace("tap doan ", "").replace(" ", "")}
+        # A name as it stands goes before one without its group word.
+        for forms in ({typed, core, slot}, {core.replace("tap doan ", "")}):
+            near = self.nearest({f.replace(" ", "") for f in forms})
+            if near:
+                return next(iter(near)) if len(near) == 1 else NONE
+        return NONE
+
+    def nearest(self, forms: set[str]) -> set[str]:
+        """Entries with an alias within the slips allowed of one of the forms, the fewest slips only."""
         best: dict[str, int] = {}
         for form in forms:
             if len(form) < 5:
@@ -202,12 +212,8 @@ class Matcher:
                 if n >= len(gs) - 3 * limit and (d := edits(form, s, limit)) <= limit:
                     for t in self.solid[s]:
                         best[t] = min(best.get(t, 9), d)
-        if best:
-            low = min(best.values())
-            near = [t for t, d in best.items() if d == low]
-            if len(near) == 1:
-                return near[0]
-        return NONE
+        low = min(best.values(), default=0)
+        return {t for t, d in best.items() if d == low}
 
     def resolve(self, slot: str) -> str:
         slot = words(slot)
@@ -227,6 +233,11 @@ class Matcher:
         text = re.sub(r"\s+", " ", text).strip()
         for p in SLOTS:
             if m := p.match(text):
+                if p is HAS:
+                    # The cue word is also a syllable of legal forms: the first split that names an entry counts.
+                    parts = text.split(" co ")
+                    named = [self.resolve(" co ".join(parts[:k])) for k in range(1, len(parts))]
+                    return [next((t for t in named if t != NONE), NONE)]
                 return list(dict.fromkeys(self.resolve(s) for k, s in m.groupdict().items() if s and words(s)))
         out = [next(iter(of)) for _, _, _, of in sorted(self.mentions(words(text))) if len(of) == 1]
         return list(dict.fromkeys(out))
