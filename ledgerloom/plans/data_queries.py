@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..functions.text import ONE_DST, ONE_SRC
 from ..operators import amounts, intake, shred
 from ..session import table
 
@@ -94,7 +95,57 @@ j AS (SELECT line_id, feed, c, CASE WHEN NOT good THEN 'quoting'
    END AS reason FROM f)
 """
 
+# Units in SQL, written for themselves: a phrase is what stands between signs that are no letters or digits.
+def _one_sql(c: str) -> str:
+    src, dst = (x.replace("'", "''") for x in (ONE_SRC, ONE_DST))
+    return f"translate({c}, '{src}', '{dst}')"
+
+
+def _plain_sql(c: str) -> str:
+    folded = f"replace(lower(strip_accents({_one_sql(c)})), 'đ', 'd')"
+    return rf"trim(regexp_replace(regexp_replace({folded}, '\s+', ' ', 'g'), '\b(hop|hoi|hoat|lao|bien|cong|tac|co|dong) dong', '', 'g'))"
+
+
+_BIG = r"(?:nghin|ngan) (?:ty|ti)|ty|ti|billion|trieu|tr\.?|million|nghin|ngan|thousand|1[.,]000"
+_MONEY = r"do la singapore|sgd|do la my|do la|usd|us\$|\$|euro|eur|nhan dan te|cny|yen nhat|yen|jpy|dong viet nam|dong vn|dong|vnd|d"
+_PHRASE = rf"((?:(?:{_BIG}) ?)?(?:{_MONEY})(?: (?:billion|million|thousand))?)(?:[^a-z0-9]|$)"
+
+
+def _phrase_sql(c: str, before: str = "(?:^|[^a-z0-9])") -> str:
+    return f"regexp_extract_all({_plain_sql(c)}, '{before}{_PHRASE}', 1)"
+
+
+def _factor_sql(u: str) -> str:
+    scale = rf"""CASE WHEN regexp_matches({u}, '^(nghin|ngan) (ty|ti) ') THEN 1e12 WHEN regexp_matches({u}, '^(ty|ti|billion) | billion$') THEN 1e9
+ WHEN regexp_matches({u}, '^(trieu|million) |^tr\.?d| million$') THEN 1e6 WHEN regexp_matches({u}, '^(nghin|ngan|thousand|1[.,]000) | thousand$') THEN 1e3 ELSE 1e0 END"""
+    return scale
+
+
+def _currency_sql(u: str) -> str:
+    return rf"""CASE WHEN regexp_matches({u}, 'singapore|sgd') THEN 'SGD' WHEN regexp_matches({u}, 'do la|usd|\$') THEN 'USD' WHEN {u} LIKE '%eur%' THEN 'EUR' WHEN regexp_matches({u}, 'nhan dan te|cny') THEN 'CNY'
+ WHEN regexp_matches({u}, 'yen|jpy') THEN 'JPY' WHEN {u} IS NOT NULL THEN 'VND' END"""
+
+
+_P6 = rf"""
+WITH one AS (SELECT * FROM norm_tables WHERE len(grid) > 0 QUALIFY row_number() OVER (PARTITION BY table_key ORDER BY record_id) = 1),
+a AS (SELECT DISTINCT id, expected_answer, expected_unit, table_key, row_index AS r, column_index AS c FROM dev_answers WHERE table_key IS NOT NULL AND row_index IS NOT NULL AND column_index IS NOT NULL),
+j AS (SELECT a.*, grid[r + 1][c + 1] AS cell, coalesce(year, try_cast(regexp_extract(report_id, '_(20[0-9]{{2}})(_|$)', 1) AS INT)) AS y, caption_context, unit_declaration,
+   list_transform(grid[1:least(r, 6)], lambda x: x[c + 1]) AS above FROM a JOIN one USING (table_key)),
+h AS (SELECT *, list_filter(list_transform(above, lambda x: {_phrase_sql("x")}[-1]), lambda x: x IS NOT NULL)[1] AS hu,
+   list_filter(list_transform(caption_context, lambda x: {_phrase_sql("x", "(?:^|[^a-z])(?:don vi(?: tinh)?(?: tien te)?|dvt|unit|currency)[^a-z0-9]*")}[1]), lambda x: x IS NOT NULL)[-1] AS cu,
+   {_phrase_sql("unit_declaration")}[-1] AS du, {_phrase_sql("expected_unit")}[-1] AS eu,
+   regexp_replace(regexp_replace({_one_sql("cell")}, '\s', '', 'g'), '[−–—]', '-', 'g') AS t FROM j),
+n AS (SELECT *, coalesce(hu, cu, du) AS u, replace(regexp_replace(t, '[-+()]', '', 'g'), ',', '.') AS d FROM h),
+v AS (SELECT *, CASE WHEN regexp_full_match(t, '[-+(]*[0-9]+([.,][0-9]+)*\)?') THEN
+   (CASE WHEN t LIKE '-%' OR t LIKE '(%)' THEN -1 ELSE 1 END) * CASE WHEN d NOT LIKE '%.%' OR length(split_part(d, '.', -1)) = 3 THEN replace(d, '.', '')::DOUBLE
+     ELSE replace(d, '.', '')::DOUBLE / pow(10e0, length(split_part(d, '.', -1))) END END AS x FROM n),
+w AS (SELECT v.*, x * {_factor_sql("u")} * CASE WHEN {_currency_sql("u")} = 'VND' THEN 1e0 ELSE f.vnd_per_unit END AS cell_vnd,
+   expected_answer * {_factor_sql("eu")} * CASE WHEN {_currency_sql("eu")} = 'VND' THEN 1e0 ELSE g.vnd_per_unit END AS answer_vnd
+  FROM v LEFT JOIN fx_rates f ON f.currency = {_currency_sql("u")} AND f.fx_year = y LEFT JOIN fx_rates g ON g.currency = {_currency_sql("eu")} AND g.fx_year = y)
+SELECT DISTINCT id FROM w WHERE abs(answer_vnd - cell_vnd) > 0.01e0 * abs(cell_vnd)"""
+
 ORACLE = {
+    "p6_found": _P6,
     "p2_found": rf"""
 WITH n AS (SELECT t.store_id, j.type AS ty, regexp_replace(regexp_replace(replace(replace(j.fullkey, '"', ''), '$', ''), {_LONE}), {_LONE}) AS p, j.fullkey AS k
   FROM table_store t, json_tree(t.payload) j WHERE json_valid(t.payload))
