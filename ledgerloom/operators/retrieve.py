@@ -27,8 +27,8 @@ def question_scopes(questions: DataFrame, companies: DataFrame) -> DataFrame:
 
 def scoped_documents(tables: DataFrame, companies: DataFrame, scopes: DataFrame) -> DataFrame:
     """(scope, doc_id, text) of the tables in each scope that is asked for; a scope without tables has no row and never falls back."""
-    names = F.broadcast(companies.select("ticker", "name").limit(S.MAX_COMPANIES))
-    t = tables.select("table_key", "ticker", "year", "variant", "searchable_text").join(names, "ticker", "left")
+    t = tables.select("table_key", "ticker", "year", "variant", "searchable_text")
+    t = join_checked(t, companies.select("ticker", "name"), "ticker", "left", 100)
     year, any_ = F.col("year").cast("string"), F.lit("*")
     own = [F.concat_ws("|", "ticker", y, v) for y in (any_, year) for v in (any_, F.col("variant"))]
     kept = F.array_distinct(F.array(F.lit(EVERYWHERE), *[F.when(F.col("ticker").isNotNull(), c) for c in own]))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.text import WORD, fold, tokens
+from ..session import join_checked
 from .index import STOP_WORDS
 
 # Vocabularies of scope resolution.
@@ -35,8 +36,6 @@ RATIOS = {
     "hệ số dòng tiền": ["lưu chuyển tiền thuần từ hoạt động kinh doanh", "nợ ngắn hạn"],
 }
 CONCEPT_BUDGET, CONCEPT_FLOOR, CONCEPT_POOL, TICKER_CAP = 10, 2, 15, 30
-#: Largest company registry that is broadcast (about 100 bytes an entry).
-MAX_COMPANIES = 100_000
 
 
 def years(question: Column) -> Column:
@@ -117,14 +116,15 @@ def resolved_tickers(questions: DataFrame, companies: DataFrame) -> DataFrame:
     without a literal take all companies with three or more name tokens in common; those with one keep
     it, unless one single best company has it among its name tokens.
     """
-    reg = F.broadcast(registry(companies.limit(MAX_COMPANIES)))
+    reg = registry(companies)
     q = questions.select("id", "question").dropDuplicates(["id"])
-    lit = q.select("id", F.explode(literal_codes(F.col("question"))).alias("ticker")).join(reg.select("ticker"), "ticker", "left_semi")
+    lit = q.select("id", F.explode(literal_codes(F.col("question"))).alias("ticker"))
+    lit = join_checked(lit, reg.select("ticker"), "ticker", "left_semi", 16)
     lit = lit.groupBy("id").agg(F.collect_set("ticker").alias("literal"))
-    ph = phrase_matches(q, companies).join(reg.select("ticker", "content"), "ticker").groupBy("id").agg(F.collect_set("ticker").alias("phrase"), F.array_distinct(F.flatten(F.collect_set("content"))).alias("phrase_tokens"))
+    ph = join_checked(phrase_matches(q, companies), reg.select("ticker", "content"), "ticker", "inner", 200).groupBy("id").agg(F.collect_set("ticker").alias("phrase"), F.array_distinct(F.flatten(F.collect_set("content"))).alias("phrase_tokens"))
     qt = q.select("id", F.explode(F.array_distinct(tokens(F.col("question"), STOP_WORDS))).alias("term"))
-    over = qt.join(reg.select("ticker", F.explode("plain").alias("term")), "term").groupBy("id", "ticker").agg(F.count("*").alias("n")).filter("n >= 3")
-    over = over.join(reg.select("ticker", "plain"), "ticker").groupBy("id").agg(F.collect_set("ticker").alias("strong"), F.collect_list(F.struct("n", "ticker", "plain")).alias("o"))
+    over = join_checked(qt, reg.select("ticker", F.explode("plain").alias("term")), "term", "inner", 40).groupBy("id", "ticker").agg(F.count("*").alias("n")).filter("n >= 3")
+    over = join_checked(over, reg.select("ticker", "plain"), "ticker", "inner", 200).groupBy("id").agg(F.collect_set("ticker").alias("strong"), F.collect_list(F.struct("n", "ticker", "plain")).alias("o"))
     best_n = F.array_max(F.transform("o", lambda x: x["n"]))
     over = over.withColumn("best", F.filter("o", lambda x: x["n"] == best_n)).drop("o")
     j = q.join(lit, "id", "left").join(ph, "id", "left").join(over, "id", "left")

@@ -251,8 +251,11 @@ def f_backfill(spark: SparkSession, sf: str) -> DataFrame:
  THEN 'cross_company_comparison' WHEN {_like("q", L.COMPARISON_WORDS)} THEN 'comparison' ELSE 'direct_lookup' END AS family
  FROM (SELECT id, question AS raw, lower(coalesce(question, '')) AS q FROM {_DQ})""")
 def l_family(spark: SparkSession, sf: str) -> DataFrame:
-    listed = table(spark, sf, "companies").agg(F.collect_set("ticker").alias("available"))  # the fixed registry as one row
-    return _asked(spark, sf).join(F.broadcast(listed)).select("id", L.family(F.col("question"), F.col("available")).alias("family"))
+    q = _asked(spark, sf)
+    listed = q.select("id", F.explode(S.code_words(F.col("question"))).alias("ticker")).join(table(spark, sf, "companies").select("ticker"), "ticker", "left_semi")
+    listed = listed.groupBy("id").agg(F.collect_set("ticker").alias("available"))
+    none = F.array().cast("array<string>")
+    return q.join(listed, "id", "left").select("id", L.family(F.col("question"), F.coalesce("available", none)).alias("family"))
 
 
 @query(rf"""SELECT id, nullif(trim(regexp_extract(coalesce(question, ''), '(?i)((?:nghìn\s*tỷ|tỷ|triệu|nghìn)?\s*(?:đồng|vnd|%))', 1)), '') AS unit FROM {_DQ}""")
