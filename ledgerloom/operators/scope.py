@@ -93,10 +93,10 @@ def phrase_matches(questions: DataFrame, companies: DataFrame) -> DataFrame:
     match strictly inside another company's longer match falls away.
     """
     runs = _runs(registry(companies))
-    widest = 12
+    widest = runs.agg(F.max("width")).first()[0] or 0  # no run of question tokens longer than a name can match
     q = questions.select("id", _content(F.col("question")).alias("t")).filter(F.size("t") > 0)
     q = q.withColumn("s", F.explode(F.sequence(F.lit(1), F.size("t"))))
-    q = q.withColumn("width", F.explode(F.sequence(F.lit(1), F.least(F.lit(widest), F.size("t") - F.col("s") + 1))))
+    q = q.withColumn("width", F.explode(F.sequence(F.lit(1), F.greatest(F.lit(1), F.least(F.lit(widest), F.size("t") - F.col("s") + 1)))))
     q = q.select("id", F.array_join(F.slice("t", F.col("s"), F.col("width")), " ").alias("run")).distinct()
     best = q.join(runs, "run").groupBy("id", "ticker", "n_content").agg(F.max_by(F.struct("run", "width", "longest"), F.struct("width", -F.col("s"))).alias("b"))
     w, long = F.col("b.width"), F.col("b.longest")
