@@ -12,7 +12,7 @@ import zlib
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ..session import settle
 
@@ -142,7 +142,8 @@ def shares(mixed: DataFrame, sizes_plan: DataFrame) -> DataFrame:
     """Per source: documents and tokens in the mixture, its share and the share aimed at."""
     m = mixed.groupBy("source").agg(F.count("*").alias("docs_used"), F.sum(F.col("n_tokens") * F.col("copies")).alias("tokens_used"), F.max("copies").alias("most_copies"))
     j = sizes_plan.select("source", "target_share", "max_repeats", "source_tokens").join(m, "source", "left").fillna(0, ["docs_used", "tokens_used", "most_copies"])
-    total = m.agg(F.sum("tokens_used").alias("total"))
-    return j.crossJoin(F.broadcast(total)).select(
+    # As many rows as targets, so one window holds them all.
+    j = j.withColumn("total", F.sum("tokens_used").over(Window.partitionBy(F.lit(0))))
+    return j.select(
         "source", "target_share", "max_repeats", "source_tokens", "docs_used", "tokens_used", "most_copies", F.coalesce(F.try_divide("tokens_used", "total"), F.lit(0.0)).alias("actual_share")
     )

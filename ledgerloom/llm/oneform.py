@@ -134,11 +134,13 @@ def look_alike_pairs(items: DataFrame) -> DataFrame:
     keyed = settle(keyed)
     classes = keyed.groupBy("field", "g1", "g2").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).filter("lo <> hi").select("field", "g1", "g2")
     live = settle(join_checked(keyed, settle(classes), ["field", "g1", "g2"], "left_semi", 40))
-    kinds = live.select("field", "g1", "g2", "cls").distinct()
+    kinds = settle(live.select("field", "g1", "g2", "cls").distinct())
     kinds = kinds.alias("a").join(kinds.alias("b"), ["field", "g1", "g2"]).filter("a.cls < b.cls").select("field", "g1", "g2", F.col("a.cls").alias("cls_a"), F.col("b.cls").alias("cls_b"))
+    kinds = settle(kinds)
     left = live.select("field", "g1", "g2", F.col("cls").alias("cls_a"), F.col("key").alias("k1"))
     right = live.select("field", "g1", "g2", F.col("cls").alias("cls_b"), F.col("key").alias("k2"))
-    pairs = kinds.join(left, ["field", "g1", "g2", "cls_a"]).join(right, ["field", "g1", "g2", "cls_b"]).filter("k1 <> k2")
+    # While the pairs of classes are few, the members of a hot class stay where they lie here.
+    pairs = join_checked(left, kinds, ["field", "g1", "g2", "cls_a"], "inner", 48).join(right, ["field", "g1", "g2", "cls_b"]).filter("k1 <> k2")
     return pairs.select("field", F.least("k1", "k2").alias("key_a"), F.greatest("k1", "k2").alias("key_b")).distinct()
 
 
