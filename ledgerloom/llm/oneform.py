@@ -130,10 +130,10 @@ def look_alike_pairs(items: DataFrame) -> DataFrame:
         F.xxhash64("field", "scope", "form").alias("g1"),
         F.xxhash64("form", "scope", F.lit(7)).alias("g2"),
         F.xxhash64(F.regexp_replace("text", ORDINARY_BLANKS, "")).alias("cls"),
-    ).distinct()
+    )
     keyed = settle(keyed)
     classes = keyed.groupBy("field", "g1", "g2").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).filter("lo <> hi").select("field", "g1", "g2")
-    live = settle(join_checked(keyed, settle(classes), ["field", "g1", "g2"], "left_semi", 40))
+    live = settle(join_checked(keyed, settle(classes), ["field", "g1", "g2"], "left_semi", 40).distinct())
     kinds = settle(live.select("field", "g1", "g2", "cls").distinct())
     kinds = kinds.alias("a").join(kinds.alias("b"), ["field", "g1", "g2"]).filter("a.cls < b.cls").select("field", "g1", "g2", F.col("a.cls").alias("cls_a"), F.col("b.cls").alias("cls_b"))
     kinds = settle(kinds)
