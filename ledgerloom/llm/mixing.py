@@ -22,39 +22,44 @@ _EPS = 1e-9
 
 
 def flight(prob: np.ndarray, size: np.ndarray, rng: np.random.Generator) -> np.ndarray:
-    """Probabilities after the flight phase; at most two lie strictly between 0 and 1. Sums of prob and prob * size stay."""
-    p = prob.astype(float).tolist()
+    """Probabilities after the flight phase; at most two lie strictly between 0 and 1. Sums of prob and prob * size stay.
+
+    Two large units trade their chances while a small one takes up the difference in size. So the large
+    units are decided first, and what is left to land is about as large as the median unit.
+    """
+    p = np.where(prob < _EPS, 0.0, np.where(prob > 1 - _EPS, 1.0, prob)).astype(float).tolist()
     s = size.astype(float).tolist()
-    draws = iter(rng.random(len(p) * 2 + 8).tolist())
-    open_: list[int] = []
-    # Large units are decided first, so that what is left to land is small; equal sizes come in random order.
-    for unit in np.lexsort((rng.random(len(p)), -size)).tolist():
-        if not _EPS < p[unit] < 1 - _EPS:
-            p[unit] = round(p[unit])
-            continue
-        open_.append(unit)
-        if len(open_) < 3:
-            continue
-        a, b, c = open_
+    undecided = np.flatnonzero((prob >= _EPS) & (prob <= 1 - _EPS))
+    # By size, equal sizes in random order.
+    order = undecided[np.lexsort((rng.random(len(undecided)), -size[undecided]))].tolist()
+    draws = iter(rng.random(len(order) + 1).tolist())
+    head, tail = 0, len(order)
+    large: list[int] = []
+    small: int | None = None
+    while True:
+        while len(large) < 2 and head < tail:
+            large.append(order[head])
+            head += 1
+        if small is None and head < tail:
+            tail -= 1
+            small = order[tail]
+        if len(large) < 2 or small is None:
+            break
+        a, b, c = *large, small
         # A direction u with u_a + u_b + u_c = 0 and s_a u_a + s_b u_b + s_c u_c = 0.
         u = (s[c] - s[b], s[a] - s[c], s[b] - s[a])
-        if abs(u[0]) + abs(u[1]) + abs(u[2]) < _EPS:
+        if max(map(abs, u)) < _EPS:
             u = (1.0, -1.0, 0.0)
-        up = min(((1 - p[i]) / v if v > 0 else -p[i] / v) for i, v in zip(open_, u) if v)
-        down = min((p[i] / v if v > 0 else (p[i] - 1) / v) for i, v in zip(open_, u) if v)
+        moved = [(i, v) for i, v in zip((a, b, c), u) if v]
+        up = min((1 - p[i]) / v if v > 0 else -p[i] / v for i, v in moved)
+        down = min(p[i] / v if v > 0 else (p[i] - 1) / v for i, v in moved)
         step = up if next(draws) * (up + down) < down else -down
-        keep = []
-        for i, v in zip(open_, u):
+        for i, v in moved:
             x = p[i] + step * v
-            if x < _EPS:
-                p[i] = 0.0
-            elif x > 1 - _EPS:
-                p[i] = 1.0
-            else:
-                p[i] = x
-                keep.append(i)
-        open_ = keep
-    return np.array(p)
+            p[i] = 0.0 if x < _EPS else 1.0 if x > 1 - _EPS else x
+        large = [i for i in large if 0 < p[i] < 1]
+        small = c if 0 < p[c] < 1 else None
+    return np.array(p, dtype=float)
 
 
 def landing(prob: np.ndarray, size: np.ndarray, rng: np.random.Generator) -> np.ndarray:
