@@ -14,6 +14,14 @@ def test_flight_keeps_totals_and_leaves_two():
     assert open_.sum() <= 2 and abs(q.sum() - p.sum()) < 1e-6 and abs((q * s).sum() - (p * s).sum()) < 1e-3
 
 
+def test_what_is_left_is_small():
+    rng = np.random.default_rng(5)
+    s = np.sort(rng.pareto(1.2, 2000) * 100 + 10)
+    p = np.full(2000, 0.4)
+    z = mixing.landing(p, s, rng)
+    assert abs((z * s).sum() - 0.4 * s.sum()) <= 3 * np.median(s) and abs(z.sum() - 800) <= 1
+
+
 def test_inclusion_probabilities_are_kept():
     p, s = np.array([0.2, 0.5, 0.7, 0.4, 0.9, 0.3]), np.array([5.0, 1.0, 9.0, 4.0, 2.0, 7.0])
     mean = np.mean([mixing.flight(p, s, np.random.default_rng(i)) for i in range(4000)], axis=0)
