@@ -11,10 +11,16 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.text import fold
+from ..functions.text import fold, let
 from ..functions.units import amount, currency_of, declared_phrase, is_amount, scale_of, unit_phrase
+from .link import is_value_column
 
 HEADER_ROWS = 6
+#: A cell that is a period, a year or a day of one, though it reads as an amount.
+PERIOD_CELL = r"^(?:[0-9]{1,2}[./-][0-9]{1,2}[./-])?(?:19|20)[0-9]{2}$"
+#: Headers of balances and flows of the year before, folded.
+OPENING_DAY = r"(?<![0-9])0?1[./-]0?1[./-]((?:19|20)[0-9]{2})(?![0-9])"
+YEAR_BEFORE = r"(?<![a-z])(?:(?:nam|ky) truoc|dau (?:nam|ky)|(?:prior|previous|last) (?:year|period)|opening|beginning)(?![a-z])"
 #: Powers of ten between known units of money.
 FACTORS = (3, 6, 9, 12)
 
@@ -141,8 +147,48 @@ def unit_shifts(history: DataFrame, penalty: float = 2.0, slack: float = 0.35) -
     return points.mapInPandas(lambda it: _segment(it, penalty, slack), schema)
 
 
+def head_rows(grid: Column, depth: Column) -> Column:
+    """How many rows at the top are header: the first, the declared depth and those repeating the first row's
+    first cell, as spans leave them; none from the first row on that holds an amount other than a period."""
+    first = F.get(F.get(grid, F.lit(0)), F.lit(0))
+    period = lambda c: F.trim(c).rlike(PERIOD_CELL)
+    counted = lambda r: F.exists(F.slice(r, 2, 1_000_000), lambda c: is_amount(c) & ~period(c))
+    head = lambda r, i: ((i == 0) | (i < F.coalesce(depth, F.lit(0))) | F.get(r, F.lit(0)).eqNullSafe(first)) & ~F.coalesce(counted(r), F.lit(False))
+    top = F.slice(grid, 1, HEADER_ROWS)
+    end = F.array_position(F.transform(top, head), F.lit(False))
+    return F.when(end > 0, (end - 1).cast("int")).otherwise(F.size(top))
+
+
+def period_year(header: Column, year: Column) -> Column:
+    """The year a column's amounts are of: the one in its header (an opening balance of 1 January is of the
+    year before), else the year before for a header that says so, else the table's."""
+    h = fold(header)
+    opening, named = F.regexp_extract(h, OPENING_DAY, 1).try_cast("int"), F.regexp_extract(h, r"(?<![0-9])((?:19|20)[0-9]{2})(?![0-9])", 1).try_cast("int")
+    return F.coalesce(opening - 1, named, F.when(h.rlike(YEAR_BEFORE), year - 1).otherwise(year))
+
+
+def amount_rows(tables: DataFrame, *keep: Column) -> DataFrame:
+    """keep, row_index, row, series and cols of every row below the header; cols has the year and whether it can hold amounts (ok) by column."""
+    t = tables.filter(F.size("grid") > 0).withColumn("_year", table_year(F.col("year"), F.col("report_id"))).withColumn("_head", head_rows(F.col("grid"), F.col("header_depth")))
+    width = F.aggregate("grid", F.lit(0), lambda m, r: F.greatest(m, F.size(r)))
+    paths = F.map_from_entries(F.array_distinct(F.transform(F.coalesce("column_metadata", F.array().cast(tables.schema["column_metadata"].dataType)), lambda m: F.struct(m["column_index"], m["header_path"]))))
+
+    def columns(by_column):
+        def column(i):
+            said = F.array_compact(F.concat(F.transform(F.slice("grid", F.lit(1), F.col("_head")), lambda r: F.get(r, i)), F.array(F.try_element_at(by_column, i))))
+            return let(said, lambda h: F.named_struct(F.lit("year"), period_year(F.array_join(h, " "), F.col("_year")), F.lit("ok"), F.forall(h, lambda x: is_value_column(i, x))))
+
+        return F.transform(F.sequence(F.lit(0), F.greatest(width - 1, F.lit(0))), column)
+
+    who = F.concat_ws("|", "ticker", "variant")
+    # Columns are worked out once a table, before its rows are exploded.
+    t = t.select(*keep, who.alias("_who"), "_head", "grid", let(paths, columns).alias("cols"))
+    rows = t.select(*t.columns, F.posexplode("grid").alias("row_index", "row")).drop("grid").filter("row_index >= _head")
+    return rows.withColumn("series", F.concat_ws("|", "_who", F.trim(F.regexp_replace(fold(F.get("row", F.lit(0))), r"\s+", " ")))).drop("_who", "_head")
+
+
 def label_history(tables: DataFrame) -> DataFrame:
-    """series (ticker, variant, folded row label), year, value as recorded: the first numeric cell of each row."""
-    t = tables.filter(F.size("grid") > 1).select(F.concat_ws("|", "ticker", "variant").alias("who"), table_year(F.col("year"), F.col("report_id")).alias("year"), F.explode(F.slice("grid", 2, 1_000_000)).alias("row"))
-    nums = F.filter(F.transform(F.slice("row", 2, 1_000_000), amount), lambda v: v.isNotNull() & (F.abs(v) >= 1000))
-    return t.select(F.concat_ws("|", "who", F.trim(F.regexp_replace(fold(F.col("row")[0]), r"\s+", " "))).alias("series"), "year", F.get(nums, F.lit(0)).alias("value")).filter(F.col("value").isNotNull())
+    """series (ticker, variant, folded row label), year, value as recorded: every numeric cell of the columns
+    that can hold amounts, whatever its size, with the year of its own column. Codes and notes are left out by header."""
+    cells = F.filter(F.transform("row", lambda c, i: F.struct(F.get("cols", i).alias("c"), c.alias("cell"))), lambda x: (x["c"]["ok"]) & is_amount(x["cell"]))
+    return amount_rows(tables).select("series", F.explode(cells).alias("x")).select("series", F.col("x.c.year").alias("year"), amount(F.col("x.cell")).alias("value"))

@@ -100,3 +100,17 @@ def test_unit_shifts(spark):
     got = {(r.series, r.segment): (r.first_year, r.last_year, r.unit_power) for r in amounts.unit_shifts(h).collect()}
     assert got == {("a", 0): (2014, 2017, 6), ("a", 1): (2018, 2021, 0), ("b", 0): (2020, 2020, 0)}
     assert amounts.unit_shifts(h.limit(0)).count() == 0
+
+
+def test_label_history_takes_every_amount_cell_with_its_columns_year(spark):
+    meta = "array<struct<column_index:int,header_path:string>>"
+    schema = f"ticker string, variant string, year int, report_id string, header_depth int, column_metadata {meta}, grid array<array<string>>"
+    notes = [["Chỉ tiêu", "Mã số", "Thuyết minh", "Số cuối năm (tỷ đồng)", "Số đầu năm"], ["Tiền  gửi", "100", "7", "744,2", "614,3"], ["Vay", "110", "", "-", "5"]]
+    two = [["Nợ", "Số liệu kiểm toán", "Số liệu kiểm toán", "Giá gốc"], ["Nợ", "31.12.2019", "01/01/2019", "Giá gốc"], ["Nợ", "(12)", "2.000", "3"]]
+    bare = [["Vay", "1.234", "8"], ["Nợ", "", "9"]]
+    rows = [("A", "s", 2020, "r", 0, [(1, "Mã số"), (2, "")], notes), ("B", "s", 2019, "r", 1, None, two), ("C", "s", None, "C_2018", 0, [], bare), ("D", "s", 2020, "r", 0, None, []), ("D", "s", 2020, "r", 0, None, None)]
+    got = sorted(tuple(r) for r in amounts.label_history(spark.createDataFrame(rows, schema)).collect())
+    assert got == [
+        ("A|s|tien gui", 2019, 614.3), ("A|s|tien gui", 2020, 744.2), ("A|s|vay", 2019, 5.0), ("B|s|no", 2018, 2000.0), ("B|s|no", 2019, -12.0), ("B|s|no", 2019, 3.0),
+        ("C|s|no", 2018, 9.0), ("C|s|vay", 2018, 8.0), ("C|s|vay", 2018, 1234.0),
+    ]
