@@ -8,6 +8,7 @@ surrogate key and their own ordinal; all of it stays in the JVM.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import ArrayType, StructType
 
 from ..session import settle
 
@@ -97,7 +98,7 @@ def child_tables(levels: DataFrame, id_col: str, wanted: dict[str, dict[str, str
     """
     return {
         array: levels.filter(F.col("name") == array).select(
-            id_col, "path", "parent_path", "ordinal", *[F.try_variant_get("element", f"$.{f}", t).alias(f) for f, t in types.items()], F.try_variant_get("element", "$", "string").alias("value")
+            id_col, "path", "parent_path", "ordinal", *[F.try_variant_get("element", f"$.{f}", t).alias(f) for f, t in types.items()], F.when(kind(F.col("element")) == "scalar", F.try_variant_get("element", "$", "string")).alias("value")
         )
         for array, types in wanted.items()
     }
@@ -106,7 +107,48 @@ def child_tables(levels: DataFrame, id_col: str, wanted: dict[str, dict[str, str
 def flatten_typed(df: DataFrame, id_col: str, array_col: str, parent_key: Column | None = None) -> DataFrame:
     """Array of structs of a typed table as child rows: id, parent key, ordinal and the struct's fields.
 
-    Null arrays and null elements give no row; ordinals are those of the stored array.
+    Null arrays and null elements give no row; ordinals are those of the stored array. Arrays inside the
+    struct stay as they are; `flatten_nested` has them as tables.
     """
     keyed = df.select(F.col(id_col), (parent_key if parent_key is not None else F.col(id_col)).alias("parent_key"), F.posexplode(array_col).alias("ordinal", "e"))
     return keyed.filter(F.col("e").isNotNull()).select(id_col, "parent_key", "ordinal", "e.*")
+
+
+def flatten_nested(df: DataFrame, id_col: str, array_col: str, parent_key: Column | None = None) -> dict[str, DataFrame]:
+    """A typed array and all arrays nested in its elements, at any depth, as child tables by path (array names joined by a point).
+
+    Columns: id_col, parent_key, one `<array>_ordinal` of each enclosing array from the outermost on (a name
+    met before gets its depth in front), ordinal, then the element's fields without nested arrays, or `value`
+    where the element is no struct; structs stay whole. The enclosing ordinals together with id_col are the parent's key. Arrays in
+    structs inside the element are found too. Null arrays and elements give no row; ordinals are those stored.
+    """
+    out: dict[str, DataFrame] = {}
+
+    def walk(held: DataFrame, path: tuple[str, ...], above: list[str]) -> None:
+        # held: id_col, parent_key, enclosing ordinals, and array _a.
+        level = held.select(id_col, "parent_key", *above, F.posexplode("_a").alias("ordinal", "_e")).filter(F.col("_e").isNotNull())
+        kind = level.schema["_e"].dataType
+        nested: list[tuple[tuple[str, ...], Column]] = []
+
+        def arrays(at: Column, t: StructType, names: tuple[str, ...]) -> None:
+            for f in t.fields:
+                if isinstance(f.dataType, ArrayType):
+                    nested.append(((*names, f.name), at[f.name]))
+                elif isinstance(f.dataType, StructType):
+                    arrays(at[f.name], f.dataType, (*names, f.name))
+
+        if isinstance(kind, StructType):
+            arrays(F.col("_e"), kind, ())
+            fields = [F.col("_e")[f.name].alias(f.name) for f in kind.fields if not isinstance(f.dataType, ArrayType)]
+        else:
+            fields = [F.col("_e").alias("value")]
+            if isinstance(kind, ArrayType):
+                nested.append((("element",), F.col("_e")))
+                fields = []
+        out[".".join(path)] = level.select(id_col, "parent_key", *above, "ordinal", *fields)
+        own = f"{path[-1]}_ordinal" if f"{path[-1]}_ordinal" not in above else f"{len(above)}_{path[-1]}_ordinal"
+        for names, array in nested:
+            walk(level.select(id_col, "parent_key", *above, F.col("ordinal").alias(own), array.alias("_a")), (*path, *names), [*above, own])
+
+    walk(df.select(F.col(id_col), (parent_key if parent_key is not None else F.col(id_col)).alias("parent_key"), F.col(array_col).alias("_a")), (array_col,), [])
+    return out

@@ -31,11 +31,37 @@ def p2_row_labels(spark: SparkSession, sf: str) -> DataFrame:
     return kids["row_labels"].unionByName(kids["sub_labels"]).select("store_id", "path", "parent_path", "ordinal", "row_index", "column_index", "label")
 
 
+def _store_child(spark: SparkSession, sf: str, array: str) -> DataFrame:
+    levels = shred.flatten_levels(table(spark, sf, "table_store"), "store_id", "payload")
+    return shred.child_tables(levels, "store_id", {array: CHILDREN[array]})[array]
+
+
+def p2_tables(spark: SparkSession, sf: str) -> DataFrame:
+    return _store_child(spark, sf, "tables")
+
+
+def p2_columns(spark: SparkSession, sf: str) -> DataFrame:
+    return _store_child(spark, sf, "column_metadata")
+
+
+def p2_period_labels(spark: SparkSession, sf: str) -> DataFrame:
+    """Periods of tables have their fields, those of columns are texts in value."""
+    return _store_child(spark, sf, "period_labels")
+
+
 def p2_norm_columns(spark: SparkSession, sf: str) -> DataFrame:
     t = table(spark, sf, "norm_tables")
     return shred.flatten_typed(t, "record_id", "column_metadata", F.col("table_key")).drop("period_labels")
 
 
+def p2_norm_column_periods(spark: SparkSession, sf: str) -> DataFrame:
+    return shred.flatten_nested(table(spark, sf, "norm_tables"), "record_id", "column_metadata", F.col("table_key"))["column_metadata.period_labels"]
+
+
+def p2_norm_period_labels(spark: SparkSession, sf: str) -> DataFrame:
+    return shred.flatten_nested(table(spark, sf, "norm_tables"), "record_id", "period_labels", F.col("table_key"))["period_labels"]
+
+
 def p2_norm_row_labels(spark: SparkSession, sf: str) -> DataFrame:
     return shred.flatten_typed(table(spark, sf, "norm_tables"), "record_id", "row_labels", F.col("table_key"))
 
@@ -72,7 +98,7 @@ def p6_unit_shifts(spark: SparkSession, sf: str) -> DataFrame:
     return amounts.unit_shifts(amounts.label_history(table(spark, sf, "norm_tables")))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_schema, p2_row_labels, p2_norm_columns, p2_norm_row_labels, p4_found, p4_candidates, p4_anomalies, p6_found, p6_answers_vnd, p6_cells_vnd, p6_unit_shifts)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_schema, p2_row_labels, p2_tables, p2_columns, p2_period_labels, p2_norm_columns, p2_norm_column_periods, p2_norm_period_labels, p2_norm_row_labels, p4_found, p4_candidates, p4_anomalies, p6_found, p6_answers_vnd, p6_cells_vnd, p6_unit_shifts)}
 
 _NAMES = "tables|column_metadata|period_labels|row_labels|sub_labels"
 _LONE = rf"'\.({_NAMES})(\.|$)', '.\1[0]\2', 'g'"
@@ -95,6 +121,17 @@ j AS (SELECT line_id, feed, c, CASE WHEN NOT good THEN 'quoting'
    END AS reason FROM f)
 """
 
+def _child_sql(array: str) -> str:
+    """Child table of one array of table_store, by the paths of json_tree."""
+    fields = ", ".join(f"try_cast(v ->> '$.{f}' AS {'VARCHAR' if t == 'string' else 'BIGINT'}) AS {f}" for f, t in CHILDREN[array].items())
+    return rf"""
+WITH n AS (SELECT t.store_id, j.type AS ty, j.value AS v, regexp_replace(regexp_replace(replace(replace(j.fullkey, '"', ''), '$', ''), {_LONE}), {_LONE}) AS p, j.fullkey AS k
+  FROM table_store t, json_tree(t.payload) j WHERE json_valid(t.payload))
+SELECT store_id, p[2:] AS path, nullif(regexp_replace(p[2:], '\.?{array}\[[0-9]+\]$', ''), '') AS parent_path, regexp_extract(p, '\[([0-9]+)\]$', 1)::INT AS ordinal, {fields},
+  CASE WHEN ty NOT IN ('OBJECT', 'ARRAY') THEN v ->> '$' END AS value
+FROM n WHERE ty <> 'NULL' AND regexp_matches(p, '\.{array}\[[0-9]+\]$') AND NOT (ty = 'ARRAY' AND regexp_matches(replace(k, '"', ''), '\.{array}$'))"""
+
+
 # Units in SQL, written for themselves: a phrase is what stands between signs that are no letters or digits.
 def _one_sql(c: str) -> str:
     src, dst = (x.replace("'", "''") for x in (ONE_SRC, ONE_DST))
@@ -152,9 +189,19 @@ WITH n AS (SELECT t.store_id, j.type AS ty, regexp_replace(regexp_replace(replac
 SELECT store_id, p[2:] AS path FROM n
 WHERE ty <> 'NULL' AND regexp_matches(p, '\.({_NAMES})\[[0-9]+\]$')
   AND NOT (ty = 'ARRAY' AND regexp_matches(replace(k, '"', ''), '\.({_NAMES})$'))""",
+    "p2_tables": _child_sql("tables"),
+    "p2_columns": _child_sql("column_metadata"),
+    "p2_period_labels": _child_sql("period_labels"),
     "p2_norm_columns": """
 WITH e AS (SELECT record_id, table_key, unnest(column_metadata) AS m, generate_subscripts(column_metadata, 1) - 1 AS ordinal FROM norm_tables)
 SELECT record_id, table_key AS parent_key, ordinal::INT AS ordinal, m.column_index, m.header_path, m.source_unit, m.scale_to_vnd FROM e WHERE m IS NOT NULL""",
+    "p2_norm_column_periods": """
+WITH e AS (SELECT record_id, table_key, unnest(column_metadata) AS m, generate_subscripts(column_metadata, 1) - 1 AS o FROM norm_tables),
+p AS (SELECT record_id, table_key, o, unnest(m.period_labels) AS value, generate_subscripts(m.period_labels, 1) - 1 AS ordinal FROM e WHERE m IS NOT NULL)
+SELECT record_id, table_key AS parent_key, o::INT AS column_metadata_ordinal, ordinal::INT AS ordinal, value FROM p WHERE value IS NOT NULL""",
+    "p2_norm_period_labels": """
+WITH e AS (SELECT record_id, table_key, unnest(period_labels) AS m, generate_subscripts(period_labels, 1) - 1 AS ordinal FROM norm_tables)
+SELECT record_id, table_key AS parent_key, ordinal::INT AS ordinal, m.row_index, m.column_index, m.label FROM e WHERE m IS NOT NULL""",
     "p2_norm_row_labels": """
 WITH e AS (SELECT record_id, table_key, unnest(row_labels) AS m, generate_subscripts(row_labels, 1) - 1 AS ordinal FROM norm_tables)
 SELECT record_id, table_key AS parent_key, ordinal::INT AS ordinal, m.row_index, m.column_index, m.label FROM e WHERE m IS NOT NULL""",

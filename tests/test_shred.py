@@ -71,3 +71,12 @@ def test_child_tables_and_types(spark):
     assert got == [(0, 2, "a"), (1, None, None), (2, None, None)]
     typed = spark.createDataFrame([(1, [(1, "x"), None]), (2, None), (3, [])], "id int, arr array<struct<a:int,b:string>>")
     assert [tuple(r) for r in shred.flatten_typed(typed, "id", "arr", F.lit("k")).collect()] == [(1, "k", 0, 1, "x")]
+
+
+def test_nested_arrays_become_tables_of_their_own(spark):
+    rows = [(1, [("a", ["x", None, "y"], (7, [([3],)])), None, ("b", None, None)]), (2, None), (3, [])]
+    df = spark.createDataFrame(rows, "id int, arr array<struct<n:string,arr:array<string>,s:struct<k:int,deep:array<struct<v:array<int>>>>>>")
+    kids = {k: [tuple(r) for r in d.collect()] for k, d in shred.flatten_nested(df, "id", "arr", F.lit("k")).items()}
+    assert kids["arr"][0][:4] == (1, "k", 0, "a") and len(kids["arr"]) == 2 and kids["arr"][1][2] == 2
+    assert kids["arr.arr"] == [(1, "k", 0, 0, "x"), (1, "k", 0, 2, "y")]
+    assert kids["arr.s.deep"] == [(1, "k", 0, 0)] and kids["arr.s.deep.v"] == [(1, "k", 0, 0, 0, 3)]
