@@ -2,11 +2,13 @@
 
 A multi-pattern automaton over canonical names and aliases finds embedded mentions; of overlapping
 ones the longest wins. What a question names (its slots, read by cue words) without such a mention
-goes to token-set similarity; a name or code that is close to no entry is reported as NONE.
+is compared whole by edit distance, then by the overlap of token sets, where rare tokens weigh more and a
+token may have a slip; a name or code that is close to no entry is reported as NONE.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections import defaultdict
 from collections.abc import Iterator
@@ -18,6 +20,8 @@ from ..functions.text import fold_text
 from .oneform import one_form
 
 NONE = "NONE"
+#: Least weighted overlap of token sets, and how far it must be ahead of the next entry's.
+OVERLAP, AHEAD = 0.8, 0.05
 #: Largest reference list that is sent to every worker (about 200 bytes an entry).
 MAX_ENTRIES = 100_000
 
@@ -98,6 +102,14 @@ def grams(s: str) -> set[str]:
     return {s[i : i + 2] for i in range(len(s) - 1)}
 
 
+def dropped(s: str) -> set[str]:
+    """s and s with one letter left out; strings one edit apart share one of these."""
+    return {s, *(s[:i] + s[i + 1 :] for i in range(len(s)))}
+
+
+_SECTOR_WORDS = {w for k, v in SECTORS.items() for w in f"{k} {v}".split()}
+
+
 class Matcher:
     """Automaton and similarity index over (ticker, name) entries."""
 
@@ -136,6 +148,28 @@ class Matcher:
             for g in grams(s):
                 self.index[g].append(s)
 
+        # Token sets of each entry, under the tokens of its brand and those with one letter left out.
+        self.sets: dict[str, tuple[set[str], list[set[str]]]] = {}
+        for ticker, name in entries:
+            full = words(fold_text(one_form(name)))
+            sector, brand = self.parts(full)
+            own = set(brand.split())
+            sets = [own, own | set(sector.split()), own | set(SECTORS.get(sector, "").split()), set(bare(full).split())]
+            self.sets[ticker] = own, [x for k, x in enumerate(sets) if x and x not in sets[:k]]
+        self.holders: dict[str, set[str]] = defaultdict(set)
+        df: dict[str, int] = defaultdict(int)
+        for ticker, (own, sets) in self.sets.items():
+            for t in own:
+                self.holders[t].add(ticker)
+            for t in set().union(*sets):
+                df[t] += 1
+        self.weight = {t: math.log(1 + len(self.sets) / n) for t, n in df.items()}
+        self.rarest = math.log(1 + len(self.sets))
+        self.near: dict[str, set[str]] = defaultdict(set)
+        for t in self.holders:
+            for v in dropped(t):
+                self.near[v].add(t)
+
     @staticmethod
     def parts(full: str) -> tuple[str, str]:
         """Sector and brand of a canonical name; a group or a bank counts as sector only without another one."""
@@ -179,8 +213,45 @@ class Matcher:
                 return False
         return True
 
+    def paired(self, toks: set[str], names: set[str]) -> tuple[set[str], set[str], int]:
+        """Tokens of a slot and of a name that go together, and the slips in them."""
+        same = toks & names
+        left, rest, slips = set(same), set(same), 0
+        for t in sorted(toks - same):
+            fits = [n for n in sorted(names - rest) if min(len(t), len(n)) >= 3 and edits(t, n, 1) <= 1]
+            if fits:
+                left.add(t)
+                rest.add(fits[0])
+                slips += 1
+        return left, rest, slips
+
+    def overlap(self, slot: str) -> str:
+        """The one entry whose token set overlaps the slot's most, by weight and far enough, else NONE.
+
+        Two tokens of the brand, or all of it, must be there, and a sector that isn't the entry's own rules it
+        out. Slips are as many as `nearest` allows, never in all tokens of the brand, and none beside an added token.
+        """
+        toks = {t for t in bare(slot).split() if t not in self.tickers}
+        heavy = lambda ts: sum(self.weight.get(t, self.rarest) for t in ts)
+        limit = 1 if sum(map(len, toks)) < 14 else 2
+        score: dict[str, float] = {}
+        for ticker in {k for t in toks for v in dropped(t) for n in self.near.get(v, ()) for k in self.holders[n]}:
+            own, sets = self.sets[ticker]
+            for names in sets:
+                left, rest, slips = self.paired(toks, names)
+                extra = toks - left
+                if slips > limit or slips and extra or extra & _SECTOR_WORDS or not own & toks or len(own & rest) < min(2, len(own)):
+                    continue
+                both = heavy(rest)
+                score[ticker] = max(score.get(ticker, 0.0), 2 * both / (2 * both + heavy(names - rest) + heavy(extra)) - 0.01 * slips)
+        if not score:
+            return NONE
+        ranked = sorted(score.items(), key=lambda x: -x[1])
+        ahead = len(ranked) == 1 or ranked[0][1] - ranked[1][1] >= AHEAD
+        return ranked[0][0] if ranked[0][1] >= OVERLAP and ahead else NONE
+
     def similar(self, slot: str) -> str:
-        """The one entry whose name has the same set of tokens but for a slip of typing, else NONE."""
+        """The one entry whose name, written without blanks, is the same but for a slip of typing, else NONE."""
         core = bare(slot)
         toks = core.split()
         if toks and toks[-1] in self.tickers and len(toks) > 1:
@@ -215,7 +286,8 @@ class Matcher:
         low = min(best.values(), default=0)
         return {t for t, d in best.items() if d == low}
 
-    def resolve(self, slot: str) -> str:
+    def resolve(self, slot: str, loose: bool = True) -> str:
+        """Entry of a slot or NONE; loose: by overlap of token sets where nothing stricter finds one."""
         slot = words(slot)
         if (c := self.code(slot)) is not None:
             return c
@@ -225,7 +297,9 @@ class Matcher:
                 return fit[0]
         code = slot.split()[-1] if slot else ""
         name = self.similar(slot)
-        return self.tickers[code] if name == NONE and code in self.tickers and len(slot.split()) > 1 else name
+        if name == NONE and code in self.tickers and len(slot.split()) > 1:
+            return self.tickers[code]
+        return self.overlap(slot) if name == NONE and loose else name
 
     def found(self, question: str | None) -> list[str]:
         """Tickers a question names, in order, each once; NONE for a name off the list; nothing if it names none."""
@@ -236,7 +310,7 @@ class Matcher:
                 if p is HAS:
                     # The cue word is also a syllable of legal forms: the first split that names an entry counts.
                     parts = text.split(" co ")
-                    named = [self.resolve(" co ".join(parts[:k])) for k in range(1, len(parts))]
+                    named = [self.resolve(" co ".join(parts[:k]), loose) for loose in (False, True) for k in range(1, len(parts))]
                     return [next((t for t in named if t != NONE), NONE)]
                 return list(dict.fromkeys(self.resolve(s) for k, s in m.groupdict().items() if s and words(s)))
         out = [next(iter(of)) for _, _, _, of in sorted(self.mentions(words(text))) if len(of) == 1]

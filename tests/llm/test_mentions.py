@@ -56,3 +56,14 @@ def test_cited_tables_name_the_company():
     rows = con.execute(f"SELECT DISTINCT q.question, split_part(a.table_key, '_', 1) FROM '{sf}/dev_questions.parquet' q JOIN '{sf}/dev_answers.parquet' a USING (id) WHERE a.table_key IS NOT NULL").fetchall()
     right = sum(t in m.found(q) for q, t in rows)
     assert right >= 0.97 * len(rows)
+
+
+@pytest.mark.parametrize(
+    "name,want",
+    [
+        ("Hoành Thoa Ngọ", "WP4"), ("Thoa Hoành Ngọ Cấp nước", "WP4"), ("Cấp nước Hoành Thoa", "WP4"), ("Gềnh Phác Chứng khoán", "ZNC"), ("Thoa Hoanh Nggo", "WP4"), ("Sâm Luyện Việt Cao su", "XDN"),
+        ("Nhựa Thoa Hoành Ngọ", NONE), ("Gềnh Phác", NONE), ("Chứng khoán Gềnh", NONE), ("Quế Luyện Nhị", NONE),
+    ],
+)
+def test_token_sets(name, want):
+    assert Matcher(LIST).found(ask(name)) == [want]
