@@ -32,7 +32,9 @@ _PLAIN = _VIETNAMESE + _VIETNAMESE.upper()
 _ORDINARY = "\t\n\r" + "".join(map(chr, range(0x20, 0x7F))) + _PLAIN
 ORDINARY_BLANKS = r"[ \t\n\r]+"
 _SPACES = re.compile(ORDINARY_BLANKS)
-_TOKEN = re.compile(r"[^\W_]+", re.UNICODE)
+#: Combining marks belong to the token of the letter that carries them.
+_MARKS = "".join(c for c in map(chr, range(0x300, 0x20000)) if u.category(c).startswith("M"))
+_TOKEN = re.compile(rf"[^\W_](?:[^\W_]|[{re.escape(_MARKS)}])*", re.UNICODE)
 
 
 @lru_cache(maxsize=4096)
@@ -59,6 +61,15 @@ def _script(c: str) -> str:
 
 
 def _token(tok: str) -> str:
+    """A token in its one script. What a respelling leaves may be unmistakable for another script, so it is settled."""
+    for _ in range(4):
+        was, tok = tok, _respelled(tok)
+        if tok == was:
+            break
+    return tok
+
+
+def _respelled(tok: str) -> str:
     plain = u.normalize("NFD", tok)
     scripts = {s for s in map(_script, plain) if s}
     if scripts <= {"LATIN"} or not (scripts & set(_TO_LATIN)):

@@ -72,3 +72,13 @@ def test_items_of_tables_without_an_odd_text_are_left_out(spark):
     df = spark.createDataFrame(rows, "table_key string, report_id string, grid array<array<string>>, row_labels array<struct<row_index:int,column_index:int,label:string>>")
     pairs = [tuple(r) for r in oneform.look_alike_pairs(oneform.table_items(df)).collect()]
     assert pairs == [("grid", "k|1|0|0", "k|1|0|1")]
+
+
+@pytest.mark.parametrize("a,b", [("đô", "đ\u03bf\u0302"), ("Cộng", "C\u043e\u0323\u0302ng"), ("Cộng", "C\u03bf\u0302\u0323ng"), ("á", "\u0430\u0301")])
+def test_marks_on_look_alikes_compose(a, b):
+    assert one_form(b) == one_form(a) == a and one_form(one_form(b)) == one_form(b)
+
+
+@pytest.mark.parametrize("s", ["\u03b2\u0435\xf4", "-\u0430\u03b1\u03b2C.", "\u0421\u03b2\u039f", "\u043e\u0306C\u0323\u03b2"])
+def test_idempotent_over_three_scripts(s):
+    assert one_form(one_form(s)) == one_form(s)
