@@ -1,8 +1,9 @@
 """Quantities in different units brought to VND, and unit changes inside a source's history.
 
-Stated units (`cell_units`) are read from text: column header, else caption, else declaration. Where
-nothing states them, `unit_shifts` segments each history of yearly log values by an exact penalised
-changepoint search; level shifts that match a known factor mark a change of unit and are reversed.
+Stated units are read from text: column header, else caption, else declaration, else the detected units
+and the currency hint. Where nothing states them, `unit_shifts` segments each history of yearly log values
+by an exact penalised changepoint search; level shifts that match a known factor mark a change of unit, and
+`inferred_units` reverses them for the cells without a unit, which are marked as inferred.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.text import fold, let
 from ..functions.units import amount, currency_of, declared_phrase, is_amount, scale_of, unit_phrase
+from ..session import settle
 from .link import is_value_column
 
 HEADER_ROWS = 6
@@ -79,21 +81,66 @@ def off_answers(answers: DataFrame, tables: DataFrame, rates: DataFrame, toleran
     return j.groupBy(*keys).agg(F.min_by(F.struct(*kept), "record_id").alias("r")).select(*keys, "r.*")
 
 
+def agreed_unit(detected: Column, hint: Column) -> Column:
+    """The unit phrase on which all detected units agree, else that of the currency hint."""
+    said = F.array_distinct(F.filter(F.transform(detected, unit_phrase), lambda p: p.isNotNull()))
+    return F.coalesce(F.when(F.size(said) == 1, F.get(said, F.lit(0))), unit_phrase(hint))
+
+
 def table_amounts(tables: DataFrame, rates: DataFrame) -> DataFrame:
     """Every numeric cell below the header of every table, as recorded and in VND.
 
     Columns record_id, table_key, row_index, column_index, value, unit (folded phrase or null), value_vnd
-    (null where no unit is stated or no rate is known). Null or empty grids give no row.
+    (null where no unit is known or no rate), unit_source: stated (header, caption, declaration), detected
+    (detected units that agree, else the currency hint), inferred (from the history of the cell's series, see
+    `inferred_units`) or null. Null or empty grids give no row. Tables without the columns that an inference
+    or detection needs go without it.
     """
-    t = tables.filter(F.size("grid") > 0).select("record_id", "table_key", table_year(F.col("year"), F.col("report_id")).alias("fx_of"), "caption_context", "unit_declaration", "grid")
+    col = lambda c, kind: F.col(c) if c in tables.columns else F.lit(None).cast(kind)
+    t = tables.filter(F.size("grid") > 0)
     width = F.aggregate("grid", F.lit(0), lambda m, r: F.greatest(m, F.size(r)))
     heads = F.transform(F.sequence(F.lit(0), F.greatest(width - 1, F.lit(0))), lambda c: header_phrase(F.col("grid"), F.size("grid"), c))
-    t = t.withColumn("heads", heads).withColumn("other", stated_phrase(F.lit(None).cast("string"), F.col("caption_context"), F.col("unit_declaration")))
-    cells = t.select("record_id", "table_key", "fx_of", "heads", "other", F.posexplode("grid").alias("row_index", "row")).filter(F.col("row_index") > 0)
-    cells = cells.select("record_id", "table_key", "fx_of", "heads", "other", "row_index", F.posexplode("row").alias("column_index", "cell")).filter(F.col("column_index") > 0)
+    known = ["record_id", "table_key", "fx_of", "heads", "other", "hint"]
+    t = t.withColumn("fx_of", table_year(F.col("year"), F.col("report_id"))).withColumn("heads", heads)
+    t = t.withColumn("other", stated_phrase(F.lit(None).cast("string"), F.col("caption_context"), F.col("unit_declaration")))
+    t = t.withColumn("hint", agreed_unit(col("detected_units", "array<string>"), col("currency_hint", "string")))
+    cells = t.select(*known, F.posexplode("grid").alias("row_index", "row")).filter(F.col("row_index") > 0)
+    cells = cells.select(*known, "row_index", F.posexplode("row").alias("column_index", "cell")).filter(F.col("column_index") > 0)
     cells = cells.filter(is_amount(F.col("cell"))).withColumn("value", amount(F.col("cell")))
-    cells = cells.withColumn("unit", F.coalesce(F.get("heads", F.col("column_index")), F.col("other")))
-    return with_vnd(cells, rates, "value", "unit", "fx_of", "value_vnd").select("record_id", "table_key", "row_index", "column_index", "value", "unit", "value_vnd")
+    stated = F.coalesce(F.get("heads", F.col("column_index")), F.col("other"))
+    cells = cells.withColumn("unit", F.coalesce(stated, F.col("hint"))).withColumn("unit_source", F.when(stated.isNotNull(), "stated").when(F.col("hint").isNotNull(), "detected"))
+    cells = cells.drop("heads", "other", "hint", "cell")
+    if {"ticker", "variant", "header_depth", "column_metadata"} <= set(tables.columns):
+        guess = inferred_units(t)
+        cells = cells.filter("unit is not null").withColumn("power", F.lit(0)).unionByName(
+            cells.filter("unit is null").drop("unit", "unit_source").join(guess, ["record_id", "row_index", "column_index"], "left").withColumn("unit_source", F.when(F.col("unit").isNotNull(), "inferred")).withColumn("power", F.coalesce("power", F.lit(0)))
+        )
+    else:
+        cells = cells.withColumn("power", F.lit(0))
+    out = with_vnd(cells, rates, "value", "unit", "fx_of", "value_vnd").withColumn("value_vnd", F.col("value_vnd") / F.pow(F.lit(10.0), F.col("power").cast("double")))
+    return out.select("record_id", "table_key", "row_index", "column_index", "value", "unit", "value_vnd", "unit_source")
+
+
+def inferred_units(t: DataFrame) -> DataFrame:
+    """record_id, row_index, column_index, unit, power of amount cells without a known unit: the unit stated most often in the latest
+    segment of the cell's series that states one, and the power of ten to divide by to reach that segment's unit.
+
+    t: tables with heads, other and hint. Only series that hold such a cell are segmented; cells of series
+    that never state a unit give no row.
+    """
+    cells = F.filter(F.transform("row", lambda c, i: F.struct(i.alias("i"), F.get("cols", i).alias("c"), c.alias("cell"))), lambda x: x["c"]["ok"] & is_amount(x["cell"]))
+    rows = amount_rows(t, F.col("record_id"), F.col("heads"), F.coalesce("other", "hint").alias("known")).select("record_id", "row_index", "series", "heads", "known", F.explode(cells).alias("x"))
+    points = rows.select("record_id", "row_index", F.col("x.i").alias("column_index"), "series", F.col("x.c.year").alias("year"), F.coalesce(F.get("heads", F.col("x.i")), F.col("known")).alias("unit"), amount(F.col("x.cell")).alias("value"))
+    points = settle(points)
+    lost = points.filter("unit is null and year is not null")
+    mine = settle(points.join(lost.select("series").distinct(), "series", "left_semi"))
+    segments = settle(unit_shifts(mine.select("series", "year", "value")).select("series", "segment", "first_year", "last_year", "unit_power"))
+    inside = (F.col("p.series") == F.col("s.series")) & F.col("p.year").between(F.col("s.first_year"), F.col("s.last_year"))
+    said = mine.filter("unit is not null").groupBy("series", "year", "unit").count()
+    told = said.alias("p").join(segments.alias("s"), inside).groupBy("p.series", "segment", "unit_power", "unit").agg(F.sum("count").alias("n"))
+    best = told.groupBy("series").agg(F.max_by(F.struct("unit", F.col("unit_power").alias("base")), F.struct("segment", "n", "unit")).alias("b")).select("series", "b.*")
+    placed = lost.alias("p").join(segments.alias("s"), inside).select("record_id", "row_index", "column_index", "p.series", "unit_power")
+    return placed.join(best, "series").select("record_id", "row_index", "column_index", "unit", (F.col("unit_power") - F.col("base")).alias("power"))
 
 
 def pelt(y: np.ndarray, penalty: float) -> list[int]:

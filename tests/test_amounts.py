@@ -114,3 +114,13 @@ def test_label_history_takes_every_amount_cell_with_its_columns_year(spark):
         ("A|s|tien gui", 2019, 614.3), ("A|s|tien gui", 2020, 744.2), ("A|s|vay", 2019, 5.0), ("B|s|no", 2018, 2000.0), ("B|s|no", 2019, -12.0), ("B|s|no", 2019, 3.0),
         ("C|s|no", 2018, 9.0), ("C|s|vay", 2018, 8.0), ("C|s|vay", 2018, 1234.0),
     ]
+
+
+def test_cells_without_a_unit_get_it_from_their_history(spark):
+    schema = "record_id bigint, table_key string, report_id string, ticker string, variant string, year int, header_depth int, column_metadata array<struct<column_index:int,header_path:string>>, unit_declaration string, caption_context array<string>, detected_units array<string>, currency_hint string, grid array<array<string>>"
+    row = lambda i, who, year, said, cell, units=None, hint=None: (i, f"k|{i}", "r", who, "s", year, 1, None, said, None, units, hint, [["Chỉ tiêu", f"Năm {year}"], ["Tiền", cell]])
+    rows = [row(y, "A", y, "triệu đồng" if y > 2020 else None, "900" if y > 2017 else "900.000.000") for y in range(2014, 2024)]
+    rows += [row(1, "B", 2020, None, "5", ["Tỷ VND", "tỷ vnd"]), row(2, "C", 2020, None, "5", None, "USD"), row(3, "D", 2020, None, "5", ["VND", "USD"]), row(4, "C", 2020, "USD", "5")]
+    rates = spark.createDataFrame([("USD", 2020, 20_000.0)], "currency string, fx_year int, vnd_per_unit double")
+    got = {r.record_id: (r.value_vnd, r.unit_source) for r in amounts.table_amounts(spark.createDataFrame(rows, schema), rates).collect()}
+    assert got == {**{y: (9e8, "stated" if y > 2020 else "inferred") for y in range(2014, 2024)}, 1: (5e9, "detected"), 2: (1e5, "detected"), 3: (None, None), 4: (1e5, "stated")}
