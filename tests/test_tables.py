@@ -139,3 +139,13 @@ def test_stream_windows_equal_batch(spark, tmp_path):
     q.awaitTermination()
     key = lambda r: (str(r.window_start), r.event_type, r.n)
     assert sorted(map(key, spark.table("w").collect())) == sorted(map(key, ingest.windowed_counts(e).collect()))
+
+
+def test_plain_cells_do_not_use_up_the_span_budget():
+    from ledgerloom.operators import extract
+
+    rows = [[("x", 1, 1)] * 1000 for _ in range(extract.MAX_CELLS // 1000 + 1)] + [[("a", 1, 2), ("b", 1, 1)]]
+    said = []
+    grid = extract.dense(rows, said)
+    assert said == [] and grid[-1][:4] == ["a", "a", "b", ""]
+    assert extract.dense([[("a", extract.MAX_CELLS, 2), ("b", 1, 1)]], said) == [["a", "b"]] and said == ["span expansion cut"]
