@@ -1,10 +1,11 @@
 """One consistent form for text that looks the same but is stored with different characters.
 
-Per token, the script sets of its letters are intersected. An empty intersection (mixed script) or a
-token whose letters all have look-alikes in another script (whole-script confusable) is respelled in
-the one script that all its unmistakable letters belong to, Latin where there is none. Full-width and
-other compatibility forms, blanks and invisible characters are normalized; composition is NFC.
-Superscripts, case and accents are visible and stay.
+Letters drawn alike are one look, whatever their script. A token's resolved script set is the intersection, over its
+letters, of the scripts in which each letter's look can be written (by script extensions; signs common to all scripts
+don't count). If several scripts remain, or one that isn't the letters' own, the token is a mixed-script or whole-script
+confusable and is respelled in one of them: Latin if it is among them, else the first in a fixed order. If none remains,
+letters with a Latin look are written in Latin and the others stay. Full-width and other compatibility forms, blanks and
+invisible characters are normalized; composition is NFC. Superscripts, case and accents are visible and stay.
 """
 
 from __future__ import annotations
@@ -21,10 +22,24 @@ from pyspark.sql.types import StringType
 from ..functions.text import CYRILLIC_LOOKALIKES, GREEK_LOOKALIKES, INVISIBLE, LATIN_LOOKALIKES, WIDE_BLANKS
 from ..session import join_checked, settle
 
+# Letters of each script drawn like a Latin letter (beyond those of the core's tables), and letters that
+# two other scripts share. Letters that only resemble each other are not here.
+_LIKE_LATIN = {
+    "Cyrl": CYRILLIC_LOOKALIKES | dict(zip("ѴѵѡүЅԌ", "VvwySG")),
+    "Grek": GREEK_LOOKALIKES | dict(zip("ϹϲͿϳικυχγ", "CcJjikuxy")),
+    "Armn": dict(zip("ԼՕՍՏհյոսօզց", "LOUShjnuoqg")),
+    "Cher": dict(zip("ᎠᎢᎥᎪᎫᎬᎳᎷᎻᎽᏀᏃᏒᏙᏚᏞᏟᏢᏦᏴ", "DTiAJEWMHYGZRVSLCPKB")),
+    "Copt": dict(zip("ⲂⲎⲒⲔⲘⲚⲞⲟⲢⲣⲤⲥⲦⲨⲬⲭ", "BHIKMNOoPpCcTYXx")),
+    "Lisu": dict(zip("ꓮꓐꓚꓓꓰꓝꓖꓧꓲꓙꓗꓡꓟꓠꓳꓑꓣꓢꓔꓴꓦꓪꓫꓬꓜ", "ABCDEFGHIJKLMNOPRSTUVWXYZ")),
+}
+_LIKE_GREEK = {"Cyrl": dict(zip("ГПФф", "ΓΠΦφ"))}
+#: Scripts in order of preference, as a token's spelling.
+_SCRIPTS = ("Latn", "Cyrl", "Grek", "Armn", "Cher", "Copt", "Lisu", "Geor", "Hebr", "Arab", "Deva", "Beng", "Thai", "Laoo", "Khmr", "Ethi", "Hani", "Hira", "Kana", "Hang", "Bopo")
+#: Writing systems that use several scripts.
+_SYSTEMS = {"Hani": ("Jpan", "Kore", "Hanb"), "Hira": ("Jpan",), "Kana": ("Jpan",), "Hang": ("Kore",), "Bopo": ("Hanb",)}
+
 #: Compatibility mappings that keep the look; superscripts, subscripts, fractions and circles don't.
 _SAME_LOOK = ("<wide>", "<narrow>", "<compat>", "<noBreak>", "<font>", "<initial>", "<medial>", "<final>", "<isolated>")
-_TO_LATIN = {"CYRILLIC": CYRILLIC_LOOKALIKES, "GREEK": GREEK_LOOKALIKES}
-_FROM_LATIN = {s: {v: k for k, v in reversed(t.items())} for s, t in _TO_LATIN.items()}
 _DASHES = {"‐": "-", "‑": "-"}
 _VIETNAMESE = "àáảãạăằắẳẵặâầấẩẫậèéẻẽẹêềếểễệìíỉĩịòóỏõọôồốổỗộơờớởỡợùúủũụưừứửữựỳýỷỹỵđ"
 _PLAIN = _VIETNAMESE + _VIETNAMESE.upper()
@@ -46,48 +61,63 @@ def _char(c: str) -> str:
         return " "
     if c in _DASHES:
         return _DASHES[c]
+    if c in _LOOK:
+        return c
     d = u.decomposition(c)
-    if d.startswith(_SAME_LOOK):
+    if d.startswith(_SAME_LOOK) and not (d.startswith("<compat>") and _variant(c)):
         return "".join(_char(x) for x in u.normalize("NFKC", c))
     return LATIN_LOOKALIKES.get(c, c)
 
 
+def _variant(c: str) -> bool:
+    """Whether a letter's compatibility form is another shape of one letter, as the long s is, and not the same look."""
+    plain = u.normalize("NFKC", c)
+    return c != "\u00b5" and len(plain) == 1 and u.category(c)[0] == u.category(plain)[0] == "L" and u.name(plain, "").split(" ")[0] in ("LATIN", "GREEK")
+
+
+#: Per letter that has look-alikes: script to the letter of that script that looks the same.
+_LOOK: dict[str, dict[str, str]] = {}
+for _like, _home in ((_LIKE_LATIN, "Latn"), (_LIKE_GREEK, "Grek")):
+    for _script, _pairs in _like.items():
+        for _letter, _plain in _pairs.items():
+            _same = _LOOK.setdefault(_plain, {_home: _plain})
+            _same.setdefault(_script, _letter)
+            _LOOK[_letter] = _same
+
+
 @lru_cache(maxsize=4096)
-def _script(c: str) -> str:
-    """Script of a letter; empty for what belongs to all scripts."""
+def _scripts(c: str) -> frozenset[str] | None:
+    """Scripts in which the look of a letter can be written, by script extensions; None for what belongs to all scripts."""
     if not u.category(c).startswith("L"):
-        return ""
-    return u.name(c, "").split(" ")[0]
+        return None
+    if c in _LOOK:
+        return frozenset(_LOOK[c])
+    import regex
 
+    own = {s for s in _SCRIPTS if regex.match(rf"\p{{scx={s}}}", c)}
+    if not own and not regex.match(r"\p{scx=Common}|\p{scx=Inherited}", c):
+        own = {u.name(c, "unknown").split(" ")[0]}
+    return frozenset(own | {x for s in own for x in _SYSTEMS.get(s, ())}) or None
 
-def _token(tok: str) -> str:
-    """A token in its one script. What a respelling leaves may be unmistakable for another script, so it is settled."""
-    for _ in range(4):
-        was, tok = tok, _respelled(tok)
-        if tok == was:
-            break
-    return tok
 
+def resolved_scripts(tok: str) -> frozenset[str] | None:
+    """Intersection of the script sets of a token's letters: empty if they fit no one script, None without a letter."""
+    out: frozenset[str] | None = None
+    for c in u.normalize("NFD", tok):
+        s = _scripts(c)
+        if s is not None:
+            out = s if out is None else out & s
+    return out
 
-def _respelled(tok: str) -> str:
+
+def _token(tok: str) -> str:
+    """A token in its one script. The choice depends on the looks alone, so look-alike tokens meet and it is idempotent."""
     plain = u.normalize("NFD", tok)
-    scripts = {s for s in map(_script, plain) if s}
-    if scripts <= {"LATIN"} or not (scripts & set(_TO_LATIN)):
+    fit = resolved_scripts(tok)
+    if fit is None:
         return tok
-    sure = set()
-    for c in plain:
-        s = _script(c)
-        if s in _TO_LATIN and c not in _TO_LATIN[s]:
-            sure.add(s)
-        elif s == "LATIN" and not any(c in t for o, t in _FROM_LATIN.items() if o in scripts):
-            sure.add("LATIN")
-        elif s and s != "LATIN" and s not in _TO_LATIN:
-            sure.add(s)
-    target = "LATIN" if not sure else next(iter(sure)) if len(sure) == 1 else "LATIN"
-    latin = "".join(_TO_LATIN.get(_script(c), {}).get(c, c) for c in plain)
-    if target in _FROM_LATIN:
-        latin = "".join(_FROM_LATIN[target].get(c, c) for c in latin)
-    return u.normalize("NFC", latin)
+    target = next((s for s in _SCRIPTS if s in fit), None) or "Latn"
+    return u.normalize("NFC", "".join(_LOOK[c].get(target, c) if c in _LOOK else c for c in plain))
 
 
 def one_form(s: str) -> str:
@@ -116,11 +146,11 @@ def blanks_collapsed(c: Column) -> Column:
 def with_form(df: DataFrame, text: str, out: str) -> DataFrame:
     """df plus the consistent form of column text; null stays null, empty stays empty.
 
-    Only texts with an unusual character go to Python; the others need no more than a JVM expression.
+    Only texts with an unusual character are worked on in Python; the others need no more than a JVM expression and
+    pass as nulls, so the input is read once.
     """
-    odd = df.filter(is_odd(F.col(text))).withColumn(out, _one_form_udf(F.col(text)))
-    plain = df.filter(~F.coalesce(is_odd(F.col(text)), F.lit(False))).withColumn(out, blanks_collapsed(F.col(text)))
-    return plain.unionByName(odd)
+    odd = _one_form_udf(F.when(is_odd(F.col(text)), F.col(text)))
+    return df.withColumn(out, F.coalesce(odd, blanks_collapsed(F.col(text))))
 
 
 def look_alike_pairs(items: DataFrame) -> DataFrame:
@@ -155,6 +185,23 @@ def look_alike_pairs(items: DataFrame) -> DataFrame:
     return pairs.select("field", F.least("k1", "k2").alias("key_a"), F.greatest("k1", "k2").alias("key_b")).distinct()
 
 
+def look_alike_classes(items: DataFrame) -> DataFrame:
+    """One row per distinct item that looks like another one of other characters: field, scope, key, class_id, variant, n_variants, n_links.
+
+    class_id is a hash of field, scope and form, variant numbers the spellings of the class from 1, n_links counts the items of
+    other spellings. The size is that of the input, however many items share a look, where pairs would grow with its square.
+    Nulls and blank texts are left out. Counts are of (class, spelling), pre-aggregated map-side.
+    """
+    formed = with_form(items.filter(F.col("text").isNotNull()), "text", "form").filter("form <> ''")
+    class_id = F.substring(F.sha2(F.to_json(F.struct("field", "scope", "form")), 256), 1, 32)
+    keyed = settle(formed.select("field", "scope", "key", class_id.alias("class_id"), F.xxhash64(F.regexp_replace("text", ORDINARY_BLANKS, "")).alias("cls")).distinct())
+    sizes = keyed.groupBy("class_id", "cls").agg(F.count("*").alias("n"))
+    # A class has as many spellings as are typed, not as many as there are items.
+    per = sizes.groupBy("class_id").agg(F.sum("n").alias("total"), F.count("*").alias("n_variants"), F.sort_array(F.collect_list("cls")).alias("all")).filter("n_variants > 1")
+    known = per.join(sizes, "class_id").select("class_id", "cls", F.array_position("all", F.col("cls")).cast("int").alias("variant"), "n_variants", (F.col("total") - F.col("n")).alias("n_links"))
+    return join_checked(keyed, settle(known), ["class_id", "cls"], "inner", 96).select("field", "scope", "key", "class_id", "variant", "n_variants", "n_links")
+
+
 def _cells(t: DataFrame) -> DataFrame:
     rows = t.select("table_key", F.posexplode("grid").alias("r", "row"))
     cells = rows.select("table_key", "r", F.posexplode("row").alias("c", "text"))

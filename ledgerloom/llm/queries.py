@@ -25,6 +25,12 @@ def p1_table_forms(spark: SparkSession, sf: str) -> DataFrame:
     return oneform.with_form(items, "text", "form").select("field", "key", "form")
 
 
+def p1_classes(spark: SparkSession, sf: str) -> DataFrame:
+    """Every text that looks like another one, with its class and the number of its links."""
+    items = oneform.table_items(table(spark, sf, "norm_tables")).unionByName(oneform.question_items(table(spark, sf, "dev_questions")))
+    return oneform.look_alike_classes(items)
+
+
 def p3_found(spark: SparkSession, sf: str) -> DataFrame:
     return mentions.map_mentions(table(spark, sf, "dev_questions"), table(spark, sf, "companies"))
 
@@ -70,7 +76,7 @@ def p9_profile(spark: SparkSession, sf: str) -> DataFrame:
 
 
 _ALL = (
-    p1_found, p1_question_forms, p1_table_forms, p3_found, p3_named, p5_found, p5_collapsed, p7_windows, p7_fill, p8_mixture, p8_shares, p9_found, p9_profile,
+    p1_found, p1_question_forms, p1_table_forms, p1_classes, p3_found, p3_named, p5_found, p5_collapsed, p7_windows, p7_fill, p8_mixture, p8_shares, p9_found, p9_profile,
 )
 QUERIES = {f.__name__: f for f in _ALL}
 

@@ -82,3 +82,55 @@ def test_marks_on_look_alikes_compose(a, b):
 @pytest.mark.parametrize("s", ["\u03b2\u0435\xf4", "-\u0430\u03b1\u03b2C.", "\u0421\u03b2\u039f", "\u043e\u0306C\u0323\u03b2"])
 def test_idempotent_over_three_scripts(s):
     assert one_form(one_form(s)) == one_form(s)
+
+
+@pytest.mark.parametrize(
+    "a,b",
+    [("kat", "κat"), ("unit", "υnit"), ("x", "χ"), ("Source", "Տource"), ("Apple", "Ꭺpple"), ("word", "ѡord"), ("C", "Ϲ"), ("Car", "Ϲar"), ("ROPE", "ꓣꓳꓑꓰ"), ("ГОСТ", "ΓОСΤ"), ("Coptic", "Ⲥoptic")],
+)
+def test_more_scripts(a, b):
+    assert one_form(b) == one_form(a) == a
+
+
+@pytest.mark.parametrize("s", ["οτι", "日本ー", "ſ", "ϐ", "β", "Москва", "Ελλάδα"])
+def test_words_of_one_other_script_stay(s):
+    assert one_form(s) == s
+
+
+def test_script_sets_are_intersected():
+    assert oneform.resolved_scripts("аррlе") == {"Latn", "Cyrl"} and oneform.resolved_scripts("Cеверная") == {"Cyrl"} and oneform.resolved_scripts("aжβ") == frozenset()
+    assert oneform.resolved_scripts("12-3") is None and oneform.resolved_scripts("日ー") == {"Jpan"} and "Latn" in oneform.resolved_scripts("đố")
+
+
+def test_random_strings_are_idempotent():
+    import random
+
+    rng = random.Random(2)
+    pool = "aеоΟАΒβιкЖꓮᎠՏоx̂́đ нитьⅡＣ日ー-.1²ѡϹſ​"
+    for _ in range(20_000):
+        s = "".join(rng.choice(pool) for _ in range(6))
+        assert one_form(one_form(s)) == one_form(s)
+
+
+def class_rows(items):
+    tight = lambda s: "".join(c for c in s if c not in " \t\n\r")
+    groups = {}
+    for f, s, k, t in set(items):
+        if t is not None and one_form(t):
+            groups.setdefault((f, s, one_form(t)), set()).add((k, tight(t)))
+    return {(f, s, k, len({t for _, t in g}), sum(o != t for _, o in g)) for (f, s, _), g in groups.items() if len({t for _, t in g}) > 1 for k, t in g}
+
+
+@pytest.mark.parametrize("limit", [None, 0])
+def test_classes_and_pairs_with_and_without_broadcasts(spark, monkeypatch, limit):
+    from ledgerloom import session
+
+    if limit is not None:
+        monkeypatch.setattr(oneform, "join_checked", lambda *a, **k: session.join_checked(*a, **k, limit=limit))
+    texts = ["Cộng", "Ｃộｎｇ", "Cộng ", "công", "a b", "a b", "a  b", "", None, "m²"]
+    items = [(f, s, f"{s}|{i}", t) for f in ("grid", "question") for s in ("x", None) for i, t in enumerate(texts)] + [("grid", "x", "x|0", "Cộng")]
+    df = spark.createDataFrame(items, "field string, scope string, key string, text string")
+    got = [tuple(r) for r in oneform.look_alike_classes(df).select("field", "scope", "key", "n_variants", "n_links").collect()]
+    assert len(got) == len(set(got)) and set(got) == class_rows(items)
+    assert {tuple(r) for r in oneform.look_alike_pairs(df).collect()} == brute(items)
+    assert oneform.look_alike_classes(df.limit(0)).count() == 0
