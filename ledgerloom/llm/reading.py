@@ -1,9 +1,11 @@
 """Reading level of documents from interpolated n-gram models and isotonic regression.
 
-One interpolated word model per graded level is trained on labelled documents. Under each model every
-word of a document has a surprisal; over a sentence the least surprised models tell how demanding it
-reads, and the weighted mean over the whole document is its score. Isotonic regression on held-out
-scores of labelled documents maps the score monotonically to the grades.
+One interpolated word model per graded level is trained on labelled documents. Under each model every word of a
+document has a surprisal; the distribution of these surprisals over the sentences of the whole document gives its score:
+in each sentence the least surprised models tell how demanding it reads, and the score is the weighted mean over all of
+them. Isotonic regression on held-out scores of labelled documents maps the score monotonically to the grades. Coarser
+statistics of the same distributions (mean under one model, difference of two models' means, deviation, tail) order
+documents worse; the README has the figures.
 """
 
 from __future__ import annotations
@@ -94,11 +96,10 @@ def _counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             ids = np.array(words(text), dtype=np.int64) >> 1
             if len(ids) == 0:
                 continue
-            for level in levels:
-                if not 1 <= level <= LEVELS:
-                    continue
-                u, b = acc.setdefault((fold, level), (np.zeros(UNI), np.zeros(BI)))
-                wt = 1.0 / len(levels)
+            said = sum(x["n"] for x in levels)
+            for x in levels:
+                u, b = acc.setdefault((fold, x["level"]), (np.zeros(UNI), np.zeros(BI)))
+                wt = x["n"] / said
                 u += np.bincount(ids, minlength=UNI) * wt
                 if len(ids) > 1:
                     b += np.bincount(pair_bucket(ids), minlength=BI) * wt
@@ -213,11 +214,12 @@ def fit(docs: DataFrame, samples: DataFrame, max_labelled: int = MAX_LABELLED) -
     """The models of all levels and the isotonic map, from at most about max_labelled labelled documents.
 
     If there are more, those with the smallest hashes are taken. Only n-gram counts (at most a fixed
-    number of buckets) and one score per labelled document reach the driver.
+    number of buckets) and one score per labelled document reach the driver. Labels outside the scale don't count.
     """
     spark = docs.sparkSession
-    lab = samples.filter("doc_id is not null and level is not null").groupBy("doc_id").agg(F.collect_list("level").alias("levels"))
-    lab = settle(lab.select("doc_id", F.slice("levels", 1, 16).alias("levels")))
+    # Labels are counted, so a document has one entry per level however often it was labelled.
+    lab = samples.filter(F.col("doc_id").isNotNull() & F.col("level").between(1, LEVELS)).groupBy("doc_id", "level").agg(F.count("*").alias("n"))
+    lab = settle(lab.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct(F.col("level").cast("int").alias("level"), "n"))).alias("levels")))
     n = lab.count()
     if n > max_labelled:
         lab = lab.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)) < int((1 << 40) * max_labelled / n))
@@ -241,7 +243,7 @@ def fit(docs: DataFrame, samples: DataFrame, max_labelled: int = MAX_LABELLED) -
 
     def cross(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            pdf["y"] = [float(np.mean(v)) for v in pdf["levels"]]
+            pdf["y"] = [sum(x["level"] * x["n"] for x in v) / sum(x["n"] for x in v) for v in pdf["levels"]]
             for f in (0, 1):
                 part = pdf[pdf["fold"] == f][["text", "y"]].reset_index(drop=True)
                 yield from _scores(held[f].value, iter([part]), ["y"], False)

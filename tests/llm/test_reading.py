@@ -55,15 +55,28 @@ def test_bound_on_labelled_documents(spark):
     assert reading.reading_levels(docs, labels, max_labelled=20).count() == docs.count()
 
 
-def test_tokens_of_long_texts_come_in_slices():
-    text = "Doanh thu thuần hợp nhất năm 2021.\n" * 20_000
-    enc = tokens.encoder(tokens.VOCABULARY)
-    n = len(enc.encode_ordinary(text))
-    assert abs(tokens.count_tokens(text) - n) <= 10
+def test_tokens_of_long_texts_come_in_slices(monkeypatch):
+    import random
+
+    enc, rng = tokens.encoder(tokens.VOCABULARY), random.Random(1)
+    texts = ["Doanh thu thuần hợp nhất năm 2021.\n" * 20_000]
+    texts += ["".join(rng.choice(["năm ", "2021", " ", "  ", "\n", "\n\n", "…", "it's", "(1.234)", "\t", "đồng"]) for _ in range(4000)) for _ in range(20)]
+    monkeypatch.setattr(tokens, "SLICE", 500)
+    for text in texts:
+        assert tokens.count_tokens(text) == len(enc.encode_ordinary(text))
+    monkeypatch.setattr(tokens, "SLICE", 200_000)
     assert tokens.count_tokens(None) == tokens.count_tokens("") == 0 and tokens.count_tokens("x" * 450_000) > 0
     assert enc.decode(enc.encode_ordinary("Cộng: 1.234 đồng\n\n")) == "Cộng: 1.234 đồng\n\n"
 
 
+def test_labels_are_counted_not_cut(spark):
+    """A document labelled forty times keeps all its labels, those off the scale apart."""
+    docs = spark.createDataFrame([(1, "một hai ba"), (2, "bốn năm sáu")], "doc_id bigint, text string")
+    rows = [(1, "a", 1)] * 3 + [(1, "b", 4)] * 37 + [(2, "a", 9)]
+    _, knots, values = reading.fit(docs, spark.createDataFrame(rows, "doc_id bigint, annotator string, level int"))
+    assert len(knots) == 1 and abs(values[0] - (3 + 37 * 4) / 40) < 1e-9
+
+
 def test_every_query_runs(spark):
     for name, q in queries.QUERIES.items():
         assert q(spark, "/root/testdata/sf0.001").count() > 0, name
