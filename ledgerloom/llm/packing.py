@@ -75,60 +75,55 @@ def pack(tokens: np.ndarray, loss: np.ndarray, capacity: int, max_segments: int,
     return window
 
 
-def _packer(cap: int, limits: Limits):
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["doc_id", "piece"], kind="stable", ignore_index=True)
-        tokens, loss = pdf["n_tokens"].to_numpy(np.int64), pdf["n_loss"].to_numpy(np.int64)
-        rest = tokens < cap  # a full piece is a window by itself
-        w = np.empty(len(pdf), dtype=np.int64)
-        w[rest] = pack(tokens[rest], loss[rest], cap, limits.segments(cap), limits.loss(cap))
-        w[~rest] = np.arange((~rest).sum()) + (w[rest].max() + 1 if rest.any() else 0)
-        pdf["window_id"] = [f"{s}-{x}" for s, x in zip(pdf.pop("shard"), w)]
-        return pdf
-
-    return run
-
-
 def windows(sizes: DataFrame, packs: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """pack_name, window_id, doc_id, piece, start_token, n_tokens, n_loss: every document once per pack.
 
     sizes: doc_id, n_tokens, n_context. packs: pack_name, capacity_tokens (a few rows; null or
     non-positive capacities are left out). A document is whole unless it exceeds the capacity (or alone
-    exceeds the loss limit); then it is cut into full pieces and a rest. All is packed in hash shards of
-    about SHARD_ITEMS documents. Empty documents are items of size 0. Repeated rows are items each for
-    itself; ties among equal items fall by doc_id.
+    exceeds the loss limit); then it is cut into full pieces and a rest. A piece as long as the capacity is a
+    window by itself and never reaches Python; the others are packed in hash shards of about SHARD_ITEMS
+    items, for all packs in one shuffle. Empty documents are items of size 0. Repeated rows are items each
+    for itself; ties among equal items fall by doc_id.
     """
-    sizes = settle(sizes.select("doc_id", "n_tokens", "n_context"))
+    sizes = settle(sizes.select("doc_id", "n_tokens", "n_context", F.monotonically_increasing_id().alias("row")))
     named = [(r[0], int(r[1])) for r in packs.select("pack_name", "capacity_tokens").collect() if r[1] and r[1] > 0]
-    shards = max(1, -(-sizes.count() // SHARD_ITEMS))
-    out = None
-    for name, cap in named:
-        piece_cap = min(cap, max(1, limits.loss(cap)))
-        n = F.col("n_tokens")
-        pieces = F.greatest(F.ceil(n / F.lit(piece_cap)), F.lit(1)).cast("int")
-        p = sizes.withColumn("piece", F.explode(F.sequence(F.lit(0), pieces - 1)))
-        start = F.col("piece").cast("bigint") * piece_cap
-        size = F.least(n - start, F.lit(piece_cap).cast("bigint"))
-        size = F.greatest(size, F.lit(0).cast("bigint"))
-        p = p.select("doc_id", "piece", start.alias("start_token"), size.alias("n_tokens"), (size - F.least(size, F.greatest(F.col("n_context") - start, F.lit(0)))).alias("n_loss"))
-        p = p.withColumn("pack_name", F.lit(name))
-        p = p.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(shards)).cast("int"))
-        cols = ["pack_name", "window_id", "doc_id", "piece", "start_token", "n_tokens", "n_loss"]
-        kind = sizes.schema["doc_id"].dataType.simpleString()
-        schema = f"doc_id {kind}, piece int, start_token bigint, n_tokens bigint, n_loss bigint, pack_name string, window_id string"
-        packed = p.groupBy("shard").applyInPandas(_packer(cap, limits), schema).select(*cols)
-        out = packed if out is None else out.unionByName(packed)
-    if out is None:
+    if not named:
         raise ValueError("no pack has a capacity")
-    return out
+    cut = {name: min(cap, max(1, limits.loss(cap))) for name, cap in named}
+    pieces = lambda name: F.greatest(F.ceil(F.col("n_tokens") / F.lit(cut[name])), F.lit(1)).cast("int")
+    # Items that are packed: all pieces, or where full pieces are windows one rest at most per document.
+    items = sizes.agg(*[F.sum(pieces(n) if cut[n] < c else F.lit(1)).alias(f"i{k}") for k, (n, c) in enumerate(named)]).first()
+    shards = [max(1, -(-(items[k] or 0) // SHARD_ITEMS)) for k in range(len(named))]
+    each = F.explode(F.array(*[F.struct(F.lit(n).alias("pack_name"), F.lit(c).cast("bigint").alias("cap"), F.lit(cut[n]).cast("bigint").alias("cut"), F.lit(s).alias("shards"), pieces(n).alias("pieces")) for (n, c), s in zip(named, shards)]))
+    p = sizes.withColumn("p", each).select("doc_id", "row", "n_tokens", "n_context", "p.*")
+    p = p.withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
+    start = F.col("piece").cast("bigint") * F.col("cut")
+    size = F.greatest(F.least(F.col("n_tokens") - start, F.col("cut")), F.lit(0).cast("bigint"))
+    loss = size - F.least(size, F.greatest(F.col("n_context") - start, F.lit(0)))
+    p = p.select("pack_name", "doc_id", "row", "piece", "cap", "shards", start.alias("start_token"), size.alias("n_tokens"), loss.alias("n_loss"))
+    cols = ["pack_name", "window_id", "doc_id", "piece", "start_token", "n_tokens", "n_loss"]
+    full = p.filter("n_tokens = cap").withColumn("window_id", F.concat(F.lit("full-"), F.col("row").cast("string"), F.lit("-"), F.col("piece").cast("string"))).select(*cols)
+    rest = p.filter("n_tokens < cap").withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece"), F.col("shards")).cast("int"))
+
+    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        cap = dict(named)[key[0]]
+        pdf = pdf.sort_values(["doc_id", "piece"], kind="stable", ignore_index=True)
+        w = pack(pdf["n_tokens"].to_numpy(np.int64), pdf["n_loss"].to_numpy(np.int64), cap, limits.segments(cap), limits.loss(cap))
+        pdf["window_id"] = [f"{key[1]}-{x}" for x in w]
+        return pdf[cols]
+
+    kind = sizes.schema["doc_id"].dataType.simpleString()
+    schema = f"pack_name string, window_id string, doc_id {kind}, piece int, start_token bigint, n_tokens bigint, n_loss bigint"
+    packed = rest.select("pack_name", "shard", "doc_id", "piece", "start_token", "n_tokens", "n_loss").groupBy("pack_name", "shard").applyInPandas(run, schema)
+    return full.unionByName(packed)
 
 
 def fill(packed: DataFrame, packs: DataFrame) -> DataFrame:
-    """Per pack: windows, documents' tokens, the share of the room that is filled, and the fewest windows possible."""
-    w = packed.groupBy("pack_name", "window_id").agg(F.sum("n_tokens").alias("t"), F.count("*").alias("s"))
-    w = w.groupBy("pack_name").agg(F.count("*").alias("n_windows"), F.sum("t").alias("n_tokens"), F.max("s").alias("most_segments"))
+    """Per pack: windows, documents' tokens, the share of the room that is filled, the fewest windows possible, and the most segments and loss-bearing tokens in one window."""
+    w = packed.groupBy("pack_name", "window_id").agg(F.sum("n_tokens").alias("t"), F.count("*").alias("s"), F.sum("n_loss").alias("l"))
+    w = w.groupBy("pack_name").agg(F.count("*").alias("n_windows"), F.sum("t").alias("n_tokens"), F.max("s").alias("most_segments"), F.max("l").alias("most_loss"))
     return w.join(F.broadcast(packs), "pack_name").select(
-        "pack_name", "capacity_tokens", "n_windows", "n_tokens", "most_segments",
+        "pack_name", "capacity_tokens", "n_windows", "n_tokens", "most_segments", "most_loss",
         F.ceil(F.col("n_tokens") / F.col("capacity_tokens")).alias("least_windows"),
         (F.col("n_tokens") / (F.col("n_windows") * F.col("capacity_tokens"))).alias("filled"),
     )

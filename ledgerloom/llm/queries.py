@@ -8,6 +8,9 @@ from ..session import settle, table
 from . import mentions, mixing, oneform, packing, reading, refine
 from .tokens import sized
 
+#: Share of a window that may bear loss in the instruction packs.
+LOSS_SHARE = 0.9
+
 
 def p1_found(spark: SparkSession, sf: str) -> DataFrame:
     items = oneform.table_items(table(spark, sf, "norm_tables")).unionByName(oneform.question_items(table(spark, sf, "dev_questions")))
@@ -57,6 +60,15 @@ def p7_fill(spark: SparkSession, sf: str) -> DataFrame:
     return packing.fill(p7_windows(spark, sf), table(spark, sf, "pack_sizes"))
 
 
+def p7_instruction_windows(spark: SparkSession, sf: str) -> DataFrame:
+    """Windows of which at most LOSS_SHARE may bear loss, as for instruction data: the first line is the context of the rest."""
+    return packing.windows(sized(table(spark, sf, "documents")), table(spark, sf, "pack_sizes"), packing.Limits(loss_share=LOSS_SHARE))
+
+
+def p7_instruction_fill(spark: SparkSession, sf: str) -> DataFrame:
+    return packing.fill(p7_instruction_windows(spark, sf), table(spark, sf, "pack_sizes"))
+
+
 def p8_mixture(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mixture(sized(table(spark, sf, "documents"), ("source",)), table(spark, sf, "mix_targets"))
 
@@ -76,7 +88,7 @@ def p9_profile(spark: SparkSession, sf: str) -> DataFrame:
 
 
 _ALL = (
-    p1_found, p1_question_forms, p1_table_forms, p1_classes, p3_found, p3_named, p5_found, p5_collapsed, p7_windows, p7_fill, p8_mixture, p8_shares, p9_found, p9_profile,
+    p1_found, p1_question_forms, p1_table_forms, p1_classes, p3_found, p3_named, p5_found, p5_collapsed, p7_windows, p7_fill, p7_instruction_windows, p7_instruction_fill, p8_mixture, p8_shares, p9_found, p9_profile,
 )
 QUERIES = {f.__name__: f for f in _ALL}
 

@@ -100,6 +100,20 @@ def test_loss_share_splits_long_documents(spark):
     assert sorted((r.piece, r.n_tokens, r.n_loss) for r in got) == [(0, 50, 50), (1, 50, 50)]
 
 
+def test_loss_limit_binds_in_windows(spark):
+    """With a limit below the capacity some window reaches it, and none goes beyond."""
+    sizes = spark.range(3000).selectExpr("id as doc_id", "id % 90 + 1 as n_tokens", "case when id % 3 = 0 then id % 90 + 1 else 0L end as n_context")
+    got = packing.windows(sizes, spark.createDataFrame([("p", 100)], PACKS), Limits(loss_share=0.6)).groupBy("window_id").agg({"n_loss": "sum", "n_tokens": "sum"}).toDF("w", "a", "b").collect()
+    most = {max(r.a for r in got), max(r.b for r in got)}
+    assert most == {60, 100}
+
+
+def test_full_pieces_are_windows_of_their_own(spark):
+    sizes = spark.createDataFrame([(1, 300, 0), (1, 300, 0), (2, 100, 0)], "doc_id bigint, n_tokens bigint, n_context bigint")
+    got = packing.windows(sizes, spark.createDataFrame([("p", 100), ("q", 300)], PACKS)).collect()
+    assert len(got) == 10 and len({(r.pack_name, r.window_id) for r in got if r.n_tokens == 100 or r.n_tokens == 300}) == 10
+
+
 def test_fill(spark):
     sizes = spark.range(500).selectExpr("id as doc_id", "id % 90 + 1 as n_tokens", "0L as n_context")
     packs = spark.createDataFrame([("p", 128)], PACKS)
