@@ -1,4 +1,4 @@
-"""Deeply nested records: one merged schema, then one flat child table per array level.
+"""Deeply nested records: one merged schema, then one flat child table per array level that it lists.
 
 Records are parsed once to VARIANT, so a field whose type varies from record to record never has
 to fit one Spark type. Each array level is exploded into rows that carry the parent's path as
@@ -12,6 +12,7 @@ from pyspark.sql.types import ArrayType, StructType
 
 from ..session import settle
 
+#: The arrays of report records, as a selection of what a merged schema lists.
 LABEL_ARRAYS = ("tables", "column_metadata", "period_labels", "row_labels", "sub_labels")
 
 
@@ -33,7 +34,7 @@ def _exploded(df: DataFrame, col: str, names: tuple[str, str, str]) -> DataFrame
 
 
 def parsed(df: DataFrame, id_col: str, json_col: str) -> DataFrame:
-    """The root level: id, path and level null, element as variant; rows that aren't JSON are left out."""
+    """The root level: id, path and level null, element as variant; `rejected` has the rows that don't parse."""
     return df.select(
         F.col(id_col),
         F.lit(None).cast("string").alias("path"),
@@ -42,16 +43,55 @@ def parsed(df: DataFrame, id_col: str, json_col: str) -> DataFrame:
     ).filter(F.col("element").isNotNull())
 
 
+def rejected(df: DataFrame, id_col: str, json_col: str) -> DataFrame:
+    """(id, reason) of the records that `flatten_levels` can't read: missing (null), not_json, or repeated_field."""
+    text = F.col(json_col)
+    reason = F.when(text.isNull(), "missing").when(F.get_json_object(text, "$").isNull(), "not_json").otherwise("repeated_field")
+    return df.filter(F.try_parse_json(json_col).isNull()).select(F.col(id_col), reason.alias("reason"))
+
+
 def merged_schema(df: DataFrame, json_col: str) -> DataFrame:
-    """One row: the schema merged over all records, fields united, clashing types as VARIANT.
+    """The schema merged over all records, a row per field and kind it is met with: level, name, kind, type, n.
 
-    Empty input gives one row with VOID. Aggregated map-side; the driver gets nothing.
+    level is the field names from the root, joined by a point (array places left out); kind is array, object, scalar or
+    null; type is a scalar's type, else null; n counts the values. A field of clashing types has several rows. Each depth
+    is aggregated map-side; the rows are as many as there are different fields. Records that don't parse are left out.
     """
-    return df.select(F.try_parse_json(json_col).alias("v")).agg(F.schema_of_variant_agg("v").alias("merged_schema"), F.count("*").alias("n_records"), F.count("v").alias("n_parsed"))
+    level = df.select(F.lit(None).cast("string").alias("level"), F.try_parse_json(json_col).alias("element")).filter(kind(F.col("element")) == "object")
+    parts: list[DataFrame] = []
+    while True:
+        held = _exploded(level, "element", ("_p", "name", "value")).filter(F.col("name").isNotNull())
+        held = held.select(F.concat_ws(".", "level", "name").alias("level"), "name", kind(F.col("value")).alias("kind"), "value")
+        parts.append(settle(held.groupBy("level", "name", "kind", F.when(F.col("kind") == "scalar", F.schema_of_variant("value")).alias("type")).agg(F.count("*").alias("n"))))
+        many = F.col("kind") == "array"
+        inner = F.when(many, F.variant_get("value", "$", "array<variant>")).otherwise(F.array("value"))
+        level = settle(held.filter(F.col("kind").isin("array", "object")).select("level", F.explode(inner).alias("element")).filter(kind(F.col("element")) == "object"))
+        if level.isEmpty():
+            break
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def schema_arrays(schema: DataFrame) -> tuple[str, ...]:
+    """Names that the merged schema lists as an array somewhere."""
+    return tuple(sorted(r.name for r in schema.filter("kind = 'array'").select("name").distinct().collect()))
+
+
+def schema_fields(schema: DataFrame, arrays: tuple[str, ...]) -> dict[str, dict[str, str]]:
+    """Scalar fields of each array's elements with a Spark type that holds every type they were met with."""
+    parent = F.try_element_at(F.split("level", r"\."), F.lit(-2))
+    rows = schema.filter("kind = 'scalar'").select(parent.alias("array"), "name", "type").filter(F.col("array").isin(*arrays)).distinct().collect()
+    met: dict[str, dict[str, set[str]]] = {a: {} for a in arrays}
+    for r in rows:
+        met[r.array].setdefault(r.name, set()).add(r.type)
+    one = lambda kinds: "bigint" if kinds == {"BIGINT"} else "boolean" if kinds == {"BOOLEAN"} else "double" if all(k == "BIGINT" or k.startswith(("DECIMAL", "DOUBLE")) for k in kinds) else "string"
+    return {a: {f: one(k) for f, k in sorted(fields.items())} for a, fields in met.items()}
 
 
-def flatten_levels(df: DataFrame, id_col: str, json_col: str, arrays: tuple[str, ...] = LABEL_ARRAYS) -> DataFrame:
-    """All elements of the named arrays, at any depth, as rows.
+def flatten_levels(df: DataFrame, id_col: str, json_col: str, arrays: tuple[str, ...] | None = None) -> DataFrame:
+    """All elements of the arrays that the merged schema lists, or of those named, at any depth, as rows.
 
     Columns: id_col, path (zero-based from the root), parent_path (path of the nearest enclosing
     element, null at the root), name (of the array), ordinal, level (array names from the root,
@@ -59,10 +99,12 @@ def flatten_levels(df: DataFrame, id_col: str, json_col: str, arrays: tuple[str,
 
     A null element gives no row but keeps its ordinal; a lone value where an array is expected is
     element 0; a lone null, a null record and one that isn't JSON (or repeats a field name) give no
-    row. Repeated records give repeated rows. Other columns of df aren't carried; join on id_col.
+    row; `rejected` tells which. Repeated records give repeated rows. Other columns of df aren't carried; join on id_col.
     Objects and arrays under other names are walked through. Each level is settled before the next
     one is exploded; the recursion ends at the first empty level, whatever the depth.
     """
+    if arrays is None:
+        arrays = schema_arrays(merged_schema(df, json_col))
     level = parsed(df, id_col, json_col).withColumn("owner", F.lit(None).cast("string"))
     parts: list[DataFrame] = []
     while True:

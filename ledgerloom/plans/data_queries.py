@@ -18,22 +18,38 @@ CHILDREN = {
 
 
 def p2_found(spark: SparkSession, sf: str) -> DataFrame:
-    return shred.flatten_levels(table(spark, sf, "table_store"), "store_id", "payload").select("store_id", "path")
+    return _levels(spark, sf).select("store_id", "path")
+
+
+def _levels(spark: SparkSession, sf: str) -> DataFrame:
+    """Elements of the arrays that the merged schema lists; a lone value counts as an element of the five named ones, listed or not."""
+    t = table(spark, sf, "table_store").select("store_id", "payload")
+    listed = shred.schema_arrays(shred.merged_schema(t, "payload"))
+    levels = shred.flatten_levels(t, "store_id", "payload", tuple(dict.fromkeys((*shred.LABEL_ARRAYS, *listed))))
+    return levels.filter(F.col("name").isin(*shred.LABEL_ARRAYS))
+
+
+def p2_elements(spark: SparkSession, sf: str) -> DataFrame:
+    """Elements of every array that the merged schema lists, whatever its name."""
+    levels = shred.flatten_levels(table(spark, sf, "table_store"), "store_id", "payload")
+    return levels.select("store_id", "path", "parent_path", "name", "ordinal", "level")
 
 
 def p2_schema(spark: SparkSession, sf: str) -> DataFrame:
-    return shred.merged_schema(table(spark, sf, "table_store"), "payload")
+    return shred.merged_schema(table(spark, sf, "table_store"), "payload").groupBy("level", "kind").agg(F.sum("n").alias("n"))
+
+
+def p2_rejected(spark: SparkSession, sf: str) -> DataFrame:
+    return shred.rejected(table(spark, sf, "table_store"), "store_id", "payload")
 
 
 def p2_row_labels(spark: SparkSession, sf: str) -> DataFrame:
-    levels = shred.flatten_levels(table(spark, sf, "table_store"), "store_id", "payload")
-    kids = shred.child_tables(levels, "store_id", CHILDREN)
+    kids = shred.child_tables(_levels(spark, sf), "store_id", CHILDREN)
     return kids["row_labels"].unionByName(kids["sub_labels"]).select("store_id", "path", "parent_path", "ordinal", "row_index", "column_index", "label")
 
 
 def _store_child(spark: SparkSession, sf: str, array: str) -> DataFrame:
-    levels = shred.flatten_levels(table(spark, sf, "table_store"), "store_id", "payload")
-    return shred.child_tables(levels, "store_id", {array: CHILDREN[array]})[array]
+    return shred.child_tables(_levels(spark, sf), "store_id", {array: CHILDREN[array]})[array]
 
 
 def p2_tables(spark: SparkSession, sf: str) -> DataFrame:
@@ -98,7 +114,7 @@ def p6_unit_shifts(spark: SparkSession, sf: str) -> DataFrame:
     return amounts.unit_shifts(amounts.label_history(table(spark, sf, "norm_tables")))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_schema, p2_row_labels, p2_tables, p2_columns, p2_period_labels, p2_norm_columns, p2_norm_column_periods, p2_norm_period_labels, p2_norm_row_labels, p4_found, p4_candidates, p4_anomalies, p6_found, p6_answers_vnd, p6_cells_vnd, p6_unit_shifts)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_schema, p2_elements, p2_rejected, p2_row_labels, p2_tables, p2_columns, p2_period_labels, p2_norm_columns, p2_norm_column_periods, p2_norm_period_labels, p2_norm_row_labels, p4_found, p4_candidates, p4_anomalies, p6_found, p6_answers_vnd, p6_cells_vnd, p6_unit_shifts)}
 
 _NAMES = "tables|column_metadata|period_labels|row_labels|sub_labels"
 _LONE = rf"'\.({_NAMES})(\.|$)', '.\1[0]\2', 'g'"
@@ -121,14 +137,15 @@ j AS (SELECT line_id, feed, c, CASE WHEN NOT good THEN 'quoting'
    END AS reason FROM f)
 """
 
-def _child_sql(array: str) -> str:
+
+def _child_sql(array: str, drop_value: bool = False) -> str:
     """Child table of one array of table_store, by the paths of json_tree."""
     fields = ", ".join(f"try_cast(v ->> '$.{f}' AS {'VARCHAR' if t == 'string' else 'BIGINT'}) AS {f}" for f, t in CHILDREN[array].items())
+    value = "" if drop_value else ",\n  CASE WHEN ty NOT IN ('OBJECT', 'ARRAY') THEN v ->> '$' END AS value"
     return rf"""
 WITH n AS (SELECT t.store_id, j.type AS ty, j.value AS v, regexp_replace(regexp_replace(replace(replace(j.fullkey, '"', ''), '$', ''), {_LONE}), {_LONE}) AS p, j.fullkey AS k
   FROM table_store t, json_tree(t.payload) j WHERE json_valid(t.payload))
-SELECT store_id, p[2:] AS path, nullif(regexp_replace(p[2:], '\.?{array}\[[0-9]+\]$', ''), '') AS parent_path, regexp_extract(p, '\[([0-9]+)\]$', 1)::INT AS ordinal, {fields},
-  CASE WHEN ty NOT IN ('OBJECT', 'ARRAY') THEN v ->> '$' END AS value
+SELECT store_id, p[2:] AS path, nullif(regexp_replace(p[2:], '\.?{array}\[[0-9]+\]$', ''), '') AS parent_path, regexp_extract(p, '\[([0-9]+)\]$', 1)::INT AS ordinal, {fields}{value}
 FROM n WHERE ty <> 'NULL' AND regexp_matches(p, '\.{array}\[[0-9]+\]$') AND NOT (ty = 'ARRAY' AND regexp_matches(replace(k, '"', ''), '\.{array}$'))"""
 
 
@@ -189,6 +206,14 @@ WITH n AS (SELECT t.store_id, j.type AS ty, regexp_replace(regexp_replace(replac
 SELECT store_id, p[2:] AS path FROM n
 WHERE ty <> 'NULL' AND regexp_matches(p, '\.({_NAMES})\[[0-9]+\]$')
   AND NOT (ty = 'ARRAY' AND regexp_matches(replace(k, '"', ''), '\.({_NAMES})$'))""",
+    "p2_schema": r"""
+WITH n AS (SELECT regexp_replace(replace(replace(j.fullkey, '"', ''), '$', ''), '\[[0-9]+\]', '', 'g') AS p, j.fullkey AS k, j.type AS ty FROM table_store t, json_tree(t.payload) j WHERE json_valid(t.payload))
+SELECT p[2:] AS level, CASE WHEN ty = 'NULL' THEN 'null' WHEN ty IN ('ARRAY', 'OBJECT') THEN lower(ty) ELSE 'scalar' END AS kind, count(*) AS n FROM n WHERE p <> '' AND NOT k LIKE '%]' GROUP BY ALL""",
+    "p2_rejected": """
+WITH k AS (SELECT t.store_id, j.fullkey, count(*) AS n FROM table_store t, json_tree(t.payload) j WHERE json_valid(t.payload) GROUP BY ALL)
+SELECT store_id, CASE WHEN payload IS NULL THEN 'missing' ELSE 'not_json' END AS reason FROM table_store WHERE payload IS NULL OR NOT json_valid(payload)
+UNION ALL SELECT DISTINCT store_id, 'repeated_field' FROM k WHERE n > 1""",
+    "p2_row_labels": _child_sql("row_labels", drop_value=True) + " UNION ALL " + "SELECT * FROM (" + _child_sql("sub_labels", drop_value=True) + ")",
     "p2_tables": _child_sql("tables"),
     "p2_columns": _child_sql("column_metadata"),
     "p2_period_labels": _child_sql("period_labels"),
