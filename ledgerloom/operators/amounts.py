@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.text import fold, let
 from ..functions.units import amount, currency_of, declared_phrase, is_amount, scale_of, unit_phrase
-from ..session import settle
+from ..session import join_checked, settle
 from .link import is_value_column
 
 HEADER_ROWS = 6
@@ -58,8 +58,9 @@ def with_vnd(df: DataFrame, rates: DataFrame, value: str, phrase: str, year: str
 def off_answers(answers: DataFrame, tables: DataFrame, rates: DataFrame, tolerance: float = 0.01) -> DataFrame:
     """Answers with the cited cell in VND and whether they are off by more than tolerance of the cell.
 
-    One row per distinct answer. Answers citing no cell, a cell that isn't there or isn't a number, or
-    units that can't be brought to VND have off = null. Of tables delivered twice the smallest record_id
+    One row per distinct answer. The cell's unit is the one stated; where nothing states it, the one that the changepoint
+    search over the history of the cell's series gives (`inferred_units`; unit_source tells which). Answers citing no
+    cell, a cell that isn't there or isn't a number, or units that can't be brought to VND have off = null. Of tables delivered twice the smallest record_id
     counts. A table key that is cited very often is split by AQE's skew join; only needed columns move.
     """
     a = answers.filter(F.col("table_key").isNotNull() & F.col("row_index").isNotNull() & F.col("column_index").isNotNull())
@@ -72,21 +73,45 @@ def off_answers(answers: DataFrame, tables: DataFrame, rates: DataFrame, toleran
         "caption_context", "unit_declaration", table_year(F.col("year"), F.col("report_id")).alias("fx_of"),
     )
     j = j.withColumn("cell_unit", stated_phrase(F.col("header_unit"), F.col("caption_context"), F.col("unit_declaration")))
-    j = j.withColumn("cell_value", amount(F.col("cell"))).withColumn("answer_unit", unit_phrase(F.col("expected_unit")))
+    j = settle(j.withColumn("cell_value", amount(F.col("cell"))).withColumn("answer_unit", unit_phrase(F.col("expected_unit"))).drop("header_unit", "caption_context", "unit_declaration"))
+    j = j.withColumn("unit_source", F.when(F.col("cell_unit").isNotNull(), "stated"))
+    lost = j.filter("cell_unit is null and cell_value is not null")
+    if _HISTORY <= set(tables.columns) and not lost.isEmpty():  # only histories of cells without a stated unit are searched
+        who = settle(tables.join(lost.select("record_id").distinct(), "record_id", "left_semi").select("ticker", "variant").distinct())
+        guess = inferred_units(with_units(join_checked(tables, who, ["ticker", "variant"], "left_semi", 64))).select("record_id", "row_index", "column_index", F.col("unit").alias("_unit"), "power")
+        j = j.join(guess, ["record_id", "row_index", "column_index"], "left")
+        j = j.withColumn("unit_source", F.coalesce("unit_source", F.when(F.col("_unit").isNotNull(), "inferred"))).withColumn("cell_unit", F.coalesce("cell_unit", "_unit"))
+        # Reversed to the unit of the segment that states it.
+        j = j.withColumn("cell_value", F.when(F.col("unit_source") == "inferred", F.col("cell_value") / F.pow(F.lit(10.0), F.col("power").cast("double"))).otherwise(F.col("cell_value"))).drop("_unit", "power")
     j = with_vnd(j, rates, "cell_value", "cell_unit", "fx_of", "cell_vnd")
     j = with_vnd(j, rates, "expected_answer", "answer_unit", "fx_of", "answer_vnd")
     j = j.withColumn("off", F.abs(F.col("answer_vnd") - F.col("cell_vnd")) > tolerance * F.abs(F.col("cell_vnd")))
     keys = ["id", "expected_answer", "expected_unit", "table_key", "row_index", "column_index"]
-    kept = ["cell", "cell_unit", "cell_value", "cell_vnd", "answer_vnd", "off"]
+    kept = ["cell", "cell_unit", "unit_source", "cell_value", "cell_vnd", "answer_vnd", "off"]
     return j.groupBy(*keys).agg(F.min_by(F.struct(*kept), "record_id").alias("r")).select(*keys, "r.*")
 
 
+#: Columns that a table's place in a history needs.
+_HISTORY = {"ticker", "variant", "header_depth", "column_metadata"}
+
+
 def agreed_unit(detected: Column, hint: Column) -> Column:
     """The unit phrase on which all detected units agree, else that of the currency hint."""
     said = F.array_distinct(F.filter(F.transform(detected, unit_phrase), lambda p: p.isNotNull()))
     return F.coalesce(F.when(F.size(said) == 1, F.get(said, F.lit(0))), unit_phrase(hint))
 
 
+def with_units(tables: DataFrame) -> DataFrame:
+    """Tables with a grid plus fx_of (year), heads (unit by column header), other (by caption or declaration), hint (detected)."""
+    col = lambda c, kind: F.col(c) if c in tables.columns else F.lit(None).cast(kind)
+    t = tables.filter(F.size("grid") > 0)
+    width = F.aggregate("grid", F.lit(0), lambda m, r: F.greatest(m, F.size(r)))
+    heads = F.transform(F.sequence(F.lit(0), F.greatest(width - 1, F.lit(0))), lambda c: header_phrase(F.col("grid"), F.size("grid"), c))
+    t = t.withColumn("fx_of", table_year(F.col("year"), F.col("report_id"))).withColumn("heads", heads)
+    t = t.withColumn("other", stated_phrase(F.lit(None).cast("string"), F.col("caption_context"), F.col("unit_declaration")))
+    return t.withColumn("hint", agreed_unit(col("detected_units", "array<string>"), col("currency_hint", "string")))
+
+
 def table_amounts(tables: DataFrame, rates: DataFrame) -> DataFrame:
     """Every numeric cell below the header of every table, as recorded and in VND.
 
@@ -96,21 +121,15 @@ def table_amounts(tables: DataFrame, rates: DataFrame) -> DataFrame:
     `inferred_units`) or null. Null or empty grids give no row. Tables without the columns that an inference
     or detection needs go without it.
     """
-    col = lambda c, kind: F.col(c) if c in tables.columns else F.lit(None).cast(kind)
-    t = tables.filter(F.size("grid") > 0)
-    width = F.aggregate("grid", F.lit(0), lambda m, r: F.greatest(m, F.size(r)))
-    heads = F.transform(F.sequence(F.lit(0), F.greatest(width - 1, F.lit(0))), lambda c: header_phrase(F.col("grid"), F.size("grid"), c))
+    t = with_units(tables)
     known = ["record_id", "table_key", "fx_of", "heads", "other", "hint"]
-    t = t.withColumn("fx_of", table_year(F.col("year"), F.col("report_id"))).withColumn("heads", heads)
-    t = t.withColumn("other", stated_phrase(F.lit(None).cast("string"), F.col("caption_context"), F.col("unit_declaration")))
-    t = t.withColumn("hint", agreed_unit(col("detected_units", "array<string>"), col("currency_hint", "string")))
     cells = t.select(*known, F.posexplode("grid").alias("row_index", "row")).filter(F.col("row_index") > 0)
     cells = cells.select(*known, "row_index", F.posexplode("row").alias("column_index", "cell")).filter(F.col("column_index") > 0)
     cells = cells.filter(is_amount(F.col("cell"))).withColumn("value", amount(F.col("cell")))
     stated = F.coalesce(F.get("heads", F.col("column_index")), F.col("other"))
     cells = cells.withColumn("unit", F.coalesce(stated, F.col("hint"))).withColumn("unit_source", F.when(stated.isNotNull(), "stated").when(F.col("hint").isNotNull(), "detected"))
     cells = cells.drop("heads", "other", "hint", "cell")
-    if {"ticker", "variant", "header_depth", "column_metadata"} <= set(tables.columns):
+    if _HISTORY <= set(tables.columns):
         guess = inferred_units(t)
         cells = cells.filter("unit is not null").withColumn("power", F.lit(0)).unionByName(
             cells.filter("unit is null").drop("unit", "unit_source").join(guess, ["record_id", "row_index", "column_index"], "left").withColumn("unit_source", F.when(F.col("unit").isNotNull(), "inferred")).withColumn("power", F.coalesce("power", F.lit(0)))
@@ -128,13 +147,10 @@ def inferred_units(t: DataFrame) -> DataFrame:
     t: tables with heads, other and hint. Only series that hold such a cell are segmented; cells of series
     that never state a unit give no row.
     """
-    cells = F.filter(F.transform("row", lambda c, i: F.struct(i.alias("i"), F.get("cols", i).alias("c"), c.alias("cell"))), lambda x: x["c"]["ok"] & is_amount(x["cell"]))
-    rows = amount_rows(t, F.col("record_id"), F.col("heads"), F.coalesce("other", "hint").alias("known")).select("record_id", "row_index", "series", "heads", "known", F.explode(cells).alias("x"))
-    points = rows.select("record_id", "row_index", F.col("x.i").alias("column_index"), "series", F.col("x.c.year").alias("year"), F.coalesce(F.get("heads", F.col("x.i")), F.col("known")).alias("unit"), amount(F.col("x.cell")).alias("value"))
-    points = settle(points)
+    points = settle(amount_points(t))
     lost = points.filter("unit is null and year is not null")
     mine = settle(points.join(lost.select("series").distinct(), "series", "left_semi"))
-    segments = settle(unit_shifts(mine.select("series", "year", "value")).select("series", "segment", "first_year", "last_year", "unit_power"))
+    segments = settle(unit_shifts(mine.select("series", "year", "value", "unit")).select("series", "segment", "first_year", "last_year", "unit_power"))
     inside = (F.col("p.series") == F.col("s.series")) & F.col("p.year").between(F.col("s.first_year"), F.col("s.last_year"))
     said = mine.filter("unit is not null").groupBy("series", "year", "unit").count()
     told = said.alias("p").join(segments.alias("s"), inside).groupBy("p.series", "segment", "unit_power", "unit").agg(F.sum("count").alias("n"))
@@ -171,35 +187,60 @@ def _segment(batches, penalty: float, slack: float):
             starts = pelt(y, penalty)
             ends = [*starts[1:], len(y)]
             means = [float(y[a:b].mean()) for a, b in zip(starts, ends)]
-            shift, power = [0.0] * len(means), [0] * len(means)
+            said = [sorted(p["scale"] for p in points[a:b] if p["scale"] is not None) for a, b in zip(starts, ends)]
+            said = [v[len(v) // 2] if v else None for v in said]
+            shift, power, why = [0.0] * len(means), [0] * len(means), ["latest"] * len(means)
             for k in range(len(means) - 2, -1, -1):  # against the latest segment, whose unit stands
                 step = means[k] - means[k + 1]
                 near = min((s * f for f in FACTORS for s in (1, -1)), key=lambda f: abs(step - f))
-                power[k] = power[k + 1] + (near if abs(step - near) <= slack else 0)
+                found = near if abs(step - near) <= slack else 0
+                if said[k] is not None and said[k + 1] is not None:  # stated units win over the search
+                    stated = said[k + 1] - said[k]
+                    why[k] = "none" if found == stated == 0 else "confirmed" if found == stated else "refuted"
+                    found = stated
+                else:
+                    why[k] = "inferred" if found else "none"
+                power[k] = power[k + 1] + found
                 shift[k] = step
-            out += [(key, k, int(years[a]), int(years[b - 1]), b - a, round(means[k], 6), round(shift[k], 6), power[k]) for k, (a, b) in enumerate(zip(starts, ends))]
-        yield pd.DataFrame(out, columns=["series", "segment", "first_year", "last_year", "n_years", "mean_log10", "step_log10", "unit_power"])
+            out += [(key, k, int(years[a]), int(years[b - 1]), b - a, round(means[k], 6), round(shift[k], 6), power[k], why[k]) for k, (a, b) in enumerate(zip(starts, ends))]
+        yield pd.DataFrame(out, columns=["series", "segment", "first_year", "last_year", "n_years", "mean_log10", "step_log10", "unit_power", "evidence"])
 
 
 def unit_shifts(history: DataFrame, penalty: float = 2.0, slack: float = 0.35) -> DataFrame:
     """Segments of each series' yearly levels; unit_power is the power of ten to divide by to reach the latest unit.
 
-    history: series STRING, year INT, value DOUBLE. Nulls and zeros are left out. The points of a series
-    are first reduced to one median per year, so an array never holds more points than there are years,
-    however many rows a series has. A level shift within slack of a known factor counts as a unit change.
+    history: series STRING, year INT, value DOUBLE, optionally unit STRING (the phrase stated for the value). Nulls and
+    zeros are left out. The points of a series are first reduced to one median per year, so an array never holds more
+    points than there are years, however many rows a series has. A level shift within slack of a known factor counts as a
+    unit change. Where both sides state units, these decide: evidence is confirmed or refuted then, else inferred, none
+    without a change, latest for the last segment.
     """
-    yearly = history.filter(F.col("series").isNotNull() & F.col("year").isNotNull() & (F.abs("value") > 0)).groupBy("series", "year").agg(F.percentile_approx(F.log10(F.abs("value")), 0.5, 1000).alias("level"))
-    points = yearly.groupBy("series").agg(F.sort_array(F.collect_list(F.struct("year", "level"))).alias("points"))
-    schema = "series string, segment int, first_year int, last_year int, n_years int, mean_log10 double, step_log10 double, unit_power int"
+    scale = F.round(F.log10(scale_of(F.col("unit")))).cast("int") if "unit" in history.columns else F.lit(None).cast("int")
+    kept = history.filter(F.col("series").isNotNull() & F.col("year").isNotNull() & (F.abs("value") > 0)).withColumn("_scale", scale)
+    yearly = kept.groupBy("series", "year").agg(F.percentile_approx(F.log10(F.abs("value")), 0.5, 1000).alias("level"), F.percentile_approx("_scale", 0.5, 100).alias("scale"))
+    points = yearly.groupBy("series").agg(F.sort_array(F.collect_list(F.struct("year", "level", "scale"))).alias("points"))
+    schema = "series string, segment int, first_year int, last_year int, n_years int, mean_log10 double, step_log10 double, unit_power int, evidence string"
     return points.mapInPandas(lambda it: _segment(it, penalty, slack), schema)
 
 
+def reversed_history(history: DataFrame, segments: DataFrame) -> DataFrame:
+    """history plus value_latest: the value in the unit of its series' latest segment, the changes of unit reversed.
+
+    Segments are fewer than the years of a series; a series of very many rows is split by AQE's skew join. Rows without
+    a series, a year or a value in no segment (zeros, nulls) keep null.
+    """
+    s = segments.select("series", "first_year", "last_year", "unit_power")
+    by = s.groupBy("series").agg(F.collect_list(F.struct("first_year", "last_year", "unit_power")).alias("_s"))
+    at = F.get(F.filter("_s", lambda x: F.col("year").between(x["first_year"], x["last_year"])), F.lit(0))
+    return history.join(by, "series", "left").withColumn("value_latest", F.when(F.col("value") != 0, F.col("value") / F.pow(F.lit(10.0), at["unit_power"].cast("double")))).drop("_s")
+
+
 def head_rows(grid: Column, depth: Column) -> Column:
     """How many rows at the top are header: the first, the declared depth and those repeating the first row's
     first cell, as spans leave them; none from the first row on that holds an amount other than a period."""
     first = F.get(F.get(grid, F.lit(0)), F.lit(0))
     period = lambda c: F.trim(c).rlike(PERIOD_CELL)
-    counted = lambda r: F.exists(F.slice(r, 2, 1_000_000), lambda c: is_amount(c) & ~period(c))
+    counted = lambda r: F.exists(F.slice(r, F.lit(2), F.greatest(F.size(r) - 1, F.lit(0))), lambda c: is_amount(c) & ~period(c))
     head = lambda r, i: ((i == 0) | (i < F.coalesce(depth, F.lit(0))) | F.get(r, F.lit(0)).eqNullSafe(first)) & ~F.coalesce(counted(r), F.lit(False))
     top = F.slice(grid, 1, HEADER_ROWS)
     end = F.array_position(F.transform(top, head), F.lit(False))
@@ -237,5 +278,14 @@ def amount_rows(tables: DataFrame, *keep: Column) -> DataFrame:
 def label_history(tables: DataFrame) -> DataFrame:
     """series (ticker, variant, folded row label), year, value as recorded: every numeric cell of the columns
     that can hold amounts, whatever its size, with the year of its own column. Codes and notes are left out by header."""
-    cells = F.filter(F.transform("row", lambda c, i: F.struct(F.get("cols", i).alias("c"), c.alias("cell"))), lambda x: (x["c"]["ok"]) & is_amount(x["cell"]))
-    return amount_rows(tables).select("series", F.explode(cells).alias("x")).select("series", F.col("x.c.year").alias("year"), amount(F.col("x.cell")).alias("value"))
+    return amount_points(tables, False).select("series", "year", "value")
+
+
+def amount_points(tables: DataFrame, units: bool = True) -> DataFrame:
+    """label_history with record_id, row_index and column_index, and with units the unit stated or detected for each value."""
+    t = (tables if "heads" in tables.columns else with_units(tables)) if units else tables
+    keep = [F.col("record_id"), F.col("heads"), F.coalesce("other", "hint").alias("known")] if units else []
+    cells = F.filter(F.transform("row", lambda c, i: F.struct(i.alias("i"), F.get("cols", i).alias("c"), c.alias("cell"))), lambda x: x["c"]["ok"] & is_amount(x["cell"]))
+    rows = amount_rows(t, *keep).select(*(["record_id", "row_index", "heads", "known"] if units else []), "series", F.explode(cells).alias("x"))
+    own = ["record_id", "row_index", F.col("x.i").alias("column_index"), F.coalesce(F.get("heads", F.col("x.i")), F.col("known")).alias("unit")] if units else []
+    return rows.select(*own, "series", F.col("x.c.year").alias("year"), amount(F.col("x.cell")).alias("value"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.text import ONE_DST, ONE_SRC
 from ..operators import amounts, intake, shred
-from ..session import table
+from ..session import settle, table
 
 CHILDREN = {
     "tables": {"line_position": "bigint", "page": "bigint", "section_header": "string", "currency_hint": "string"},
@@ -103,7 +103,7 @@ def p6_found(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p6_answers_vnd(spark: SparkSession, sf: str) -> DataFrame:
-    return _answers(spark, sf).select("id", "table_key", "row_index", "column_index", "cell_value", "cell_unit", "cell_vnd", "answer_vnd", "off")
+    return _answers(spark, sf).select("id", "table_key", "row_index", "column_index", "cell_value", "cell_vnd", "answer_vnd", "off")
 
 
 def p6_cells_vnd(spark: SparkSession, sf: str) -> DataFrame:
@@ -111,10 +111,23 @@ def p6_cells_vnd(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p6_unit_shifts(spark: SparkSession, sf: str) -> DataFrame:
-    return amounts.unit_shifts(amounts.label_history(table(spark, sf, "norm_tables")))
+    """Segments of every series with what its stated units say to each change."""
+    return amounts.unit_shifts(amounts.amount_points(table(spark, sf, "norm_tables")))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_schema, p2_elements, p2_rejected, p2_row_labels, p2_tables, p2_columns, p2_period_labels, p2_norm_columns, p2_norm_column_periods, p2_norm_period_labels, p2_norm_row_labels, p4_found, p4_candidates, p4_anomalies, p6_found, p6_answers_vnd, p6_cells_vnd, p6_unit_shifts)}
+def p6_history(spark: SparkSession, sf: str) -> DataFrame:
+    """Every amount with its series, also in the unit of the series' latest segment."""
+    points = settle(amounts.amount_points(table(spark, sf, "norm_tables")))
+    return amounts.reversed_history(points, amounts.unit_shifts(points))
+
+
+def p6_cells_stated(spark: SparkSession, sf: str) -> DataFrame:
+    """The cells of p6_cells_vnd whose unit is stated; SQL can't search for changepoints."""
+    t = table(spark, sf, "norm_tables").drop("detected_units", "currency_hint", "ticker")
+    return amounts.table_amounts(t, table(spark, sf, "fx_rates")).filter("unit_source = 'stated'").select("record_id", "row_index", "column_index", "value", "value_vnd")
+
+
+QUERIES = {f.__name__: f for f in (p2_found, p2_schema, p2_elements, p2_rejected, p2_row_labels, p2_tables, p2_columns, p2_period_labels, p2_norm_columns, p2_norm_column_periods, p2_norm_period_labels, p2_norm_row_labels, p4_found, p4_candidates, p4_anomalies, p6_found, p6_answers_vnd, p6_cells_vnd, p6_cells_stated, p6_unit_shifts, p6_history)}
 
 _NAMES = "tables|column_metadata|period_labels|row_labels|sub_labels"
 _LONE = rf"'\.({_NAMES})(\.|$)', '.\1[0]\2', 'g'"
@@ -196,10 +209,27 @@ v AS (SELECT *, CASE WHEN regexp_full_match(t, '[-+(]*[0-9]+([.,][0-9]+)*\)?') T
 w AS (SELECT v.*, x * {_factor_sql("u")} * CASE WHEN {_currency_sql("u")} = 'VND' THEN 1e0 ELSE f.vnd_per_unit END AS cell_vnd,
    expected_answer * {_factor_sql("eu")} * CASE WHEN {_currency_sql("eu")} = 'VND' THEN 1e0 ELSE g.vnd_per_unit END AS answer_vnd
   FROM v LEFT JOIN fx_rates f ON f.currency = {_currency_sql("u")} AND f.fx_year = y LEFT JOIN fx_rates g ON g.currency = {_currency_sql("eu")} AND g.fx_year = y)
-SELECT DISTINCT id FROM w WHERE abs(answer_vnd - cell_vnd) > 0.01e0 * abs(cell_vnd)"""
+"""
+
+_P6_CELLS = rf"""
+WITH rows_ AS (SELECT record_id, generate_subscripts(grid, 1) - 1 AS r, unnest(grid) AS row FROM norm_tables WHERE len(grid) > 0),
+cells AS (SELECT record_id, r, generate_subscripts(row, 1) - 1 AS c, unnest(row) AS cell FROM rows_),
+hw AS (SELECT record_id, c, r, {_phrase_sql("cell")}[-1] AS u FROM cells WHERE r < 6),
+hu AS (SELECT record_id, c, arg_min(u, r) AS u FROM hw WHERE u IS NOT NULL GROUP BY ALL),
+tu AS (SELECT record_id, coalesce(list_filter(list_transform(caption_context, lambda x: {_phrase_sql("x", "(?:^|[^a-z])(?:don vi(?: tinh)?(?: tien te)?|dvt|unit|currency)[^a-z0-9]*")}[1]), lambda x: x IS NOT NULL)[-1],
+   {_phrase_sql("unit_declaration")}[-1]) AS u, coalesce(year, try_cast(regexp_extract(report_id, '_(20[0-9]{{2}})(_|$)', 1) AS INT)) AS y FROM norm_tables),
+v AS (SELECT record_id, r, c, coalesce(hu.u, tu.u) AS u, y, regexp_replace(regexp_replace({_one_sql("cell")}, '\s', '', 'g'), '[−–—]', '-', 'g') AS t
+  FROM cells LEFT JOIN hu USING (record_id, c) JOIN tu USING (record_id) WHERE r > 0 AND c > 0),
+n AS (SELECT *, replace(regexp_replace(t, '[-+()]', '', 'g'), ',', '.') AS d FROM v WHERE u IS NOT NULL AND regexp_full_match(t, '[-+(]*[0-9]+([.,][0-9]+)*\)?')),
+x AS (SELECT *, (CASE WHEN t LIKE '-%' OR (t LIKE '(%' AND t LIKE '%)') THEN -1 ELSE 1 END) * CASE WHEN d NOT LIKE '%.%' OR length(split_part(d, '.', -1)) = 3 THEN replace(d, '.', '')::DOUBLE
+     ELSE replace(d, '.', '')::DOUBLE / pow(10e0, length(split_part(d, '.', -1))) END AS value FROM n)
+SELECT record_id, r::INT AS row_index, c::INT AS column_index, value, value * {_factor_sql("u")} * CASE WHEN {_currency_sql("u")} = 'VND' THEN 1e0 ELSE f.vnd_per_unit END AS value_vnd
+FROM x LEFT JOIN fx_rates f ON f.currency = {_currency_sql("u")} AND f.fx_year = y"""
 
 ORACLE = {
-    "p6_found": _P6,
+    "p6_found": _P6 + "SELECT DISTINCT id FROM w WHERE abs(answer_vnd - cell_vnd) > 0.01e0 * abs(cell_vnd)",
+    "p6_answers_vnd": _P6 + """SELECT id, table_key, r AS row_index, c AS column_index, x AS cell_value, cell_vnd, answer_vnd, abs(answer_vnd - cell_vnd) > 0.01e0 * abs(cell_vnd) AS off FROM w""",
+    "p6_cells_stated": _P6_CELLS,
     "p2_found": rf"""
 WITH n AS (SELECT t.store_id, j.type AS ty, regexp_replace(regexp_replace(replace(replace(j.fullkey, '"', ''), '$', ''), {_LONE}), {_LONE}) AS p, j.fullkey AS k
   FROM table_store t, json_tree(t.payload) j WHERE json_valid(t.payload))

@@ -124,3 +124,52 @@ def test_cells_without_a_unit_get_it_from_their_history(spark):
     rates = spark.createDataFrame([("USD", 2020, 20_000.0)], "currency string, fx_year int, vnd_per_unit double")
     got = {r.record_id: (r.value_vnd, r.unit_source) for r in amounts.table_amounts(spark.createDataFrame(rows, schema), rates).collect()}
     assert got == {**{y: (9e8, "stated" if y > 2020 else "inferred") for y in range(2014, 2024)}, 1: (5e9, "detected"), 2: (1e5, "detected"), 3: (None, None), 4: (1e5, "stated")}
+
+
+def planted(rng, n_series=300):
+    """Series of ten years whose values wander; in two of three the unit changes once, in one of those the units are stated."""
+    rows, truth = [], {}
+    for i in range(n_series):
+        level, change = rng.uniform(2, 4), rng.randrange(3, 8) if i % 3 else None
+        power = rng.choice((3, 6, 9))
+        truth[f"s{i}"] = (2010 + change, power) if change else None
+        for k in range(10):
+            level += rng.gauss(0, 0.06)
+            early = change is not None and k < change
+            for _ in range(rng.randrange(1, 4)):
+                unit = ("đồng" if early else {3: "nghìn đồng", 6: "triệu đồng", 9: "tỷ đồng"}[power]) if i % 3 == 2 and change else None
+                rows.append((f"s{i}", 2010 + k, 10 ** (level + rng.gauss(0, 0.05) + (power if early else 0)), unit))
+    return rows, truth
+
+
+def test_planted_unit_changes_are_found_and_reversed(spark):
+    """Recall and precision of the changes found, and all values reversed to within the wandering of their series."""
+    rows, truth = planted(random.Random(4))
+    h = spark.createDataFrame(rows, "series string, year int, value double, unit string").withColumn("unit", amounts.unit_phrase(F.col("unit")))
+    segments = amounts.unit_shifts(h)
+    got = {}
+    for r in segments.collect():
+        if r.evidence in ("inferred", "confirmed"):
+            got[r.series] = (r.last_year + 1, r.unit_power)
+    want = {k: v for k, v in truth.items() if v}
+    right = sum(want.get(k) == v for k, v in got.items())
+    assert right >= 0.9 * len(want) and right >= 0.9 * len(got)
+    latest = amounts.reversed_history(h, segments).groupBy("series").agg((F.max("value_latest") / F.min("value_latest")).alias("spread"))
+    assert latest.filter("spread < 30").count() >= 0.97 * len(truth)
+
+
+def test_stated_units_refute_a_shift(spark):
+    """Amounts that grow a thousandfold in a unit that stays are no change of unit."""
+    rows = [("a", y, 5.0 if y < 2015 else 5000.0, "trieu dong") for y in range(2010, 2020)]
+    got = sorted((r.segment, r.unit_power, r.evidence) for r in amounts.unit_shifts(spark.createDataFrame(rows, "series string, year int, value double, unit string")).collect())
+    assert got == [(0, 0, "refuted"), (1, 0, "latest")]
+
+
+def test_answers_to_cells_without_a_unit_use_the_history(spark):
+    schema = "record_id bigint, table_key string, report_id string, ticker string, variant string, year int, header_depth int, column_metadata array<struct<column_index:int,header_path:string>>, unit_declaration string, caption_context array<string>, detected_units array<string>, currency_hint string, grid array<array<string>>"
+    row = lambda i, y, said, cell: (i, f"k|{i}", "r", "A", "s", y, 1, None, said, None, None, None, [["Chỉ tiêu", f"Năm {y}"], ["Tiền", cell]])
+    t = spark.createDataFrame([row(y, y, "triệu đồng" if y > 2020 else None, "900" if y > 2017 else "900.000.000") for y in range(2014, 2024)], schema)
+    a = spark.createDataFrame([(1, 0.9, "tỷ đồng", "k|2015", 1, 1), (2, 1.9, "tỷ đồng", "k|2019", 1, 1), (3, 0.9, "tỷ đồng", "k|2022", 1, 1)], "id bigint, expected_answer double, expected_unit string, table_key string, row_index int, column_index int")
+    rates = spark.createDataFrame([("USD", 2020, 20_000.0)], "currency string, fx_year int, vnd_per_unit double")
+    got = {r.id: (r.off, r.unit_source) for r in amounts.off_answers(a, t, rates).collect()}
+    assert got == {1: (False, "inferred"), 2: (True, "inferred"), 3: (False, "stated")}
