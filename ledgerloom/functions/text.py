@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import itertools
+import json
 import unicodedata
 
 from pyspark.sql import Column, functions as F
@@ -58,6 +60,34 @@ _ONE = {ord(a): (ONE_DST[i] if i < len(ONE_DST) else None) for i, a in enumerate
 _FOLD = {ord(a): b for a, b in zip(FOLD_SRC, FOLD_DST)}
 
 
+def _compositions() -> dict[str, str]:
+    """Letter with one or two combining marks, in any order, to the composed letter, for all letters of the Latin blocks."""
+    out: dict[str, str] = {}
+    for code in [*range(0xC0, 0x250), *range(0x1E00, 0x1F00)]:
+        c = chr(code)
+        parts = unicodedata.normalize("NFD", c)
+        if len(parts) > 1 and unicodedata.normalize("NFC", parts) == c:
+            for marks in itertools.permutations(parts[1:]):
+                typed = parts[0] + "".join(marks)
+                if unicodedata.normalize("NFC", typed) == c:
+                    out[typed] = c
+                    if len(marks) == 2 and len(half := unicodedata.normalize("NFC", typed[:2])) == 1:
+                        out[half + marks[1]] = c
+    return out
+
+
+COMPOSITIONS = json.dumps(_compositions(), ensure_ascii=False)
+
+
+def composed(c: Column) -> Column:
+    """Text with letters and their combining marks composed (NFC for the Latin blocks); only texts with a mark are worked on."""
+    table = F.from_json(F.lit(COMPOSITIONS), "map<string,string>")
+    # Each letter with its marks stands alone between the other runs.
+    pieces = F.split(c, r"(?=\p{L}\p{M})|(?<=\p{M})(?!\p{M})")
+    done = F.array_join(F.transform(pieces, lambda p: F.when(p.rlike(r"\p{M}"), F.coalesce(F.try_element_at(table, p), p)).otherwise(p)), "")
+    return F.when(c.rlike(r"\p{M}"), done).otherwise(c)
+
+
 def let(value: Column, body) -> Column:
     """body(value) with value worked out once a row, also where body uses it inside a lambda.
 

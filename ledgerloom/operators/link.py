@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..functions.text import fold, let, number, tokens
+from ..functions.text import composed, fold, let, number, tokens
 from .extract import strip
 from .scope import RATIOS, code_words, variant, years
 
@@ -43,7 +43,12 @@ def question_tokens(question: Column) -> Column:
     """Distinct linking tokens of a question and of the operands of the ratios it names."""
     q = F.lower(F.coalesce(question, F.lit("")))
     more = F.array_compact(F.array(*[F.when(q.contains(k), F.lit(" ".join(v))) for k, v in RATIOS.items()]))
-    return F.array_distinct(tokens(F.concat_ws(" ", question, F.array_join(more, " ")), LINK_STOP))
+    return link_tokens(F.concat_ws(" ", question, F.array_join(more, " ")))
+
+
+def link_tokens(c: Column) -> Column:
+    """Distinct linking tokens of a text, letters composed."""
+    return F.array_distinct(tokens(composed(c), LINK_STOP))
 
 
 def is_value_column(column_index: Column, header_path: Column) -> Column:
@@ -96,7 +101,7 @@ def operands(questions: DataFrame, pairs: DataFrame, cells: DataFrame) -> DataFr
     vanish where any row of the question has a positive score. tier counts conflicts of variant and year.
     """
     q = questions.select("id", question_tokens(F.col("question")).alias("q_tokens"), years(F.col("question")).alias("asked_years"), variant(F.col("question")).alias("asked_variant"))
-    label = F.array_distinct(tokens(F.col("row_label"), LINK_STOP))
+    label = link_tokens(F.col("row_label"))
     j = pairs.select("id", "table_key").distinct().join(q, "id").join(cells.withColumn("label_tokens", label), "table_key")
     share = F.size(F.array_intersect("q_tokens", "label_tokens")) / F.greatest(F.size("label_tokens"), F.lit(1))
     named = F.coalesce(F.array_contains("asked_years", F.col("year")), F.lit(False))
@@ -115,7 +120,7 @@ def ordered(ops: DataFrame, concepts: DataFrame, most: int = MOST_OPERANDS) -> D
     """
     o = ops.join(concepts, "id", "left").withColumn("several", F.coalesce(F.size("concepts") >= 2, F.lit(False)))
     place = [F.desc("score"), "table_key", "row_index", "column_index"]
-    covered = F.filter("concepts", lambda c: F.lower("row_label").contains(c))
+    covered = F.filter("concepts", lambda c: F.lower(composed(F.col("row_label"))).contains(c))
     per_table = Window.partitionBy("id", "table_key")
     o = o.withColumn("covers", F.size(F.array_distinct(F.flatten(F.collect_set(covered).over(per_table)))))
     o = o.withColumn("turn", F.row_number().over(Window.partitionBy("id", "tier", "table_key").orderBy(*place)))

@@ -79,10 +79,11 @@ def compiled(expression: str, columns: Mapping[str, Column]) -> Column:
     return F.when(~F.isnan(value) & (F.abs(value) < float("inf")), value)
 
 
-def reduced(cells: DataFrame, reductions: list[tuple[str, str, float | None]], by: list[str], value: str = "value") -> DataFrame:
-    """Reductions (alias, op, threshold) of a column per group; an average of nothing is 0, null cells don't count."""
-    v, aggs = F.col(value), []
-    for alias, op, limit in reductions:
+def reduced(cells: DataFrame, reductions: list[tuple], by: list[str], value: str = "value") -> DataFrame:
+    """Reductions (alias, op, threshold, [column]) per group in one aggregate; an average of nothing is 0, null cells don't count."""
+    aggs = []
+    for alias, op, limit, *other in reductions:
+        v = F.col(*(other or [value]))
         if op not in REDUCTIONS:
             raise PlanError(f"unknown reduction {op}")
         if op.startswith("count_"):

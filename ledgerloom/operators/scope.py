@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..functions.text import WORD, fold, tokens
+from ..functions.text import WORD, composed, fold, tokens
 from ..session import join_checked
 from .index import STOP_WORDS
 
@@ -148,7 +148,7 @@ def concepts(questions: DataFrame) -> DataFrame:
 
     Line items are taken longest first; a phrase claims its letters, which no shorter one may use.
     """
-    q = questions.select("id", F.lower(F.coalesce("question", F.lit(""))).alias("t"))
+    q = questions.select("id", F.lower(composed(F.coalesce("question", F.lit("")))).alias("t"))
     none = F.array().cast("array<string>")
     parts = [F.when(F.col("t").contains(k), F.array(*map(F.lit, v))).otherwise(none) for k, v in RATIOS.items()]
     # The claimed letters pass through one column per phrase, so the plan stays linear in the phrases.

@@ -92,6 +92,32 @@ def x_shape_flags(spark: SparkSession, sf: str) -> DataFrame:
     return X.shape_flags(table(spark, sf, "norm_tables"), "record_id")
 
 
+@query("""SELECT record_id, 'n_rows>12:' || n_rows AS anomaly FROM norm_tables WHERE n_rows > 12
+UNION ALL SELECT record_id, 'n_cols>6:' || n_cols FROM norm_tables WHERE n_cols > 6""")
+def x_shape_flags_low(spark: SparkSession, sf: str) -> DataFrame:
+    """Bounds that small tables exceed too."""
+    return X.shape_flags(table(spark, sf, "norm_tables"), "record_id", most_rows=12, most_cols=6)
+
+
+def _marked_up(grid):
+    """A table written carelessly: a title over all columns, a first column over all rows, cells and rows left open, a cell behind the last row."""
+    safe = lambda c: F.regexp_replace(F.replace(F.replace(F.replace(F.coalesce(c, F.lit("")), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;")), r"[\r\n]+", " ")
+    width = F.aggregate(grid, F.lit(0), lambda m, r: F.greatest(m, F.size(r)))
+    side = F.concat(F.lit("<TD rowspan='"), F.size(grid).cast("string"), F.lit("'>side</TD>"))
+    row = lambda r, i: F.concat(F.lit("<tr>"), F.when(i == 0, side).otherwise(""), F.array_join(F.transform(r, lambda c: F.concat(F.lit("<td class=x>"), safe(c))), ""), F.when(i % 2 == 0, F.lit("</tr>")).otherwise(""))
+    return F.concat(F.lit("<table><tr><th colspan=\""), (width + 1).cast("string"), F.lit("\">T &amp; <b>title</b></th></tr>"), F.array_join(F.transform(grid, row), ""), F.lit("</tr><td>last</td></table>"))
+
+
+@query(f"""WITH g AS (SELECT record_id, list_transform(grid, lambda r: list_transform(r, lambda c: {_STRIP.format("regexp_replace(coalesce(c, ''), '[\\r\\n]+', ' ', 'g')")})) AS b, list_max(list_transform(grid, lambda r: len(r))) AS w
+  FROM norm_tables WHERE len(grid) > 0 AND len(list_filter(grid, lambda r: len(r) = 0)) = 0)
+SELECT record_id, 'parsed_with_warnings' AS status, (len(b) + 2)::INT AS n_rows, (w + 1)::INT AS n_cols,
+ [list_transform(range(w + 1), lambda i: 'T & title')] || list_transform(b, lambda r: ['side'] || r || list_transform(range(w - len(r)), lambda i: '')) || [['last'] || list_transform(range(w), lambda i: '')] AS grid FROM g""")
+def x_markup(spark: SparkSession, sf: str) -> DataFrame:
+    """Careless markup with spans is read back as the grid it was made from."""
+    t = table(spark, sf, "norm_tables", widen=True).filter((F.size("grid") > 0) & ~F.exists("grid", lambda r: F.size(r) == 0))
+    return X.parsed_grids(t.select("record_id", _marked_up(F.col("grid")).alias("text"))).select("record_id", "status", "n_rows", "n_cols", "grid")
+
+
 @query(rf"""WITH l AS (SELECT doc_id::VARCHAR AS report_id, unnest(regexp_split_to_array(text, '\r\n|\r|\n')) AS raw FROM documents),
 t AS (SELECT report_id, {_STRIP.format("raw")} AS text FROM l)
 SELECT report_id, count(*) AS n_lines, sum(length(text))::BIGINT AS n_chars, count(*) FILTER (regexp_full_match(text, '===== PAGE ([0-9]+) =====')) AS n_pages,
@@ -111,9 +137,9 @@ def n_report_parts(spark: SparkSession, sf: str) -> DataFrame:
     return t.withColumns(N.report_parts(F.col("report_id")))
 
 
-@query(f"SELECT record_id, list_sort(list_distinct(regexp_extract_all(coalesce(searchable_text, ''), '(?i)({_UNITS})', 1))) AS units FROM norm_tables")
+@query(f"WITH u AS (SELECT record_id, regexp_extract_all(coalesce(searchable_text, ''), '(?i)({_UNITS})', 1) AS l FROM norm_tables) SELECT record_id, list_filter(l, lambda x, i: list_position(l, x) = i) AS units FROM u")
 def n_units(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "norm_tables").select("record_id", F.array_sort(N.units_in(F.col("searchable_text"))).alias("units"))
+    return table(spark, sf, "norm_tables").select("record_id", N.units_in(F.col("searchable_text")).alias("units"))
 
 
 @query(f"SELECT DISTINCT expected_unit, {scale_sql('expected_unit')}::BIGINT AS scale FROM dev_answers")

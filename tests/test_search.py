@@ -150,3 +150,22 @@ def test_package_checks(spark):
     bad = p.filter("id < 3").unionByName(p.filter("id = 1").withColumn("id", F.lit(9)))
     got = {tuple(r) for r in package.check(bad, q, a.withColumn("answer", F.lit(2.0))).collect()}
     assert got == {(9, "unknown id"), (3, "missing"), (2, "not finite"), (1, "answer differs"), (2, "answer differs")}
+
+
+def test_letters_compose_as_in_nfc(spark):
+    """Decomposed Vietnamese gives the same concepts, tokens and units as composed text."""
+    import unicodedata
+
+    from ledgerloom.functions.text import composed
+    from ledgerloom.operators import link, scope
+
+    texts = ["Vòng quay tổng tài sản của ABC năm 2020", "lợi nhuận sau thuế và Doanh thu thuần", "ÁẬỄỞỰỲ đ", "ậ ộ ệ x̂", "", None, "café\n", "́", "plain"]
+    rows = [(i, t, unicodedata.normalize("NFD", t) if t is not None else None) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "id int, a string, b string")
+    for r in df.select("a", composed(F.col("b")).alias("b"), composed(F.col("a")).alias("c")).collect():
+        want = unicodedata.normalize("NFC", r.a) if r.a is not None else None
+        assert r.b == r.c == want
+    both = [{r.id: r.concepts for r in scope.concepts(df.select("id", F.col(c).alias("question"))).collect()} for c in "ab"]
+    assert both[0] == both[1] and both[0][0] and both[0][1]
+    pair = df.select(link.question_tokens(F.col("a")).alias("a"), link.question_tokens(F.col("b")).alias("b")).collect()
+    assert all(r.a == r.b for r in pair)

@@ -52,7 +52,9 @@ def test_candidates(reports):
         ("<td>a</td>", False, [["a"]]),
         ("<table><tr><td rowspan=3>a</td><td>b</td></tr></table>", False, [["a", "b"], ["a", ""], ["a", ""]]),
         ("<table><tr><td>a &amp; b&lt;</td><p>x</p></tr></table>", False, [["a & b<"]]),
-        ("<table><tr><td colspan=900000 rowspan=900000>a</td></tr></table>", False, [["a"]]),
+        ("<table><tr><td colspan=900000 rowspan=900000>a</td></tr></table>", False, []),
+        ("<table><tr><td>a<tr><td>b</table>", False, [["a"], ["b"]]), ("<tr><td>a</td><td>b</td>", True, []), ("<td>a</td><td>b</td></tr>", True, [["a", "b"]]), ("<tr></tr><tr><TD colspan='2'>a<br>b &nbsp;</TD></tr>", False, [["", ""], ["ab", "ab"]]),
+        ("<tr><td title='a > b'>x</td><!-- <td>no</td> --><td data-colspan=3>y</td></tr>", False, [["x", "y"]]), ("<tr><td rowspan=0>a</td><td>b</td></tr>", False, [["", "b"]]),
         ("", False, []),
     ],
 )
@@ -141,11 +143,13 @@ def test_stream_windows_equal_batch(spark, tmp_path):
     assert sorted(map(key, spark.table("w").collect())) == sorted(map(key, ingest.windowed_counts(e).collect()))
 
 
-def test_plain_cells_do_not_use_up_the_span_budget():
-    from ledgerloom.operators import extract
+def test_large_spans_are_expanded_whole():
+    status, notes, grid = extract.parse_table("<tr><td rowspan=300 colspan=700>a</td><td>b</td></tr>")
+    assert status == "success" and notes == [] and len(grid) == 300 and all(r[:700] == ["a"] * 700 for r in grid) and grid[0][700] == "b" and grid[1][700] == ""
+    assert extract.parse_table("<tr><td rowspan=90000 colspan=90000>a</td></tr>")[:2] == ("failed", [f"ValueError: a grid of more than {extract.LARGEST_GRID} cells"])
 
-    rows = [[("x", 1, 1)] * 1000 for _ in range(extract.MAX_CELLS // 1000 + 1)] + [[("a", 1, 2), ("b", 1, 1)]]
-    said = []
-    grid = extract.dense(rows, said)
-    assert said == [] and grid[-1][:4] == ["a", "a", "b", ""]
-    assert extract.dense([[("a", extract.MAX_CELLS, 2), ("b", 1, 1)]], said) == [["a", "b"]] and said == ["span expansion cut"]
+
+def test_parsed_grids_keeps_other_columns(spark):
+    df = spark.createDataFrame([(1, "<tr><td>a</td></tr>", "x"), (2, None, None)], "id int, text string, status2 string")
+    got = {r.id: (r.status, r.grid, r.status2) for r in extract.parsed_grids(df).collect()}
+    assert got == {1: ("success", [["a"]], "x"), 2: ("failed", [], None)}
