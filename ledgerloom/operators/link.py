@@ -41,7 +41,7 @@ def requested_unit(question: Column) -> Column:
 
 def question_tokens(question: Column) -> Column:
     """Distinct linking tokens of a question and of the operands of the ratios it names."""
-    q = F.lower(F.coalesce(question, F.lit("")))
+    q = F.lower(composed(F.coalesce(question, F.lit(""))))
     more = F.array_compact(F.array(*[F.when(q.contains(k), F.lit(" ".join(v))) for k, v in RATIOS.items()]))
     return link_tokens(F.concat_ws(" ", question, F.array_join(more, " ")))
 

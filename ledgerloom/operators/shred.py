@@ -7,6 +7,8 @@ surrogate key and their own ordinal; all of it stays in the JVM.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, StructType
 
@@ -74,6 +76,12 @@ def merged_schema(df: DataFrame, json_col: str) -> DataFrame:
     return out
 
 
+def listed_arrays(df: DataFrame, json_col: str) -> tuple[str, ...]:
+    """Names that are arrays in every record that has them, by one map-side aggregate; `schema_arrays` also has those of clashing types."""
+    text = df.select(F.try_parse_json(json_col).alias("v")).agg(F.schema_of_variant_agg("v").alias("s")).first().s or ""
+    return tuple(sorted(set(re.findall(r"[<,] ?`?([^`<>,:]+)`?: ARRAY<", text))))
+
+
 def schema_arrays(schema: DataFrame) -> tuple[str, ...]:
     """Names that the merged schema lists as an array somewhere."""
     return tuple(sorted(r.name for r in schema.filter("kind = 'array'").select("name").distinct().collect()))

@@ -24,7 +24,7 @@ def p2_found(spark: SparkSession, sf: str) -> DataFrame:
 def _levels(spark: SparkSession, sf: str) -> DataFrame:
     """Elements of the arrays that the merged schema lists; a lone value counts as an element of the five named ones, listed or not."""
     t = table(spark, sf, "table_store").select("store_id", "payload")
-    listed = shred.schema_arrays(shred.merged_schema(t, "payload"))
+    listed = shred.listed_arrays(t, "payload")
     levels = shred.flatten_levels(t, "store_id", "payload", tuple(dict.fromkeys((*shred.LABEL_ARRAYS, *listed))))
     return levels.filter(F.col("name").isin(*shred.LABEL_ARRAYS))
 

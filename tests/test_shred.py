@@ -88,7 +88,7 @@ def test_what_the_merged_schema_lists_is_exploded(spark):
     df = spark.createDataFrame([(i, json.dumps(d)) for i, d in enumerate(docs)], "id int, payload string")
     schema = shred.merged_schema(df, "payload")
     arrays = shred.schema_arrays(schema)
-    assert arrays == ("footnotes", "note_rows")
+    assert arrays == ("footnotes", "note_rows") and shred.listed_arrays(df, "payload") == ("note_rows",)
     levels = shred.flatten_levels(df, "id", "payload")
     assert sorted((r.id, r.path, r.parent_path) for r in levels.collect()) == [(0, "footnotes[0]", None), (0, "footnotes[1]", None), (0, "note.note_rows[0]", None), (0, "note.note_rows[2]", None), (1, "footnotes[0]", None)]
     fields = shred.schema_fields(schema, arrays)
