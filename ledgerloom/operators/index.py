@@ -2,13 +2,21 @@
 
 from __future__ import annotations
 
+import math
+
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from ..functions.text import tokens
-from ..session import join_checked
+from ..session import join_checked, settle
+from .blocks import term_search
 
 # Fixed values.
 K1, B, IDENTITY_BOOST = 1.5, 0.75, 5
+#: Terms of one block of queries that go to every task.
+BLOCK_BYTES = 64 << 20
 STOP_WORDS = tuple(
     """
     là của và các những này đó cho để với trong trên dưới khi đã sẽ có bao nhiêu
@@ -72,6 +80,57 @@ def bm25(docs: DataFrame, queries: DataFrame, stop: tuple[str, ...] = STOP_WORDS
     return met.groupBy("query_id", "scope", "doc_id").agg(F.sum(F.col("qf") * F.col("w")).alias("score"))
 
 
+def top_documents(docs: DataFrame, queries: DataFrame, k: int, stop: tuple[str, ...] = STOP_WORDS, k1: float = K1, b: float = B, digits: int = 9, limit: int = BLOCK_BYTES) -> DataFrame:
+    """(query_id, scope, doc_id, score, rank): the k best documents of each query, as `ranked(bm25(...), k, by query and scope)` gives.
+
+    While the queries' terms are below limit bytes they go to the documents, which stay where they lie: one pass counts the
+    documents that hold each asked term, one scores (see `blocks`). More queries are scored by shuffle joins. A query has
+    one scope.
+    """
+    q = settle(query_terms(queries, stop))
+    n, width = q.agg(F.count("*"), F.max(F.octet_length(F.concat_ws("", F.col("query_id").cast("string"), F.col("scope").cast("string"), "term")))).first()
+    if n == 0 or n * (width + 64) > limit:
+        return ranked(bm25(docs, queries, stop, k1, b), k, ("query_id", "scope"), digits)
+    spark = docs.sparkSession
+    asked = q.select("scope", "term").distinct().unionByName(q.select("scope", F.lit("").alias("term")).distinct()).toPandas()
+    asked["number"] = np.arange(len(asked), dtype=np.int32)
+    numbers = F.broadcast(spark.createDataFrame(asked, StructType([*q.select("scope", "term").schema.fields, StructField("number", IntegerType())])))
+    held = docs.select("scope", "doc_id", tokens(F.col("text"), stop).alias("t")) if "t" not in docs.columns else docs.select("scope", "doc_id", "t")
+    # The empty term stands for the document itself.
+    seen = held.select("scope", F.size("t").alias("dl"), F.explode(F.concat(F.array_distinct("t"), F.array(F.lit("")))).alias("term"))
+    count = {r.number: (r.n, r.s) for r in seen.join(numbers, ["scope", "term"]).groupBy("number").agg(F.count("*").alias("n"), F.sum("dl").alias("s")).collect()}
+    pdf = q.toPandas()
+    ids = np.array(sorted(set(zip(pdf["query_id"], pdf["scope"])), key=str), dtype=object).reshape(-1, 2)
+    place = {tuple(x): i for i, x in enumerate(ids)}
+    number = {(s, t): i for s, t, i in asked.itertuples(index=False)}
+    weights: dict = {}
+    lengths: dict = {}
+    for scope, part in pdf.groupby("scope", sort=False):
+        total, words = count.get(number[scope, ""], (0, 0))
+        if not total:
+            continue
+        at = np.array(sorted({place[x, scope] for x in part["query_id"]}))
+        local = {g: i for i, g in enumerate(at)}
+        by_term: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for term, hits in part.groupby("term", sort=False):
+            holds = count.get(number[scope, term], (0, 0))[0]
+            idf = math.log(1.0 + (total - holds + 0.5) / (holds + 0.5))
+            by_term[number[scope, term]] = np.array([local[place[x, scope]] for x in hits["query_id"]]), hits["qf"].to_numpy(float) * idf
+        weights[scope], lengths[scope] = (len(at), at, by_term), max(words / total, 1e-300)
+    rows = held.select("scope", "doc_id", F.size("t").cast("double").alias("dl"), F.explode("t").alias("term")).join(numbers, ["scope", "term"]).select("scope", "doc_id", "dl", F.col("number").alias("term"))
+    kinds = {f.name: f.dataType for f in docs.schema} | {f.name: f.dataType for f in q.schema}
+    arrow = to_arrow_schema(StructType([StructField("d", kinds["doc_id"]), StructField("q", kinds["query_id"])])).types
+    sent = spark.sparkContext.broadcast((weights, lengths, ids[:, 0]))
+
+    def run(batches):
+        return term_search(*sent.value[:2], sent.value[2], k, digits, k1, b, tuple(arrow))(batches)
+
+    out = StructType([StructField("query_id", kinds["query_id"]), StructField("doc_id", kinds["doc_id"]), StructField("score", DoubleType())])
+    best = rows.mapInArrow(run, out)
+    scoped = best.join(F.broadcast(q.select("query_id", "scope").distinct()), "query_id")
+    return ranked(scoped, k, ("query_id", "scope"), digits).select("query_id", "scope", "doc_id", "score", "rank")
+
+
 def ranked(scored: DataFrame, k: int | None, by: tuple[str, ...] = ("query_id",), digits: int = 9) -> DataFrame:
     """Adds rank by descending score, ties by doc_id as text; keeps the first k.
 

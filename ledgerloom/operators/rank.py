@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from ..functions.text import let, tokens
+from .blocks import matrix, unit_rows, vector_search
 from .index import STOP_WORDS, ranked
 
 # Fixed values.
 LABEL_WEIGHT, SECTION_BONUS, RELATED_PENALTY, RRF_K = 24.0, 1.0, 2.0, 60
 PRIMARY = ("balance_sheet", "income_statement", "cash_flow")
-#: Largest block of queries that is sent to the workers at once.
-MAX_QUERIES = 20_000
+#: Vectors of one block of queries that go to every task.
+BLOCK_BYTES = 64 << 20
 RELATED = "bên liên quan"
 
 
@@ -61,21 +66,40 @@ def dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
 
 
-def nearest(vectors: DataFrame, queries: DataFrame, k: int, scoped: bool = False, per_scope: bool = False) -> DataFrame:
-    """Exact top k by cosine: (query_id, doc_id, score, rank).
+def nearest(vectors: DataFrame, queries: DataFrame, k: int, scoped: bool = False, per_scope: bool = False, limit: int = BLOCK_BYTES) -> DataFrame:
+    """Exact top k by cosine: (query_id, [scope], doc_id, score, rank).
 
-    vectors: doc_id, vector, [scope]; queries: query_id, vector, [scope]. The stated query set is sent
-    to every block of vectors as a broadcast of checked size, so each vector is read once; per block
-    only the k best of each query survive before the shuffle (WindowGroupLimit).
+    vectors: doc_id, vector, [scope]; queries: query_id, vector, [scope]. Queries go to the vectors in blocks of at most
+    limit bytes, measured; each block reads the vectors once and multiplies matrices, and each task keeps the k best of
+    every query (see `blocks`). A vector that is null, zero or of another length fails the job. per_scope: k per query and
+    scope for queries of several scopes, else k per query.
     """
-    if queries.limit(MAX_QUERIES + 1).count() > MAX_QUERIES:
-        raise ValueError(f"more than {MAX_QUERIES} queries; search them in blocks")
-    v = unit_vectors(vectors, "vector").withColumnRenamed("vector", "dv")
-    q = unit_vectors(queries, "vector").withColumnRenamed("vector", "qv")
     on = ["scope"] if scoped else []
-    pairs = v.join(F.broadcast(q), on) if on else v.join(F.broadcast(q))
-    scored = pairs.select("query_id", *on, "doc_id", dot(F.col("qv"), F.col("dv")).alias("score"))
-    return ranked(scored, k, ("query_id", *(on if per_scope else ())), 6)
+    named = queries.select("query_id", *on, "vector")
+    n, width = named.agg(F.count("*"), F.max(F.size("vector"))).first()
+    spark = vectors.sparkSession
+    out = StructType([StructField("query_id", queries.schema["query_id"].dataType), StructField("doc_id", vectors.schema["doc_id"].dataType), StructField("score", DoubleType())])
+    types = to_arrow_schema(out).types
+    n_blocks = max(1, -(-(n or 0) * ((width or 1) * 8 + 64) // limit))
+    number = StructType([StructField("number", LongType()), *named.select("query_id", *on).schema.fields])
+    found = None
+    for block in range(n_blocks):
+        # A block is a bounded part of the stated queries.
+        part = named if n_blocks == 1 else named.filter(F.pmod(F.xxhash64("query_id", *on), F.lit(n_blocks)) == block)
+        t = part.toArrow()
+        ids = list(zip(*[t.column(c).to_pylist() for c in ("query_id", *on)]))
+        q = unit_rows(matrix(t.column("vector").combine_chunks())) if ids else np.empty((0, 1))
+        scope_of = [x[1] for x in ids] if scoped else [None] * len(ids)
+        groups = {s: np.array([i for i, x in enumerate(scope_of) if x == s]) for s in dict.fromkeys(scope_of) if s is not None or not scoped}
+        sent = spark.sparkContext.broadcast(({s: (at, q[at]) for s, at in groups.items()}, np.arange(len(ids))))
+
+        def run(batches, sent=sent):
+            return vector_search(*sent.value, k, 6, (types[1], pa.int64()))(batches)
+
+        best = vectors.select("doc_id", "vector", *on).mapInArrow(run, StructType([StructField("query_id", LongType()), *out.fields[1:]])).withColumnRenamed("query_id", "number")
+        best = best.join(F.broadcast(spark.createDataFrame([(i, *x) for i, x in enumerate(ids)], number)), "number").select("query_id", *on, "doc_id", "score")
+        found = best if found is None else found.unionByName(best)
+    return ranked(found, k, ("query_id", *(on if per_scope else ())), 6)
 
 
 def rrf(rankings: DataFrame, k: int, constant: int = RRF_K) -> DataFrame:

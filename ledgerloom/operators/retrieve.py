@@ -53,7 +53,7 @@ def ranked_tables(questions: DataFrame, tables: DataFrame, companies: DataFrame,
     docs = scoped_documents(tables, companies, scopes)
     # Everywhere and by company apart, so that each is scored once and only the window of the former moves on.
     all_, own = F.col("scope") == EVERYWHERE, F.col("scope") != EVERYWHERE
-    near = I.ranked(I.bm25(docs.filter(all_), q.filter(all_)), max(20 * k, 200), ("query_id", "scope")).drop("rank")
+    near = I.top_documents(docs.filter(all_), q.filter(all_), max(20 * k, 200)).drop("rank")
     found = I.bm25(docs.filter(own), q.filter(own)).unionByName(near)
     labels = R.label_sets(F.slice(F.transform("row_labels", lambda x: x["label"]), 1, MAX_LABELS))
     about = tables.select(F.col("table_key").alias("doc_id"), labels.alias("label_sets"), F.col("section_header").alias("section"), F.col("table_identity").alias("identity"))

@@ -78,7 +78,7 @@ def s_bm25_topk(spark: SparkSession, sf: str) -> DataFrame:
     """The stated query set, every question whose id is divisible by 20, against all tables."""
     docs = _tables(spark, sf).select(F.lit(0).alias("scope"), F.col("record_id").alias("doc_id"), F.col("searchable_text").alias("text"))
     q = _asked(spark, sf).filter("id % 20 = 0").select(F.col("id").alias("query_id"), F.lit(0).alias("scope"), F.col("question").alias("text"))
-    return I.ranked(I.bm25(docs, q), 10, digits=6).select("query_id", "doc_id", "score", "rank")
+    return I.top_documents(docs, q, 10, digits=6).select("query_id", "doc_id", "score", "rank")
 
 
 _CODES = r"list_distinct(list_filter(regexp_extract_all(coalesce(question, ''), '[\p{L}\p{N}_]+'), lambda t: regexp_full_match(t, '[A-Z0-9]{2,5}') AND regexp_matches(t, '[A-Z]') AND t NOT IN ('BCTC', 'CTCP', 'TMCP', 'TCT', 'TNHH', 'VND')))"
@@ -98,7 +98,7 @@ def _scoped(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
 @query(_bm25_sql(_SCOPED_DOCS, _SCOPED_Q, "SELECT query_id, scope, doc_id, score, rank FROM rk WHERE rank <= 10"))
 def s_bm25_scoped(spark: SparkSession, sf: str) -> DataFrame:
     docs, q = _scoped(spark, sf)
-    return I.ranked(I.bm25(docs, q), 10, ("query_id", "scope"), 6).select("query_id", "scope", "doc_id", "score", "rank")
+    return I.top_documents(docs, q.withColumn("query_id", F.concat_ws("#", F.col("query_id").cast("string"), "scope")), 10, digits=6).select(F.substring_index("query_id", "#", 1).cast("bigint").alias("query_id"), "scope", "doc_id", "score", "rank")
 
 
 # ---- scope of a question

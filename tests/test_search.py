@@ -169,3 +169,47 @@ def test_letters_compose_as_in_nfc(spark):
     assert both[0] == both[1] and both[0][0] and both[0][1]
     pair = df.select(link.question_tokens(F.col("a")).alias("a"), link.question_tokens(F.col("b")).alias("b")).collect()
     assert all(r.a == r.b for r in pair)
+
+
+@pytest.mark.parametrize("limit", [0, 1 << 26])
+def test_top_documents_equal_the_ranked_joins(spark, limit):
+    """Blocks and shuffle joins give the same rows; ties, repeated documents' texts, empty texts and several scopes included."""
+    import random
+
+    rng = random.Random(7)
+    text = lambda n: " ".join(rng.choice("ab cd ef gh ij kl mn op".split()) for _ in range(rng.randrange(n)))
+    rows = [(rng.choice("xyz"), i, text(12), "clash") for i in range(400)] + [("x", 900 + i, "ab ab cd", "") for i in range(30)] + [("x", 999, None, "")]
+    docs = spark.createDataFrame(rows, "scope string, doc_id bigint, text string, t2 string").repartition(3)
+    q = spark.createDataFrame([(i, rng.choice("xyzw"), text(6)) for i in range(40)] + [(99, "x", "ab"), (98, "x", ""), (97, "x", None)], "query_id bigint, scope string, text string")
+    got = index.top_documents(docs, q, 7, limit=limit)
+    want = index.ranked(index.bm25(docs, q), 7, ("query_id", "scope"))
+    key = lambda r: (r.query_id, r.scope, r.doc_id, round(r.score, 6), r["rank"])
+    assert sorted(map(key, got.collect())) == sorted(map(key, want.collect()))
+    assert index.top_documents(docs, q.limit(0), 7, limit=limit).count() == 0 and index.top_documents(docs.limit(0), q, 7, limit=limit).count() == 0
+
+
+@pytest.mark.parametrize("limit", [1 << 26, 300])
+@pytest.mark.parametrize("scoped", [False, True])
+def test_nearest_against_brute_force(spark, limit, scoped):
+    import random
+
+    rng = random.Random(3)
+    vec = lambda: [rng.choice((-1.0, 0.5, 2.0)) for _ in range(4)]
+    docs = [(i, vec(), rng.choice(("a", "b", None))) for i in range(200)]
+    asked = [(1000 + i, vec(), rng.choice(("a", "b", "c"))) for i in range(25)]
+    d = spark.createDataFrame(docs, "doc_id bigint, vector array<float>, scope string").repartition(3)
+    q = spark.createDataFrame(asked, "query_id bigint, vector array<float>, scope string")
+    got = {(r.query_id, r["rank"]): (r.doc_id, r.score) for r in rank.nearest(d, q, 5, scoped, limit=limit).collect()}
+    cos = lambda a, b: round(sum(x * y for x, y in zip(a, b)) / math.sqrt(sum(x * x for x in a) * sum(y * y for y in b)), 6)
+    for i, v, s in asked:
+        best = sorted(((-cos(v, w), str(j), j) for j, w, t in docs if not scoped or s == t))[:5]
+        assert [got[i, k + 1][0] for k in range(len(best))] == [b[2] for b in best] and (i, len(best) + 1) not in got
+    assert rank.nearest(d, q.limit(0), 5, scoped).count() == 0 and rank.nearest(d.limit(0), q, 5, scoped).count() == 0
+
+
+@pytest.mark.parametrize("bad", [None, [0.0, 0.0, 0.0, 0.0], [1.0]])
+def test_vectors_without_direction_fail(spark, bad):
+    d = spark.createDataFrame([(1, [1.0, 0.0, 0.0, 1.0]), (2, bad)], "doc_id bigint, vector array<float>").coalesce(1)
+    q = spark.createDataFrame([(1, [1.0, 0.0, 0.0, 1.0])], "query_id bigint, vector array<float>")
+    with pytest.raises(Exception, match="without direction|different lengths"):
+        rank.nearest(d, q, 5).collect()
