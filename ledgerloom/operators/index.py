@@ -32,13 +32,18 @@ def enriched(identity: list[Column], text: Column, boost: int = IDENTITY_BOOST)
     return F.concat(F.repeat(head, boost), F.coalesce(text, F.lit("")))
 
 
+def tokenized(docs: DataFrame, stop: tuple[str, ...] = STOP_WORDS) -> DataFrame:
+    """(scope, doc_id, t): the tokens of docs (scope, doc_id, text); docs that have t already keep it."""
+    return docs.select("scope", "doc_id", "t") if "t" in docs.columns else docs.select("scope", "doc_id", tokens(F.col("text"), stop).alias("t"))
+
+
 def postings(docs: DataFrame, stop: tuple[str, ...] = STOP_WORDS, only: DataFrame | None = None) -> DataFrame:
     """docs (scope, doc_id, text) to (scope, doc_id, term, f, dl); texts without a token give no row.
 
     only (scope, term) keeps the postings of those terms; they are dropped before the aggregate's
     shuffle, by a broadcast while the terms are few.
     """
-    d = docs.select("scope", "doc_id", tokens(F.col("text"), stop).alias("t"))
+    d = tokenized(docs, stop)
     words = d.select("scope", "doc_id", F.size("t").alias("dl"), F.explode("t").alias("term"))
     if only is not None:
         words = join_checked(words, only, ["scope", "term"], "left_semi", 48)
@@ -47,7 +52,7 @@ def postings(docs: DataFrame, stop: tuple[str, ...] = STOP_WORDS, only: DataFram
 
 def scope_stats(docs: DataFrame, stop: tuple[str, ...] = STOP_WORDS) -> DataFrame:
     """Per scope the number of documents and their mean length; documents without a token count."""
-    d = docs.select("scope", F.size(tokens(F.col("text"), stop)).alias("dl"))
+    d = tokenized(docs, stop).select("scope", F.size("t").alias("dl"))
     return d.groupBy("scope").agg(F.count("*").alias("n_docs"), F.avg("dl").alias("avgdl"))
 
 
@@ -95,7 +100,8 @@ def top_documents(docs: DataFrame, queries: DataFrame, k: int, stop: tuple[str,
     asked = q.select("scope", "term").distinct().unionByName(q.select("scope", F.lit("").alias("term")).distinct()).toPandas()
     asked["number"] = np.arange(len(asked), dtype=np.int32)
     numbers = F.broadcast(spark.createDataFrame(asked, StructType([*q.select("scope", "term").schema.fields, StructField("number", IntegerType())])))
-    held = docs.select("scope", "doc_id", tokens(F.col("text"), stop).alias("t")) if "t" not in docs.columns else docs.select("scope", "doc_id", "t")
+    docs = join_checked(docs, q.select("scope").distinct(), "scope", "left_semi", 64)
+    held = tokenized(docs, stop)
     # The empty term stands for the document itself.
     seen = held.select("scope", F.size("t").alias("dl"), F.explode(F.concat(F.array_distinct("t"), F.array(F.lit("")))).alias("term"))
     count = {r.number: (r.n, r.s) for r in seen.join(numbers, ["scope", "term"]).groupBy("number").agg(F.count("*").alias("n"), F.sum("dl").alias("s")).collect()}

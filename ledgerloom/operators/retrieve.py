@@ -26,15 +26,18 @@ def question_scopes(questions: DataFrame, companies: DataFrame) -> DataFrame:
 
 
 def scoped_documents(tables: DataFrame, companies: DataFrame, scopes: DataFrame) -> DataFrame:
-    """(scope, doc_id, text) of the tables in each scope that is asked for; a scope without tables has no row and never falls back."""
+    """(scope, doc_id, t) of the tables in each scope that is asked for, each table's tokens worked out once; a scope without tables has no row and never falls back."""
     t = tables.select("table_key", "ticker", "year", "variant", "searchable_text")
     t = join_checked(t, companies.select("ticker", "name"), "ticker", "left", 100)
     year, any_ = F.col("year").cast("string"), F.lit("*")
     own = [F.concat_ws("|", "ticker", y, v) for y in (any_, year) for v in (any_, F.col("variant"))]
     kept = F.array_distinct(F.array(F.lit(EVERYWHERE), *[F.when(F.col("ticker").isNotNull(), c) for c in own]))
     text = I.enriched([F.col("ticker"), F.col("name"), F.col("year")], F.col("searchable_text"))
-    docs = t.select(F.explode(F.array_compact(kept)).alias("scope"), F.col("table_key").alias("doc_id"), text.alias("text"))
-    return join_checked(docs, scopes.select("scope").distinct(), "scope", "left_semi", 40)
+    asked = scopes.select("scope").distinct()
+    wanted = t.select("table_key", F.explode(F.array_compact(kept)).alias("scope"))
+    wanted = join_checked(wanted, asked, "scope", "left_semi", 64).groupBy("table_key").agg(F.collect_list("scope").alias("scopes"))  # five at most
+    held = t.select("table_key", I.tokens(text, I.STOP_WORDS).alias("t")).join(wanted, "table_key")
+    return held.select(F.explode("scopes").alias("scope"), F.col("table_key").alias("doc_id"), "t")
 
 
 def ranked_tables(questions: DataFrame, tables: DataFrame, companies: DataFrame, k: int = 10, most: int = S.TICKER_CAP) -> DataFrame:
@@ -50,7 +53,7 @@ def ranked_tables(questions: DataFrame, tables: DataFrame, companies: DataFrame,
     tops = F.when((F.size("concepts") >= 2) & (F.col("scope") != EVERYWHERE), F.col("concepts")).otherwise(F.array().cast("array<string>"))
     q = wanted.select("id", "scope", "n_companies", F.posexplode(F.concat(F.array("question"), tops)).alias("part", "text"))
     q = settle(q.withColumn("query_id", F.concat_ws("#", F.col("id").cast("string"), F.col("part").cast("string"))))
-    docs = scoped_documents(tables, companies, scopes)
+    docs = settle(scoped_documents(tables, companies, scopes))
     # Everywhere and by company apart, so that each is scored once and only the window of the former moves on.
     all_, own = F.col("scope") == EVERYWHERE, F.col("scope") != EVERYWHERE
     near = I.top_documents(docs.filter(all_), q.filter(all_), max(20 * k, 200)).drop("rank")

@@ -97,8 +97,9 @@ def phrase_matches(questions: DataFrame, companies: DataFrame) -> DataFrame:
     q = questions.select("id", _content(F.col("question")).alias("t")).filter(F.size("t") > 0)
     q = q.withColumn("s", F.explode(F.sequence(F.lit(1), F.size("t"))))
     q = q.withColumn("width", F.explode(F.sequence(F.lit(1), F.greatest(F.lit(1), F.least(F.lit(widest), F.size("t") - F.col("s") + 1)))))
-    q = q.select("id", F.array_join(F.slice("t", F.col("s"), F.col("width")), " ").alias("run")).distinct()
-    best = q.join(runs, "run").groupBy("id", "ticker", "n_content").agg(F.max_by(F.struct("run", "width", "longest"), F.struct("width", -F.col("s"))).alias("b"))
+    q = q.select("id", F.array_join(F.slice("t", F.col("s"), F.col("width")), " ").alias("run"))
+    # While the names' runs are few, the questions' runs stay where they lie; a hot word costs nothing then.
+    best = join_checked(q, runs, "run", "inner", 160).groupBy("id", "ticker", "n_content").agg(F.max_by(F.struct("run", "width", "longest"), F.struct("width", -F.col("s"))).alias("b"))
     w, long = F.col("b.width"), F.col("b.longest")
     ok = ((F.col("n_content") == 1) & (w == 1) & (long >= 4)) | ((w == F.col("n_content")) & (w >= 2)) | ((w * 2 >= F.col("n_content")) & ((w >= 4) | ((w >= 3) & (long >= 5))))
     best = best.filter(ok).select("id", "ticker", F.col("b.run").alias("run"), F.col("b.width").alias("width"))
