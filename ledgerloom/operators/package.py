@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.text import number
 from .metrics import close
 
 
@@ -12,6 +13,12 @@ def split_key(key: Column) -> tuple[Column, Column]:
     return F.regexp_extract(key, r"^(.*)\|[^|]*$", 1), F.regexp_extract(key, r"\|([^|]*)$", 1).try_cast("int")
 
 
+def table_cells(tables: DataFrame) -> DataFrame:
+    """Long form of grids: table_key, row_index, column_index, text, numeric_value."""
+    rows = tables.filter(F.size("grid") > 0).select("table_key", F.posexplode("grid").alias("row_index", "row"))
+    return rows.select("table_key", "row_index", F.posexplode("row").alias("column_index", "text")).withColumn("numeric_value", number(F.col("text")))
+
+
 def evidence(cells: DataFrame, used: DataFrame) -> DataFrame:
     """Long form of the cells of the tables each answer uses: id, table_key, row_index, column_index, text, numeric_value."""
     return used.select("id", "table_key").distinct().join(cells, "table_key")

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..operators import extract, link, normalize, plan, retrieve, scope
+from ..operators import extract, ground, link, normalize, package, plan, retrieve, scope
 from ..session import settle
 from ..sources import files
 
@@ -28,7 +30,7 @@ def build_catalog(spark: SparkSession, reports: str, companies: str | None, out:
 
 def rank_questions(spark: SparkSession, questions: DataFrame, tables: DataFrame, companies: DataFrame, out: str, k: int = 10) -> DataFrame:
     """Rankings under out/<fingerprint of the questions and tables>; computed once per content and parameters."""
-    mark = files.fingerprint(questions, ["id", "question"]) + files.fingerprint(tables, ["table_key", "content_hash"]) + files.fingerprint(companies, ["ticker", "name"]) + str(k)
+    mark = files.fingerprint(questions, ["id", "question"]) + files.fingerprint(tables, ["table_key", "ticker", "year", "variant", "section_header", "table_identity", "searchable_text", "row_labels"]) + files.fingerprint(companies, ["ticker", "name"]) + str(k)
     path = f"{out}/{abs(hash_text(mark)):x}"
     if not exists(spark, f"{path}/_SUCCESS"):
         retrieve.ranked_tables(questions, tables, companies, k).write.mode("overwrite").parquet(path)
@@ -62,3 +64,70 @@ def missing_companies(questions: DataFrame, companies: DataFrame, used: DataFram
     """(id, ticker) a question names of which no used cell (id, ticker) is."""
     named = scope.resolved_tickers(questions, companies).select("id", F.explode("tickers").alias("ticker"))
     return named.join(used.select("id", "ticker").distinct(), ["id", "ticker"], "left_anti")
+
+
+def linked_operands(questions: DataFrame, rankings: DataFrame, tables: DataFrame) -> DataFrame:
+    """Ordered operands with source_scale of the tables ranked for each question; only those tables are taken apart."""
+    wanted = tables.join(rankings.select("table_key").distinct(), "table_key", "left_semi")
+    ops = link.operands(questions, rankings.select("id", "table_key"), link.value_cells(wanted))
+    return ground.with_scales(settle(link.ordered(ops, scope.concepts(questions))), wanted)
+
+
+def predictions(questions: DataFrame, rankings: DataFrame, tables: DataFrame, companies: DataFrame, complete: Callable[[str], str] | None = None, ignore_unit: bool = False, retries: int = 2) -> DataFrame:
+    """One row per question from ranked tables to answer; what went wrong is data.
+
+    id, question, family, route, answer, answer_unit, expression, cells (table_key, row_index, column_index of each cell the
+    answer uses), used_tables, relevant_tables (at most RELEVANT_TABLES, in operand order), relevant_docs, n_retrieved,
+    n_linked, attempts, executed, stage (generation where no plan came about, execution where it has no finite value, else
+    null), reason. rankings: id, table_key. tables: one row per table_key; a ranked key without a table is the reason
+    "table not in the store". complete is a text model for the questions of several cells; without one they have no answer.
+    """
+    q = questions.select("id", "question").dropDuplicates(["id"])
+    pairs = rankings.select("id", "table_key").distinct()
+    ops = settle(linked_operands(q, pairs, tables))
+    r = settle(ground.routed(q, pairs, tables, companies, ops, ignore_unit))
+    cell = F.when(F.col("table_key").isNotNull(), F.array(F.struct("table_key", "row_index", "column_index"))).otherwise(F.array().cast("array<struct<table_key:string,row_index:int,column_index:int>>"))
+    r = r.withColumn("cells", cell).withColumn("attempts", F.when(F.col("route") == "model", 0).otherwise(1)).drop("table_key", "row_index", "column_index")
+    if complete is not None:
+        m = ground.modelled(r.filter("route = 'model'").select("id", "question", "family", "tickers"), ops, complete, retries)
+        m = m.select("id", *[F.col(c).alias(f"m_{c}") for c in ("answer", "expression", "cells", "attempts", "reason")])
+        of = lambda c: F.when(F.col("route") == "model", F.col(f"m_{c}")).otherwise(F.col(c))
+        r = r.join(m, "id", "left").withColumns({c: of(c) for c in ("answer", "expression", "cells", "attempts", "reason")}).drop(*[f"m_{c}" for c in ("answer", "expression", "cells", "attempts", "reason")])
+    lost = pairs.join(tables.select("table_key"), "table_key", "left_anti").select("id").distinct().withColumn("_lost", F.lit(True))
+    n = pairs.groupBy("id").agg(F.count("*").alias("n_retrieved")).join(ops.groupBy("id").agg(F.count("*").alias("n_linked")), "id", "left")
+    top = link.relevant_tables(ops).groupBy("id").agg(F.transform(F.sort_array(F.collect_list(F.struct("rank", "table_key"))), lambda s: s["table_key"]).alias("relevant_tables"))
+    j = r.join(lost, "id", "left").join(n, "id", "left").join(top, "id", "left")
+    finite = F.coalesce(~F.isnan("answer") & (F.abs("answer") < float("inf")), F.lit(False))
+    reason = F.when(F.col("_lost"), "table not in the store").when(F.col("reason").isNull() & ~finite, "not a finite number").otherwise(F.col("reason"))
+    none = F.array().cast("array<string>")
+    j = j.withColumn("reason", reason).withColumn("relevant_tables", F.coalesce("relevant_tables", none))
+    executed = F.col("reason").isNull()
+    return j.select(
+        "id", "question", "family", "route", F.when(executed, F.col("answer")).alias("answer"), F.col("unit").alias("answer_unit"), "expression", "cells",
+        F.array_distinct(F.transform("cells", lambda c: c["table_key"])).alias("used_tables"), "relevant_tables", F.array_distinct(F.transform("relevant_tables", lambda k: package.split_key(k)[0])).alias("relevant_docs"),
+        F.coalesce("n_retrieved", F.lit(0)).alias("n_retrieved"), F.coalesce("n_linked", F.lit(0)).alias("n_linked"), "attempts", executed.alias("executed"),
+        F.when(~executed & F.col("expression").isNotNull(), "execution").when(~executed, "generation").alias("stage"), "reason",
+    )
+
+
+def answer_all(spark: SparkSession, questions: DataFrame, tables: DataFrame, companies: DataFrame, out: str, complete: Callable[[str], str] | None = None, k: int = 10, retries: int = 2) -> DataFrame:
+    """Run from questions to answers under out: rankings, predictions, evidence. What has an answer already isn't asked again.
+
+    predictions is appended to, so a run that was cut short goes on where it stopped; evidence has the cells of the tables
+    that answers use, in long form. Ids must be unique. Returns all predictions, the latest of each question.
+    """
+    if questions.groupBy("id").count().filter("count > 1").limit(1).count():
+        raise ValueError("an id stands twice")
+    path, seen = f"{out}/predictions", None
+    if exists(spark, f"{path}/_SUCCESS"):
+        seen = settle(spark.read.parquet(path).filter("executed").select("id").distinct())
+    pending = settle(questions if seen is None else questions.join(seen, "id", "left_anti"))
+    if not pending.isEmpty():
+        rankings = rank_questions(spark, questions, tables, companies, f"{out}/rankings", k)
+        mine = rankings.join(pending.select("id"), "id", "left_semi")
+        done = settle(predictions(pending, mine, tables, companies, complete, retries=retries).withColumn("run_at", F.current_timestamp()))
+        done.write.mode("append").parquet(path)
+        used = done.filter("executed").select("id", F.explode("used_tables").alias("table_key"))
+        package.evidence(package.table_cells(tables), used).write.mode("append").parquet(f"{out}/evidence")
+    latest = spark.read.parquet(path).groupBy("id").agg(F.max_by(F.struct("*"), F.struct("executed", "run_at")).alias("p"))
+    return latest.select("p.*")

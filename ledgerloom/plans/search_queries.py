@@ -273,13 +273,6 @@ def _one_delivery(t: DataFrame) -> DataFrame:
     return t.join(keep, ["table_key", "record_id"], "left_semi")
 
 
-def _operands(spark: SparkSession, sf: str) -> DataFrame:
-    pairs = _pairs(spark, sf)
-    # Only tables that some question is paired with are taken apart.
-    wanted = _tables(spark, sf).join(pairs.select("table_key").distinct(), "table_key", "left_semi")
-    return L.operands(_asked(spark, sf), pairs, L.value_cells(_one_delivery(wanted)))
-
-
 @query(f"""WITH one AS (SELECT * FROM norm_tables QUALIFY row_number() OVER (PARTITION BY table_key ORDER BY record_id) = 1),
 {_CELLS},
 v AS (SELECT o.table_key, cs.r, cs.c, cs.raw, {number_sql("replace(cs.raw, chr(160), ' ')")} AS x, o.column_metadata AS m, o.row_labels AS l, o.grid[1][cs.c + 1] AS h FROM one o JOIN cs USING (record_id)),
@@ -290,25 +283,9 @@ def l_value_cells(spark: SparkSession, sf: str) -> DataFrame:
     return L.value_cells(_one_delivery(_tables(spark, sf))).select("table_key", "row_index", "column_index", "raw_value", "numeric_value")
 
 
-@query()
-def l_operands(spark: SparkSession, sf: str) -> DataFrame:
-    o = L.ordered(_operands(spark, sf), S.concepts(_asked(spark, sf)))
-    return o.select("id", "pos", "tier", "table_key", "row_index", "column_index", "row_label", "column_header", "numeric_value", F.round("score", 6).alias("score"))
-
-
-@query()
-def l_relevant_tables(spark: SparkSession, sf: str) -> DataFrame:
-    return L.relevant_tables(L.ordered(_operands(spark, sf), S.concepts(_asked(spark, sf))))
-
-
 # ---- plans
 
 
-@query()
-def g_direct_lookup(spark: SparkSession, sf: str) -> DataFrame:
-    return P.direct_lookup(_operands(spark, sf), _asked(spark, sf))
-
-
 @query("""WITH y AS (SELECT o_custkey AS id, year(o_orderdate) AS y, round(sum(o_totalprice), 2) AS v FROM orders GROUP BY ALL)
 SELECT id, arg_max(y, (v, -y))::INT AS max_year, max(v) AS max_value, arg_min(y, (v, y))::INT AS min_year, min(v) AS min_value, count(*) AS n_years FROM y GROUP BY 1""")
 def g_extremum_year(spark: SparkSession, sf: str) -> DataFrame:
@@ -519,9 +496,3 @@ def m_retrieval(spark: SparkSession, sf: str) -> DataFrame:
     got = _ranking(spark, sf).select(F.col("id").alias("query_id"), F.col("table_key").alias("key"))
     rel = _pairs(spark, sf).select(F.col("id").alias("query_id"), F.col("table_key").alias("key"))
     return M.macro(M.prf(got, rel))
-
-
-@query()
-def e_lookup_answers(spark: SparkSession, sf: str) -> DataFrame:
-    """Lookups answered from the cited tables."""
-    return jobs.answer_lookups(_asked(spark, sf), _one_delivery(_tables(spark, sf)), _pairs(spark, sf))

@@ -2,12 +2,12 @@
 
 import pytest
 
-from ledgerloom.plans import data_queries, search_queries, table_queries
+from ledgerloom.plans import answer_queries, data_queries, search_queries, table_queries
 
 from .compare import differences
 
 SF = "/root/testdata/sf0.001"
-MODULES = (table_queries, search_queries, data_queries)
+MODULES = (table_queries, search_queries, answer_queries, data_queries)
 NAMES = [(m, k) for m in MODULES for k in m.QUERIES]
 
 
