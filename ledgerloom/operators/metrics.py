@@ -38,6 +38,56 @@ def reciprocal_rank(ranked: DataFrame, relevant: DataFrame, k: int = 5) -> DataF
     return want.select("query_id").distinct().join(hit, "query_id", "left").select("query_id", F.coalesce("rr", F.lit(0.0)).alias("rr"))
 
 
+def sheet(ranked: DataFrame, relevant: DataFrame, document: Column, k: int = 5) -> DataFrame:
+    """Macro precision, recall, F2 and reciprocal rank by tables and by documents, a row each (level).
+
+    ranked: query_id, key, rank. document: the document of a key. A document's rank is that of its first table; as in the
+    list it comes from, tables of one document before it keep their places.
+    """
+    rows = []
+    for level, of in (("tables", F.col("key")), ("documents", document)):
+        got, want = ranked.withColumn("key", of), relevant.withColumn("key", of)
+        m = macro(prf(got, want))
+        rr = reciprocal_rank(got, want, k).agg(F.avg("rr").alias("mrr"))
+        rows.append(m.join(F.broadcast(rr)).select(F.lit(level).alias("level"), "*"))  # one row each
+    return rows[0].unionByName(rows[1])
+
+
+def at_ks(ranked: DataFrame, relevant: DataFrame, ks: tuple[int, ...]) -> DataFrame:
+    """Macro scores of the first k keys of each query for each k; ranked is read once."""
+    cut = ranked.withColumn("k", F.explode(F.array(*map(F.lit, ks)))).filter(F.col("rank") <= F.col("k")).select("query_id", "key", "k")
+    want = relevant.select("query_id", "key").distinct().withColumn("k", F.explode(F.array(*map(F.lit, ks))))
+    both = lambda d: d.select(F.struct("query_id", "k").alias("query_id"), "key")
+    s = prf(both(cut), both(want)).select(F.col("query_id.k").alias("k"), "precision", "recall", "f2")
+    return macro(s, ["k"])
+
+
+def outcome(executed: Column, stage: Column, answer: Column, expected: Column) -> Column:
+    """What became of a question: correct, executed_wrong, executed_unscored, or the stage that failed."""
+    right = F.when(expected.isNotNull() & answer.isNotNull(), close(answer, expected))
+    return (
+        F.when(executed & right, "correct").when(executed & right.isNotNull(), "executed_wrong").when(executed, "executed_unscored").when(stage == "generation", "generation_or_validation_failed")
+        .when(stage == "render", "render_failed").when(stage == "execution", "execution_crashed").otherwise("not_executed_unknown")
+    )
+
+
+_DIFFERENCE = r"\((-?[0-9]+(?:\.[0-9]+)?)\s*-\s*(-?[0-9]+(?:\.[0-9]+)?)\)\s*/\s*([0-9.]+(?:e[0-9]+)?)(?:\s*\*\s*([0-9.]+))?"
+_QUOTIENT = r"(-?[0-9]+(?:\.[0-9]+)?)\s*(?:VND|VNĐ)?\s*/\s*([0-9.]+e[0-9]+)"
+
+
+def derived(text: Column) -> Column:
+    """The value of the last `(a - b) / c [* d]` in a text, else of the last `a [VND] / 1eN`, else null."""
+    last = lambda p, n: F.try_element_at(F.regexp_extract_all(text, F.lit(p), n), F.lit(-1)).try_cast("double")
+    diff = F.try_divide(last(_DIFFERENCE, 1) - last(_DIFFERENCE, 2), last(_DIFFERENCE, 3)) * F.coalesce(last(_DIFFERENCE, 4), F.lit(1.0))
+    return F.coalesce(diff, F.try_divide(last(_QUOTIENT, 1), last(_QUOTIENT, 2)))
+
+
+def derivation_status(expected: Column, text: Column) -> Column:
+    """pass, fail, no_formula or no_expected_answer of an expected answer against the formula written beside it."""
+    v = derived(text)
+    return F.when(expected.isNull(), "no_expected_answer").when(v.isNull(), "no_formula").when(close(v, expected), "pass").otherwise("fail")
+
+
 def zero_credit(value: Column, scored: Column, total: Column) -> Column:
     """A mean over the scored queries as one over all, the others counting 0; fails if there are fewer in all."""
     return F.when(total >= scored, value * scored / total).otherwise(F.raise_error(F.lit("fewer queries in all than scored")).cast("double"))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..operators import extract, ground, link, normalize, package, plan, retrieve, scope
+from ..operators import diagnose, extract, ground, link, normalize, package, plan, retrieve, scope
 from ..session import settle
 from ..sources import files
 
@@ -131,3 +131,56 @@ def answer_all(spark: SparkSession, questions: DataFrame, tables: DataFrame, com
         package.evidence(package.table_cells(tables), used).write.mode("append").parquet(f"{out}/evidence")
     latest = spark.read.parquet(path).groupBy("id").agg(F.max_by(F.struct("*"), F.struct("executed", "run_at")).alias("p"))
     return latest.select("p.*")
+
+
+def repaired(diagnosis: DataFrame, rankings: DataFrame, tables: DataFrame, companies: DataFrame, complete: Callable[[str], str] | None = None) -> DataFrame:
+    """Candidates (as `predictions` has rows, plus action) for the diagnosed questions, each action worked on as one set.
+
+    rebuild_deterministic answers again without a model, resolve_unit_deterministic keeps the unit of the column where no
+    other way is left, regenerate and relink_then_regenerate link again and ask the model; without one they give no row.
+    keep and mark_unsupported give no row either.
+    """
+    d = settle(diagnosis.select("id", "question", "action"))
+    parts = []
+    for actions, model, ignore in ((("rebuild_deterministic",), None, False), (("resolve_unit_deterministic",), None, True), (("regenerate", "relink_then_regenerate"), complete, False)):
+        mine = d.filter(F.col("action").isin(*actions))
+        if (actions[0] == "regenerate" and complete is None) or mine.isEmpty():
+            continue
+        got = predictions(mine.select("id", "question"), rankings.join(mine.select("id"), "id", "left_semi"), tables, companies, model, ignore)
+        parts.append(got.join(mine.select("id", "action"), "id"))
+    if not parts:
+        return predictions(d.limit(0).select("id", "question"), rankings.limit(0), tables.limit(0), companies).withColumn("action", F.lit(None).cast("string"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def repair_all(spark: SparkSession, done: DataFrame, rankings: DataFrame, tables: DataFrame, companies: DataFrame, out: str, complete: Callable[[str], str] | None = None) -> DataFrame:
+    """Repair failures and answers with signs; outcomes are appended under out/outcomes, accepted answers under out/accepted.
+
+    done: predictions. A question whose outcome was accepted, rejected or unsupported before isn't tried again; one that
+    waits for a model (pending) is. Returns all outcomes: id, action, outcome, why, signs_before, signs_after.
+    """
+    path = f"{out}/outcomes"
+    p = done.dropDuplicates(["id"])
+    if exists(spark, f"{path}/_SUCCESS"):
+        p = p.join(spark.read.parquet(path).filter("outcome <> 'pending'").select("id").distinct(), "id", "left_anti")
+    p = settle(p)
+    good = settle(diagnose.diagnosed(diagnose.used_facts(p.filter("executed"))))
+    bad = diagnose.diagnosed_failures(p.filter("not executed"))
+    todo = settle(good.select("id", "question", "action", "codes").unionByName(bad.select("id", "question", "action", "codes")).filter("action <> 'keep'"))
+    got = settle(diagnose.signs(diagnose.used_facts(repaired(todo, rankings, tables, companies, complete))))
+    judged = settle(diagnose.outcomes(got, good.select("id", "codes", "expression", "cells")))
+    tried = judged.select("id", F.when(F.col("accepted"), "accepted").otherwise("rejected").alias("outcome"), "why", "signs_before", "signs_after")
+    j = todo.select("id", "action").join(tried, "id", "left")
+    j = j.withColumn("outcome", F.coalesce("outcome", F.when(F.col("action") == "mark_unsupported", "unsupported").otherwise("pending")))
+    j.write.mode("append").parquet(path)
+    judged.filter("accepted").select(*done.columns).write.mode("append").parquet(f"{out}/accepted")
+    return spark.read.parquet(path)
+
+
+def finalized(spark: SparkSession, done: DataFrame, out: str) -> DataFrame:
+    """done with the accepted answers of `repair_all` in place of the originals."""
+    accepted = spark.read.parquet(f"{out}/accepted") if exists(spark, f"{out}/accepted/_SUCCESS") else done.limit(0)
+    return package.merged(accepted.select(*done.columns).dropDuplicates(["id"]), done).drop("origin")

@@ -124,12 +124,29 @@ def test_signs_and_acceptance(spark):
         [(1, "So với 2019, BBB năm 2020 chênh lệch bao nhiêu", 1e16, ["AAA"], [2018], ["separate"], 1, 1), (2, "Doanh thu hợp nhất AAA 2020", 5.0, ["AAA"], [2020], ["consolidated"], 1, 1), (3, "x", None, [], [], [], 0, 0), (4, None, float("nan"), None, None, None, None, None)],
         "id int, question string, answer double, used_tickers array<string>, used_years array<int>, used_variants array<string>, n_tables int, n_cells int",
     )
-    d = diagnose.signs(p)
-    got = {r.id: r.codes for r in d.collect()}
+    got = {r.id: r.codes for r in diagnose.signs(p).collect()}
     assert got == {1: ["collapse", "entity", "year", "structure", "magnitude"], 2: [], 3: [], 4: ["magnitude"]}
-    c = spark.createDataFrame([(1, 2.0, ["year"]), (2, 5.0, []), (3, 1.0, []), (9, 1.0, ["year"]), (4, None, [])], "id int, answer double, codes array<string>")
-    ok = {r.id: r.ok for r in diagnose.accepted(c, d).collect()}
-    assert ok == {1: True, 2: False, 3: True, 9: False, 4: False}
+    cells = "cells array<struct<table_key:string,row_index:int,column_index:int>>"
+    one = [("t", 1, 1)]
+    o = spark.createDataFrame([(1, ["collapse", "entity"], "x", one), (2, ["year"], "x", one), (5, ["year"], "x", one)], f"id int, codes array<string>, expression string, {cells}")
+    c = spark.createDataFrame(
+        [(1, 2.0, "a - b", one, True, ["year"]), (2, 5.0, "x", one, True, []), (3, 1.0, "x", one, True, []), (9, 1.0, "x", one, True, ["year"]), (4, None, None, [], False, []), (5, 1.0, "y", one, True, ["year"]), (6, float("nan"), "x", one, True, [])],
+        f"id int, answer double, expression string, {cells}, executed boolean, codes array<string>",
+    )
+    got = {r.id: (r.accepted, r.why) for r in diagnose.outcomes(c, o).collect()}
+    assert got == {1: (True, "fewer signs"), 2: (False, "the same plan"), 3: (True, "recovered"), 9: (False, "recovered with signs"), 4: (False, "not executed"), 5: (False, "no fewer signs"), 6: (False, "not a finite number")}
+    assert tuple(diagnose.final_report(o, c.filter("id in (1, 3)")).first()) == (4, 2, 1, 1)
+
+
+def test_actions(spark):
+    base = [(1, "So với 2019, BBB năm 2020 chênh lệch bao nhiêu", 1e16, ["AAA"], [2018], [], 1, 1, "x"), (2, "Doanh thu AAA 2020", 5.0, ["AAA"], [2020], [], 1, 1, "x"), (3, "Doanh thu AAA 2020", 5.0, ["AAA"], [2019], [], 1, 1, "x"), (4, "Công ty nào có doanh thu cao nhất", 1.0, [], [], [], 1, 1, "x"), (5, "AAA năm nào cao nhất, 2019 hay 2020", 2020.0, ["AAA"], [2018], [], 1, 1, "2020.0"), (6, "Tỷ lệ nợ", 1.0, [], [], [], 1, 1, "x")]
+    p = spark.createDataFrame(base, "id int, question string, answer double, used_tickers array<string>, used_years array<int>, used_variants array<string>, n_tables int, n_cells int, expression string")
+    got = {r.id: (r.action, r.budget) for r in diagnose.diagnosed(p).collect()}
+    assert got == {1: ("relink_then_regenerate", 2), 2: ("keep", 0), 3: ("rebuild_deterministic", 1), 4: ("mark_unsupported", 0), 5: ("keep", 0), 6: ("regenerate", 2)}
+    f = spark.createDataFrame([(1, "x", "no unambiguous source unit"), (2, "x", "no operand of the asked year"), (3, "x", "not JSON: y"), (4, "Ngân hàng nào lớn nhất", None), (5, "x", None)], "id int, question string, reason string")
+    assert {r.id: r.action for r in diagnose.diagnosed_failures(f).collect()} == {1: "resolve_unit_deterministic", 2: "relink_then_regenerate", 3: "regenerate", 4: "mark_unsupported", 5: "regenerate"}
+    ids = spark.createDataFrame([("AAA_financial_statements_2020_separate",), ("AAA_financial_statements_2020",), ("AAA_2020",)], "r string")
+    assert [tuple(r) for r in ids.select(*[c.alias(k) for k, c in diagnose.strict_parts(F.col("r")).items()]).collect()] == [("AAA", 2020, "separate"), ("AAA", 2020, None), (None, None, None)]
 
 
 @pytest.mark.parametrize("hot", [5, 10**6])

@@ -134,3 +134,30 @@ def test_units_in_four_steps(spark):
     none = F.array().cast(df.schema["column_metadata"].dataType)
     got = [r.s[1] for r in df.select(ground.column_scales(F.col("grid"), F.coalesce("column_metadata", none), F.col("detected_units")).alias("s")).collect()]
     assert got == [10**9, 1000, 10**6, None]
+
+
+def test_repair_from_failure_to_final(spark, tmp_path):
+    """A unit nobody states is resolved, a question of several cells waits for a model and then is answered, the rest stays."""
+    q, pairs = everything(spark, [a for a in ASKED if a[0] in (1, 3, 7)] + [(11, "Công ty nào có vốn chủ sở hữu lớn nhất?")])
+    t, c, out = tables(spark), companies(spark), str(tmp_path)
+    done = jobs.predictions(q, pairs, t, c)
+    first = {r.id: (r.action, r.outcome) for r in jobs.repair_all(spark, done, pairs, t, c, out).collect()}
+    assert first[3] == ("resolve_unit_deterministic", "accepted") and first[7] == ("regenerate", "pending") and 1 not in first and first[11][1] == "unsupported"
+    both = {r.id: r.outcome for r in jobs.repair_all(spark, done, pairs, t, c, out, complete=plan_of).filter("outcome <> 'pending'").collect()}
+    assert both == {3: "accepted", 7: "accepted", 11: "unsupported"}
+    final = {r.id: r.answer for r in jobs.finalized(spark, done, out).collect()}
+    assert final[1] == 1.5 and final[3] == 1100.0 and final[7] == 1495.0 and len(final) == 4
+
+
+def test_evaluation_over_a_fixture(spark):
+    from ledgerloom.operators import metrics
+
+    ranked = spark.createDataFrame([(1, "a|1", 1), (1, "a|2", 2), (1, "b|1", 3), (2, "c|1", 1)], "query_id int, key string, rank int")
+    want = spark.createDataFrame([(1, "b|1"), (1, "a|9"), (2, "d|1"), (3, "e|1")], "query_id int, key string")
+    doc = F.regexp_extract("key", r"^(.*)\|", 1)
+    got = {r.level: (round(r.recall_macro, 6), round(r.mrr, 6)) for r in metrics.sheet(ranked, want, doc).collect()}
+    assert got == {"tables": (round(0.5 / 3, 6), round(1 / 9, 6)), "documents": (round(1 / 3, 6), round(1 / 3, 6))}
+    ks = {r.k: (r.n_queries, round(r.recall_macro, 6)) for r in metrics.at_ks(ranked, want, (1, 3)).collect()}
+    assert ks == {1: (3, 0.0), 3: (3, round(0.5 / 3, 6))}
+    text = spark.createDataFrame([(0.5, "so (3.0 - 2) / 2"), (50.0, "(3 - 2) / 2 * 100, first (9 - 1)/1"), (1.5, "1500000 VND / 1e6"), (2.0, "1500000 / 1e6"), (None, "(3 - 2) / 2"), (1.0, "x"), (1.0, None), (1.0, "(1 - 1) / 0")], "e double, t string")
+    assert [r.s for r in text.select(metrics.derivation_status(F.col("e"), F.col("t")).alias("s")).collect()] == ["pass", "fail", "pass", "fail", "no_expected_answer", "no_formula", "no_formula", "no_formula"]
