@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..functions.text import number
-from ..operators import diagnose as D, index as I, link as L, metrics as M, normalize as N, package as K, plan as P, rank as R, retrieve as V, scope as S
+from ..operators import index as I, link as L, metrics as M, normalize as N, package as K, plan as P, rank as R, retrieve as V, scope as S
 from ..session import table
 from ..streaming.ingest import windowed_counts
 from . import jobs
@@ -336,14 +336,15 @@ def g_coordinate_errors(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _judged(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    """Nearest vectors as retrieved, vectors of the same label as relevant."""
+    """Nearest vectors as retrieved, vectors of the same label in the same block of a hundred ids as relevant."""
     e, q = _vectors(spark, sf)
-    rel = q.select("query_id", "scope").join(e.select(F.col("doc_id").alias("key"), "scope"), "scope").select("query_id", "key")
+    block = lambda c: F.floor(F.col(c) / 100)
+    rel = q.select("query_id", "scope", block("query_id").alias("b")).join(e.select(F.col("doc_id").alias("key"), "scope", block("doc_id").alias("b")), ["scope", "b"]).select("query_id", "key")
     return _knn(spark, sf, False).select("query_id", F.col("doc_id").alias("key"), "rank"), rel
 
 
 _JUDGED = f"""got AS (SELECT query_id, doc_id AS key, rank FROM {_knn_sql("true")}),
-rel AS (SELECT q.vec_id AS query_id, d.vec_id AS key FROM embeddings q JOIN embeddings d USING (label) WHERE q.vec_id % 20 = 0),
+rel AS (SELECT q.vec_id AS query_id, d.vec_id AS key FROM embeddings q JOIN embeddings d ON d.label = q.label AND d.vec_id // 100 = q.vec_id // 100 WHERE q.vec_id % 20 = 0),
 hit AS (SELECT query_id, count(*) AS n_correct FROM got JOIN rel USING (query_id, key) GROUP BY 1),
 base AS (SELECT query_id, count(*) AS n_relevant FROM rel GROUP BY 1), ret AS (SELECT query_id, count(*) AS n_retrieved FROM got GROUP BY 1),
 s AS (SELECT query_id, coalesce(n_retrieved, 0) AS n_retrieved, n_relevant, coalesce(n_correct, 0) AS n_correct FROM base LEFT JOIN ret USING (query_id) LEFT JOIN hit USING (query_id)),
@@ -364,11 +365,11 @@ def m_macro(spark: SparkSession, sf: str) -> DataFrame:
     return m.select("n_queries", *[F.round(c, 6).alias(c) for c in ("precision_macro", "recall_macro", "f2_macro", "f2_projected")])
 
 
-@query(f"""WITH {_JUDGED}, x AS (SELECT s.*, e.label, CASE WHEN n_relevant > 60 THEN 'wide' ELSE 'narrow' END AS width FROM scores s JOIN embeddings e ON e.vec_id = query_id)
+@query(f"""WITH {_JUDGED}, x AS (SELECT s.*, e.label, CASE WHEN n_relevant > 8 THEN 'wide' ELSE 'narrow' END AS width FROM scores s JOIN embeddings e ON e.vec_id = query_id)
 SELECT label, width, count(*) AS n_queries, round(avg(recall), 6) AS recall_macro, round(avg(f2), 6) AS f2_macro FROM x GROUP BY GROUPING SETS ((label), (width))""")
 def m_breakdown(spark: SparkSession, sf: str) -> DataFrame:
     s = M.prf(*_judged(spark, sf)).join(_vectors(spark, sf)[1].select("query_id", F.col("scope").alias("label")), "query_id")
-    s = s.withColumn("width", F.when(F.col("n_relevant") > 60, "wide").otherwise("narrow"))
+    s = s.withColumn("width", F.when(F.col("n_relevant") > 8, "wide").otherwise("narrow"))
     return M.breakdown(s, "label", "width").select("label", "width", "n_queries", F.round("recall_macro", 6).alias("recall_macro"), F.round("f2_macro", 6).alias("f2_macro"))
 
 
@@ -453,24 +454,6 @@ def e_merged(spark: SparkSession, sf: str) -> DataFrame:
     return K.merged(cited, _best_answers(spark, sf)).select("id", "answer", "origin")
 
 
-def _predictions(spark: SparkSession, sf: str) -> DataFrame:
-    t = _one_delivery(_tables(spark, sf)).select("table_key", "ticker", "year", "variant")
-    used = _pairs(spark, sf).join(t, "table_key").groupBy("id").agg(
-        F.array_sort(F.collect_set("ticker")).alias("used_tickers"), F.array_sort(F.collect_set("year")).alias("used_years"), F.array_sort(F.collect_set("variant")).alias("used_variants"), F.count("*").alias("n_tables"), F.count("*").alias("n_cells")
-    )
-    return _asked(spark, sf).join(_best_answers(spark, sf), "id").join(used, "id")
-
-
-@query()
-def r_signs(spark: SparkSession, sf: str) -> DataFrame:
-    return D.signs(_predictions(spark, sf)).select("id", "codes")
-
-
-@query()
-def r_sign_summary(spark: SparkSession, sf: str) -> DataFrame:
-    return D.summary(D.signs(_predictions(spark, sf)))
-
-
 @query("SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY ALL")
 def t_hourly_events(spark: SparkSession, sf: str) -> DataFrame:
     e = windowed_counts(table(spark, sf, "events"))
