@@ -111,7 +111,7 @@ def cell_text(grid: Column) -> Column:
 
 
 def _listed(values: Column, most: int) -> Column:
-    return F.transform(F.slice(F.array_distinct(F.filter(values, lambda t: t.isNotNull() & (t != ""))), 1, most), truncated)
+    return F.transform(F.slice(F.array_distinct(F.filter(values, lambda t: t.isNotNull() & (t != ""))), 1, most), lambda t: truncated(t))
 
 
 def retrieval_text(ticker, company, year, variant, section, captions, units, periods, columns, rows) -> Column:
@@ -126,7 +126,7 @@ def retrieval_text(ticker, company, year, variant, section, captions, units, per
         named("YEAR", year, ("0",)),
         named("VARIANT", variant, ("unspecified",)),
         named("SECTION", section, ("unclassified",)),
-        part("CAPTION", F.transform(F.coalesce(captions, none), truncated), " | "),
+        part("CAPTION", F.transform(F.coalesce(captions, none), lambda t: truncated(t)), " | "),
         part("UNIT", F.coalesce(units, none), ", "),
         part("PERIODS", _listed(F.transform(periods, lambda p: p["label"]), MAX_PERIODS), " | "),
         part("COLUMNS", _listed(F.transform(columns, lambda m: m["header_path"]), MAX_HEADERS), " | "),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from ..functions.text import number
+from ..functions.text import ONE_DST, ONE_SRC, number
 from ..operators import index as I, link as L, metrics as M, normalize as N, package as K, plan as P, rank as R, retrieve as V, scope as S
 from ..session import table
 from ..streaming.ingest import windowed_counts
@@ -128,12 +128,45 @@ def s_literal_tickers(spark: SparkSession, sf: str) -> DataFrame:
     return _scoped(spark, sf)[1].select(F.col("query_id").alias("id"), F.col("scope").alias("ticker"))
 
 
-@query()
+def _fold_sql(c: str) -> str:
+    src, dst = (x.replace("'", "''") for x in (ONE_SRC, ONE_DST))
+    return f"lower(replace(replace(strip_accents(translate({c}, '{src}', '{dst}')), 'đ', 'd'), 'Đ', 'D'))"
+
+
+def _name_words(c: str) -> str:
+    noise = "(" + ", ".join(f"'{w}'" for w in S.PHRASE_NOISE) + ")"
+    return f"list_transform(list_filter({words_sql(c)}, lambda t: t NOT IN {noise}), lambda t: {_fold_sql('t')})"
+
+
+_PHRASES = f"""nm AS (SELECT ticker, {_name_words("name")} AS c FROM companies),
+n1 AS (SELECT ticker, c, len(c) AS n, unnest(range(1, len(c) + 1)) AS s FROM nm WHERE len(c) > 0),
+n2 AS (SELECT *, unnest(range(1, n - s + 2)) AS w FROM n1),
+rn AS (SELECT ticker, n, s, w, array_to_string(c[s:s + w - 1], ' ') AS run, list_max(list_transform(c[s:s + w - 1], lambda t: length(t))) AS longest FROM n2),
+q0 AS (SELECT id, question, {_name_words("question")} AS t FROM {_DQ}),
+q1 AS (SELECT id, t, unnest(range(1, len(t) + 1)) AS s FROM q0),
+q2 AS (SELECT id, t, s, unnest(range(1, greatest(1, least((SELECT max(w) FROM rn), len(t) - s + 1)) + 1)) AS w FROM q1),
+q3 AS (SELECT DISTINCT id, array_to_string(t[s:s + w - 1], ' ') AS run FROM q2),
+b0 AS (SELECT id, ticker, n, run, w, longest FROM q3 JOIN rn USING (run) QUALIFY row_number() OVER (PARTITION BY id, ticker ORDER BY w DESC, s) = 1),
+b1 AS (SELECT * FROM b0 WHERE (n = 1 AND w = 1 AND longest >= 4) OR (w = n AND w >= 2) OR (w * 2 >= n AND (w >= 4 OR (w >= 3 AND longest >= 5)))),
+ph AS (SELECT id, ticker FROM b1 a WHERE NOT EXISTS (SELECT 1 FROM b1 o WHERE o.id = a.id AND o.w > a.w AND contains(' ' || o.run || ' ', ' ' || a.run || ' ')))"""
+_PLAIN_NAME = f"list_distinct(list_filter({words_sql('name')}, lambda t: t NOT IN ({', '.join(repr(w) for w in S.NAME_NOISE)})))"
+_RESOLVED = f"""{_PHRASES},
+lt AS (SELECT id, list(DISTINCT code) AS literal FROM (SELECT id, unnest({_CODES}) AS code FROM {_DQ}) WHERE code IN (SELECT ticker FROM companies) GROUP BY 1),
+pp AS (SELECT id, list(DISTINCT ticker) AS phrase, list_distinct(flatten(list(c))) AS words FROM ph JOIN nm USING (ticker) GROUP BY 1),
+pl AS (SELECT ticker, {_PLAIN_NAME} AS plain FROM companies),
+ov AS (SELECT id, ticker, any_value(plain) AS plain, count(*) AS n FROM (SELECT id, unnest(list_distinct({words_sql("question")})) AS term FROM {_DQ}) q JOIN (SELECT ticker, plain, unnest(plain) AS term FROM pl) p USING (term) GROUP BY ALL HAVING count(*) >= 3),
+os AS (SELECT id, list(ticker) AS strong FROM ov GROUP BY 1), ob AS (SELECT id, count(*) AS nb, any_value(ticker) AS bt, any_value(plain) AS bp FROM ov o WHERE n = (SELECT max(n) FROM ov i WHERE i.id = o.id) GROUP BY 1),
+rs AS (SELECT id, coalesce(literal, []) AS l, coalesce(phrase, []) AS p, coalesce(strong, []) AS s, words, nb, bt, bp FROM {_DQ} LEFT JOIN lt USING (id) LEFT JOIN pp USING (id) LEFT JOIN os USING (id) LEFT JOIN ob USING (id)),
+resolved AS (SELECT id, list_sort(list_distinct(CASE WHEN len(p) > 0 AND len(l) > 0 THEN list_filter(l, lambda t: NOT coalesce(list_contains(words, lower(t)), false)) || p WHEN len(p) > 0 THEN p WHEN len(l) = 0 THEN s
+  WHEN nb = 1 AND len(list_filter(l, lambda t: list_contains(bp, lower(t)))) > 0 THEN list_filter(l, lambda t: NOT list_contains(bp, lower(t))) || [bt] ELSE l END)) AS tickers FROM rs)"""
+
+
+@query(f"WITH {_PHRASES} SELECT id, ticker FROM ph")
 def s_phrase_matches(spark: SparkSession, sf: str) -> DataFrame:
     return S.phrase_matches(_asked(spark, sf), table(spark, sf, "companies"))
 
 
-@query()
+@query(f"WITH {_RESOLVED} SELECT id, tickers FROM resolved")
 def s_resolved_tickers(spark: SparkSession, sf: str) -> DataFrame:
     return S.resolved_tickers(_asked(spark, sf), table(spark, sf, "companies"))
 
@@ -185,7 +218,16 @@ def k_section_scores(spark: SparkSession, sf: str) -> DataFrame:
     return R.reranked(c, weight=0.0).select("id", "record_id", "score").distinct()
 
 
-@query()
+_RERANKED = f"""
+SELECT query_id, scope, doc_id, score, rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id, scope ORDER BY score DESC, doc_id::VARCHAR) AS rank FROM (
+ SELECT query_id, sc.scope, doc_id, round(score + 24 * coalesce(ov, 0) + CASE WHEN section_header IN ('balance_sheet', 'income_statement', 'cash_flow') THEN 1 ELSE 0 END
+   - CASE WHEN section_header = 'notes' AND contains(lower(coalesce(table_identity, '')), 'bên liên quan') AND NOT contains(lower(coalesce(q.text, '')), 'bên liên quan') THEN 2 ELSE 0 END, 6) AS score
+ FROM sc JOIN queries q USING (query_id, scope) JOIN norm_tables t ON t.record_id = sc.doc_id,
+ LATERAL (SELECT max(CASE WHEN len(list_distinct(qw || lw)) = 0 THEN 0 ELSE len(list_intersect(qw, lw)) / len(list_distinct(qw || lw))::DOUBLE END) AS ov
+   FROM (SELECT list_distinct({words_sql("q.text")}) AS qw, list_distinct({words_sql("l.label")}) AS lw FROM (SELECT unnest(t.row_labels[1:{N.MAX_LABELS}]) AS l))))) WHERE rank <= 10"""
+
+
+@query(_bm25_sql(_SCOPED_DOCS, _SCOPED_Q, _RERANKED).replace("dl / avgdl)))), 6) AS score", "dl / avgdl)))), 15) AS score"))
 def k_reranked(spark: SparkSession, sf: str) -> DataFrame:
     docs, q = _scoped(spark, sf)
     t = _tables(spark, sf).select(F.col("record_id").alias("doc_id"), R.label_sets(F.slice(F.transform("row_labels", lambda x: x["label"]), 1, N.MAX_LABELS)).alias("label_sets"), F.col("section_header").alias("section"), F.col("table_identity").alias("identity"))

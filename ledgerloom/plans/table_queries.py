@@ -195,6 +195,37 @@ def n_searchable_text(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "norm_tables").select("record_id", N.cell_text(F.coalesce("grid", F.array().cast("array<array<string>>"))).alias("searchable_text"))
 
 
+_KEPT = "list_filter({0}, lambda x, i: list_position({0}, x) = i)"
+_SHORT = "CASE WHEN length({0}) > 200 THEN left({0}, 199) || '…' ELSE {0} END"
+
+
+def _part(name: str, c: str, most: int) -> str:
+    short = f"list_transform(({c})[1:{most}], lambda x: {_SHORT.format('x')})"
+    return f"CASE WHEN len({c}) > 0 THEN '{name} ' || array_to_string({short}, ' | ') || '.' END"
+
+
+@query(f"""WITH {_CELLS},
+pl AS (SELECT record_id, list(t ORDER BY r, c) AS l FROM cs WHERE r < 6 AND t <> '' AND regexp_matches(t, '(?i){_PERIOD}') GROUP BY 1),
+rl AS (SELECT record_id, list(t ORDER BY r) AS l FROM (SELECT record_id, r, arg_min(t, c) AS t FROM cs WHERE t <> '' AND NOT {_NUM.format("t")} GROUP BY ALL) GROUP BY 1),
+h AS (SELECT record_id, c, t, min(r) AS r FROM cs WHERE r < 6 AND t <> '' AND NOT {_NUM.format("t")} GROUP BY ALL),
+cl AS (SELECT record_id, list(path ORDER BY c) AS l FROM (SELECT record_id, c, string_agg(t, ' | ' ORDER BY r) AS path FROM h GROUP BY ALL) GROUP BY 1),
+st AS (SELECT record_id, string_agg(t, ' ' ORDER BY r, c) AS s FROM cs WHERE t <> '' GROUP BY 1),
+u AS (SELECT n.record_id, regexp_extract_all(concat_ws(' ', coalesce(s, ''), array_to_string(list_filter(caption_context, lambda x: x IS NOT NULL), ' ')), '(?i)({_UNITS})', 1) AS own, regexp_extract_all(coalesce(unit_declaration, ''), '(?i)({_UNITS})', 1) AS said FROM norm_tables n LEFT JOIN st USING (record_id)),
+d AS (SELECT record_id, CASE WHEN len(own) > 0 THEN {_KEPT.format("own")} ELSE {_KEPT.format("said")} END AS units FROM u),
+p AS (SELECT DISTINCT report_id, split_part(report_id, '_', 1) AS ticker, try_cast(regexp_extract(report_id, '(20[0-9]{{2}})', 1) AS INT) AS year, CASE WHEN lower(report_id) LIKE '%consolidated%' THEN 'consolidated' WHEN lower(report_id) LIKE '%separate%' THEN 'separate'
+  WHEN lower(report_id) LIKE '%aggregated%' THEN 'aggregated' WHEN lower(report_id) LIKE '%explanation%' OR lower(report_id) LIKE '%explanatory%' THEN 'explanatory' ELSE 'unspecified' END AS variant FROM norm_tables)
+SELECT n.record_id, d.units AS detected_units, array_to_string(list_filter(coalesce(n.caption_context, []) || [n.section_header], lambda x: x IS NOT NULL), ' | ') AS table_identity,
+ concat_ws(' ', 'TICKER ' || p.ticker || '.', CASE WHEN c.name <> '' THEN 'COMPANY ' || c.name || '.' END, 'YEAR ' || p.year || '.', CASE WHEN p.variant <> 'unspecified' THEN 'VARIANT ' || p.variant || '.' END,
+  CASE WHEN n.section_header NOT IN ('', 'unclassified') THEN 'SECTION ' || n.section_header || '.' END,
+  CASE WHEN len(n.caption_context) > 0 THEN 'CAPTION ' || array_to_string(list_transform(n.caption_context, lambda x: {_SHORT.format("x")}), ' | ') || '.' END,
+  CASE WHEN len(d.units) > 0 THEN 'UNIT ' || array_to_string(d.units, ', ') || '.' END, {_part("PERIODS", _KEPT.format("pl.l"), N.MAX_PERIODS)}, {_part("COLUMNS", _KEPT.format("cl.l"), N.MAX_HEADERS)}, {_part("ROWS", _KEPT.format("rl.l"), N.MAX_LABELS)}) AS retrieval_text
+FROM norm_tables n JOIN p USING (report_id) JOIN d USING (record_id) LEFT JOIN companies c ON c.ticker = p.ticker LEFT JOIN pl USING (record_id) LEFT JOIN cl USING (record_id) LEFT JOIN rl USING (record_id)""")
+def n_retrieval_text(spark: SparkSession, sf: str) -> DataFrame:
+    """Normalization of the stored candidates: units, identity and the labelled text."""
+    t = table(spark, sf, "norm_tables").select("record_id", "report_id", "line_position", "section_header", "caption_context", F.col("unit_declaration").alias("preceding_unit_declaration"), "grid")
+    return N.normalize(t, table(spark, sf, "companies")).select("record_id", "detected_units", "table_identity", "retrieval_text")
+
+
 @query()
 def n_normalized(spark: SparkSession, sf: str) -> DataFrame:
     c = X.candidates(report_texts(table(spark, sf, "norm_tables")))
