@@ -8,9 +8,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
-from ..functions.text import let, tokens
+from ..functions.text import let, tokens, truncated
 from .blocks import matrix, unit_rows, vector_search
 from .index import STOP_WORDS, ranked
+from .normalize import MAX_LABELS
 
 # Fixed values.
 LABEL_WEIGHT, SECTION_BONUS, RELATED_PENALTY, RRF_K = 24.0, 1.0, 2.0, 60
@@ -29,6 +30,11 @@ def label_sets(labels: Column, stop: tuple[str, ...] = STOP_WORDS) -> Column:
     return F.transform(F.coalesce(labels, F.array().cast("array<string>")), lambda s: token_set(s, stop))
 
 
+def label_text(labels: Column, most: int = MAX_LABELS) -> Column:
+    """Labels as one text: each once, the first `most`, each bounded, joined by bars; what a sidecar of row labels holds."""
+    return F.array_join(F.transform(F.slice(F.array_distinct(F.filter(F.coalesce(labels, F.array().cast("array<string>")), lambda t: t.isNotNull() & (t != ""))), 1, most), lambda t: truncated(t)), " | ")
+
+
 def label_overlap(q: Column, sets: Column) -> Column:
     """Largest Jaccard overlap of the question's token set with one label's; 0 where either is empty."""
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import join_checked, settle
 from . import index as I, rank as R, scope as S
@@ -25,16 +25,20 @@ def question_scopes(questions: DataFrame, companies: DataFrame) -> DataFrame:
     return q.select("id", "question", "n_companies", F.when(F.col("ticker").isNull(), EVERYWHERE).otherwise(scope).alias("scope"))
 
 
+def table_scopes() -> Column:
+    """All scopes that a table (ticker, year, variant) stands in: everywhere, and its company with or without year and variant."""
+    year, any_ = F.col("year").cast("string"), F.lit("*")
+    own = [F.concat_ws("|", "ticker", y, v) for y in (any_, year) for v in (any_, F.col("variant"))]
+    return F.array_compact(F.array_distinct(F.array(F.lit(EVERYWHERE), *[F.when(F.col("ticker").isNotNull(), c) for c in own])))
+
+
 def scoped_documents(tables: DataFrame, companies: DataFrame, scopes: DataFrame) -> DataFrame:
     """(scope, doc_id, t) of the tables in each scope that is asked for, each table's tokens worked out once; a scope without tables has no row and never falls back."""
     t = tables.select("table_key", "ticker", "year", "variant", "searchable_text")
     t = join_checked(t, companies.select("ticker", "name"), "ticker", "left", 100)
-    year, any_ = F.col("year").cast("string"), F.lit("*")
-    own = [F.concat_ws("|", "ticker", y, v) for y in (any_, year) for v in (any_, F.col("variant"))]
-    kept = F.array_distinct(F.array(F.lit(EVERYWHERE), *[F.when(F.col("ticker").isNotNull(), c) for c in own]))
     text = I.enriched([F.col("ticker"), F.col("name"), F.col("year")], F.col("searchable_text"))
     asked = scopes.select("scope").distinct()
-    wanted = t.select("table_key", F.explode(F.array_compact(kept)).alias("scope"))
+    wanted = t.select("table_key", F.explode(table_scopes()).alias("scope"))
     wanted = join_checked(wanted, asked, "scope", "left_semi", 64).groupBy("table_key").agg(F.collect_list("scope").alias("scopes"))  # five at most
     held = t.select("table_key", I.tokens(text, I.STOP_WORDS).alias("t")).join(wanted, "table_key")
     return held.select(F.explode("scopes").alias("scope"), F.col("table_key").alias("doc_id"), "t")

@@ -8,7 +8,7 @@ from ..functions.text import number
 from ..operators import diagnose as D, ground as G, link as L, metrics as M, plan as P, scope as S
 from ..session import settle, table
 from . import jobs
-from .search_queries import _CODES, _DQ, _asked, _knn, _knn_sql, _like, _one_delivery, _pairs, _ranking, _tables, _vectors
+from .search_queries import _CODES, _DQ, _YEARS_SQL, _asked, _knn, _knn_sql, _like, _one_delivery, _pairs, _ranking, _tables, _vectors
 from .table_queries import _CELLS, _NUM, _STRIP, _UNITS, number_sql, scale_sql
 
 QUERIES: dict = {}
@@ -45,11 +45,7 @@ def _concept_steps() -> str:
 
 
 _HEAD = f"left(coalesce({_STRIP.format('o.grid[1][cs.c + 1]')}, ''), 160)"
-_YEARS = r"""yq AS (SELECT id, coalesce(question, '') AS q FROM __DQ),
-y1 AS (SELECT id, unnest(regexp_extract_all(q, '\b((?:19|20)[0-9]{2})\b', 1))::INT AS y FROM yq),
-y2 AS (SELECT id, unnest(regexp_extract_all(q, '(?i)\b((?:19|20)[0-9]{2}\s*(?:-|–|—|đến|tới)\s*(?:19|20)[0-9]{2})\b', 1)) AS s FROM yq),
-y3 AS (SELECT id, unnest(range(left(s, 4)::INT, right(s, 4)::INT + 1))::INT AS y FROM y2),
-years AS (SELECT id, coalesce(list_sort(list(y) FILTER (y IS NOT NULL)), []) AS years FROM yq LEFT JOIN (SELECT * FROM y1 UNION SELECT * FROM y3) USING (id) GROUP BY 1)""".replace("__DQ", _DQ)
+_YEARS = _YEARS_SQL
 
 #: CTEs up to ordered: the operands of the tables that answers cite, in order.
 _OPS = f"""one AS (SELECT * FROM norm_tables QUALIFY row_number() OVER (PARTITION BY table_key ORDER BY record_id) = 1),

@@ -176,7 +176,8 @@ def repair_all(spark: SparkSession, done: DataFrame, rankings: DataFrame, tables
     j = todo.select("id", "action").join(tried, "id", "left")
     j = j.withColumn("outcome", F.coalesce("outcome", F.when(F.col("action") == "mark_unsupported", "unsupported").otherwise("pending")))
     j.write.mode("append").parquet(path)
-    judged.filter("accepted").select(*done.columns).write.mode("append").parquet(f"{out}/accepted")
+    kept = judged.filter("accepted").withColumn("run_at", F.current_timestamp()).select(*done.columns)
+    kept.write.mode("append").parquet(f"{out}/accepted")
     return spark.read.parquet(path)
 
 
@@ -184,3 +185,33 @@ def finalized(spark: SparkSession, done: DataFrame, out: str) -> DataFrame:
     """done with the accepted answers of `repair_all` in place of the originals."""
     accepted = spark.read.parquet(f"{out}/accepted") if exists(spark, f"{out}/accepted/_SUCCESS") else done.limit(0)
     return package.merged(accepted.select(*done.columns).dropDuplicates(["id"]), done).drop("origin")
+
+
+def purge(spark: SparkSession, out: str) -> list[str]:
+    """Stored results under out removed (catalog, anomalies, summary, rankings, predictions, evidence, repair); the paths that were there."""
+    fs_path = spark._jvm.org.apache.hadoop.fs.Path
+    gone = []
+    for name in ("catalog", "anomalies", "summary", "rankings", "predictions", "evidence", "repair"):
+        p = fs_path(f"{out}/{name}")
+        if p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True):
+            gone.append(f"{out}/{name}")
+    return gone
+
+
+def package_records(done: DataFrame) -> DataFrame:
+    """Executed predictions of lookups and extrema as records: id, question, relevant_docs, relevant_tables, evidence (variable, path), query, answer."""
+    e = done.filter("executed and route <> 'model'")
+    evidence = F.transform("used_tables", lambda k, i: F.struct(F.concat(F.lit("t"), (i + 1).cast("string")).alias("variable"), F.concat(F.lit("data/"), F.regexp_replace(k, r"[^A-Za-z0-9_.-]", "_"), F.lit(".csv")).alias("path")))
+    constant = F.col("expression").rlike(r"^[0-9.]+$")
+    query = F.when(constant, F.concat("expression", F.lit(" + 0 * "), package.rendered(F.lit("x"), F.col("cells"), F.col("used_tables")))).otherwise(package.rendered(F.col("expression"), F.col("cells"), F.col("used_tables")))
+    return e.select("id", "question", "relevant_docs", "relevant_tables", evidence.alias("evidence"), query.alias("query"), "answer")
+
+
+def build_package(spark: SparkSession, out: str, allow_partial: bool = False) -> int:
+    """The answers under out as out/package.json; refuses with the errors found, as far as they aren't allowed. Returns the records."""
+    done = spark.read.parquet(f"{out}/predictions").groupBy("id").agg(F.max_by(F.struct("*"), F.struct("executed", "run_at")).alias("p")).select("p.*")
+    records = settle(package_records(done))
+    wrong = package.refusals(done, done, allow_partial).unionByName(package.check_records(records)).limit(20).collect()
+    if wrong:
+        raise ValueError("; ".join(f"{r.id}: {r.error}" for r in wrong))
+    return files.write_single_json(records, f"{out}/package.json", ["id"])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..functions.text import ONE_DST, ONE_SRC, number
-from ..operators import index as I, link as L, metrics as M, normalize as N, package as K, plan as P, rank as R, retrieve as V, scope as S
+from ..operators import dense, index as I, link as L, metrics as M, normalize as N, package as K, plan as P, rank as R, retrieve as V, scope as S
 from ..session import table
 from ..streaming.ingest import windowed_counts
 from . import jobs
@@ -138,6 +138,11 @@ def _name_words(c: str) -> str:
     return f"list_transform(list_filter({words_sql(c)}, lambda t: t NOT IN {noise}), lambda t: {_fold_sql('t')})"
 
 
+_YEARS_SQL = r"""yq AS (SELECT id, coalesce(question, '') AS q FROM __DQ),
+y1 AS (SELECT id, unnest(regexp_extract_all(q, '\b((?:19|20)[0-9]{2})\b', 1))::INT AS y FROM yq),
+y2 AS (SELECT id, unnest(regexp_extract_all(q, '(?i)\b((?:19|20)[0-9]{2}\s*(?:-|–|—|đến|tới)\s*(?:19|20)[0-9]{2})\b', 1)) AS s FROM yq),
+y3 AS (SELECT id, unnest(range(left(s, 4)::INT, right(s, 4)::INT + 1))::INT AS y FROM y2),
+years AS (SELECT id, coalesce(list_sort(list(y) FILTER (y IS NOT NULL)), []) AS years FROM yq LEFT JOIN (SELECT * FROM y1 UNION SELECT * FROM y3) USING (id) GROUP BY 1)""".replace("__DQ", _DQ)
 _PHRASES = f"""nm AS (SELECT ticker, {_name_words("name")} AS c FROM companies),
 n1 AS (SELECT ticker, c, len(c) AS n, unnest(range(1, len(c) + 1)) AS s FROM nm WHERE len(c) > 0),
 n2 AS (SELECT *, unnest(range(1, n - s + 2)) AS w FROM n1),
@@ -286,6 +291,26 @@ def f_backfill(spark: SparkSession, sf: str) -> DataFrame:
     return R.backfilled(_knn(spark, sf, True), _knn(spark, sf, False), 5)
 
 
+@query(f"""WITH v AS (SELECT record_id AS i, list_transform(embedding, lambda x: x::DOUBLE) AS v, t.ticker, t.year, t.variant, t.table_key FROM norm_tables t JOIN embeddings e ON e.vec_id = t.record_id),
+{{resolved}}, {{years}},
+q AS (SELECT id, tickers, years, CASE WHEN {_like("lower(question)", S.SEPARATE_WORDS)} THEN 'separate' WHEN {_like("lower(question)", S.CONSOLIDATED_WORDS)} THEN 'consolidated' END AS want, list_transform(embedding, lambda x: x::DOUBLE) AS qv
+  FROM {_DQ} JOIN resolved USING (id) JOIN years USING (id) JOIN embeddings e ON e.vec_id = id % 500 WHERE id % 20 = 0),
+s AS (SELECT id, i AS table_key, round(list_cosine_similarity(qv, v), 6) AS score FROM q JOIN v ON len(tickers) = 0 OR (list_contains(tickers, ticker) AND (len(years) <> 1 OR coalesce(list_contains(years, year), false)) AND (want IS NULL OR coalesce(variant = want, false))))
+SELECT *, row_number() OVER (PARTITION BY id ORDER BY score DESC, table_key::VARCHAR) AS rank FROM s QUALIFY rank <= 10""".replace("{resolved}", _RESOLVED).replace("{years}", _YEARS_SQL))
+def d_rankings(spark: SparkSession, sf: str) -> DataFrame:
+    """Every twentieth question against all tables that have a vector (by record), in the scopes of the sparse search; a question's vector is that of another text."""
+    e = table(spark, sf, "embeddings").select("vec_id", F.col("embedding").alias("vector"))
+    v = _tables(spark, sf).select(F.col("record_id").alias("doc_id"), "ticker", "year", "variant").join(e, F.col("doc_id") == F.col("vec_id")).drop("vec_id")
+    q = _asked(spark, sf).filter("id % 20 = 0").withColumn("vec_id", F.col("id") % 500).join(e, "vec_id").drop("vec_id")
+    return dense.dense_rankings(q, table(spark, sf, "companies"), v)
+
+
+@query("""SELECT record_id, array_to_string(list_transform((list_filter(l, lambda x, i: list_position(l, x) = i))[1:200], lambda x: CASE WHEN length(x) > 200 THEN left(x, 199) || '…' ELSE x END), ' | ') AS labels
+FROM (SELECT record_id, list_filter(list_transform(coalesce(row_labels, []), lambda y: y.label), lambda x: x IS NOT NULL AND x <> '') AS l FROM norm_tables)""")
+def k_label_texts(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "norm_tables").select("record_id", R.label_text(F.transform("row_labels", lambda x: x["label"])).alias("labels"))
+
+
 # ---- linking
 
 
