@@ -14,7 +14,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ..session import settle
+from ..session import join_checked, settle
 
 #: Units of one block of the flight phase.
 BLOCK = 20_000
@@ -99,7 +99,7 @@ def plan(sizes: DataFrame, targets: DataFrame, total_tokens: float | None = None
     """
     have = sizes.groupBy("source").agg(F.count("*").alias("n_docs"), F.sum("n_tokens").alias("source_tokens"))
     t = targets.filter("source is not null and target_share > 0 and max_repeats > 0")
-    j = settle(F.broadcast(t).join(have, "source", "left").fillna(0, ["n_docs", "source_tokens"]))
+    j = settle(t.join(have, "source", "left").fillna(0, ["n_docs", "source_tokens"]))
     if total_tokens is None:
         got = j.filter("source_tokens > 0").agg(F.min(F.col("max_repeats") * F.col("source_tokens") / F.col("target_share"))).first()[0]
         total_tokens = float(got or 0.0)
@@ -116,7 +116,7 @@ def mixture(sizes: DataFrame, targets: DataFrame, total_tokens: float | None = N
     """
     sizes = settle(sizes.select("doc_id", "source", "n_tokens"))
     p = settle(plan(sizes, targets, total_tokens).select("source", "n_docs", "mean_uses"))
-    d = sizes.join(F.broadcast(p), "source")  # as small as targets
+    d = join_checked(sizes, p, "source", "inner", 64)  # as many rows as targets
     whole = F.floor(F.col("mean_uses") + _EPS)
     d = d.withColumn("whole", whole.cast("int")).withColumn("prob", F.greatest(F.col("mean_uses") - whole, F.lit(0.0)))
     kind = sizes.schema["doc_id"].dataType.simpleString()

@@ -122,7 +122,7 @@ def fill(packed: DataFrame, packs: DataFrame) -> DataFrame:
     """Per pack: windows, documents' tokens, the share of the room that is filled, the fewest windows possible, and the most segments and loss-bearing tokens in one window."""
     w = packed.groupBy("pack_name", "window_id").agg(F.sum("n_tokens").alias("t"), F.count("*").alias("s"), F.sum("n_loss").alias("l"))
     w = w.groupBy("pack_name").agg(F.count("*").alias("n_windows"), F.sum("t").alias("n_tokens"), F.max("s").alias("most_segments"), F.max("l").alias("most_loss"))
-    return w.join(F.broadcast(packs), "pack_name").select(
+    return w.join(packs, "pack_name").select(
         "pack_name", "capacity_tokens", "n_windows", "n_tokens", "most_segments", "most_loss",
         F.ceil(F.col("n_tokens") / F.col("capacity_tokens")).alias("least_windows"),
         (F.col("n_tokens") / (F.col("n_windows") * F.col("capacity_tokens"))).alias("filled"),
