@@ -48,7 +48,7 @@ def table_year(year: Column, report_id: Column) -> Column:
 
 def with_vnd(df: DataFrame, rates: DataFrame, value: str, phrase: str, year: str, out: str) -> DataFrame:
     """df plus column out: value in VND; null where unit, number or rate is missing. rates is a fixed, small table."""
-    r = F.broadcast(rates.select(F.col("currency").alias("_cur"), F.col("fx_year").alias("_fy"), F.col("vnd_per_unit").alias("_rate")))
+    r = rates.select(F.col("currency").alias("_cur"), F.col("fx_year").alias("_fy"), F.col("vnd_per_unit").alias("_rate"))
     df = df.withColumn("_c", currency_of(F.col(phrase)))
     df = df.join(r, (F.col("_c") == F.col("_cur")) & (F.col(year) == F.col("_fy")), "left")
     rate = F.when(F.col("_c") == "VND", F.lit(1.0)).otherwise(F.col("_rate"))

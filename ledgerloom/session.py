@@ -50,11 +50,15 @@ def settle(df: DataFrame) -> DataFrame:
 
 
 def join_checked(left: DataFrame, right: DataFrame, on, how: str, row_bytes: int, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """Join with right broadcast if its counted size is below limit, else a shuffle join.
+    """Join with right broadcast if its measured size is below limit, else a shuffle join.
 
-    right should be settled or cheap, since it is counted here.
+    Rows are counted and the widest row's texts, arrays and structs measured, with row_bytes as the least width of a row;
+    no more rows are read than fit. right should be settled or cheap.
     """
-    if right.limit(limit // row_bytes + 1).count() * row_bytes <= limit:
+    wide = [F.octet_length(f.name) if f.dataType.typeName() == "string" else F.length(F.to_json(F.struct(f.name))) for f in right.schema if f.dataType.typeName() in ("string", "array", "struct", "map")]
+    width = F.max(sum((F.coalesce(w, F.lit(0)) for w in wide), F.lit(0))) if wide else F.lit(0)
+    n, most = right.limit(limit // row_bytes + 1).agg(F.count("*"), width).first()
+    if n * max(row_bytes, (most or 0) + 16 * len(right.columns)) <= limit:
         right = F.broadcast(right)
     return left.join(right, on, how)
 

@@ -21,18 +21,25 @@ def report_stream(spark: SparkSession, folder: str, files_per_trigger: int = 100
 
 
 def ingest(spark: SparkSession, folder: str, out: str, state: str) -> StreamingQuery:
-    """Run over what is there and stop. Each batch writes the tables of its reports under out/report_id=...
+    """Run over what is there and stop. Each batch writes the tables of its reports under out/batch=...
 
-    A batch that is run again after a loss replaces exactly the same folders, so every table stands once.
+    A batch that is run again after a loss replaces exactly its own folder, so every table of it stands once; there are as
+    many folders as batches, not as reports. `latest` has the tables of reports that came again.
     """
 
-    def write(batch: DataFrame, _: int) -> None:
-        tables = candidates(batch).withColumn("table_key", F.concat_ws("|", "report_id", F.col("line_position").cast("string")))
-        tables.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("report_id").parquet(out)
+    def write(batch: DataFrame, number: int) -> None:
+        tables = candidates(batch).withColumn("table_key", F.concat_ws("|", "report_id", F.col("line_position").cast("string"))).withColumn("batch", F.lit(number))
+        tables.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(out)
 
     return report_stream(spark, folder).writeStream.foreachBatch(write).option("checkpointLocation", state).trigger(availableNow=True).start()
 
 
+def latest(tables: DataFrame) -> DataFrame:
+    """Of reports that came in several batches the tables of the last one."""
+    last = tables.groupBy("report_id").agg(F.max("batch").alias("batch"))
+    return tables.join(last, ["report_id", "batch"], "left_semi")
+
+
 def windowed_counts(events: DataFrame, size: str = "1 hour", late: str = "1 day") -> DataFrame:
     """Events per window and type, for streams and tables alike; events later than `late` are dropped by a stream only."""
     events = events.withColumn("ts", F.col("ts").cast("timestamp"))

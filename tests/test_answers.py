@@ -166,6 +166,13 @@ def test_checked_join_is_the_same_either_way(spark, limit):
     assert ("BroadcastHashJoin" in j._jdf.queryExecution().executedPlan().toString()) or limit == 1
 
 
+def test_wide_rows_are_measured(spark):
+    """Few rows of long texts are too much to broadcast though their count is small."""
+    a, b = spark.range(50), spark.createDataFrame([(i, "x" * 1000) for i in range(50)], "id bigint, t string")
+    plan = lambda limit: session.join_checked(a, b, "id", "inner", 8, limit)._jdf.queryExecution().optimizedPlan().toString()
+    assert "broadcast" in plan(100_000) and "broadcast" not in plan(10_000)
+
+
 def test_settle_cuts_the_plan(spark):
     d = session.settle(spark.range(5).withColumn("x", F.col("id") * 2))
     assert "Scan ExistingRDD" in d._jdf.queryExecution().executedPlan().toString() and d.count() == 5

@@ -130,6 +130,7 @@ def test_stream_equals_batch_and_repeats_nothing(spark, tmp_path):
     ingest.ingest(spark, str(tmp_path / "in"), out, state).awaitTermination()
     ingest.ingest(spark, str(tmp_path / "in"), out, state).awaitTermination()
     streamed = sorted((r.table_key, r.n_rows) for r in spark.read.parquet(out).collect())
+    assert len({p.name for p in (tmp_path / "out").iterdir() if p.is_dir()}) == 2 and ingest.latest(spark.read.parquet(out)).count() == 6
     batch = extract.candidates(extract.read_reports(spark, str(tmp_path / "in")))
     assert streamed == sorted((f"{r.report_id}|{r.line_position}", r.n_rows) for r in batch.collect()) and len(streamed) == 6
 
