@@ -170,6 +170,8 @@ class Matcher:
             for k, g in enumerate(grams(s)):
                 self.index[g, k].append(s)
         self.seen: dict[str, tuple[str | None, int]] = {}
+        self.touching: dict[str, bool] = {}
+        self.blurs: dict[str, list[tuple[str, str, frozenset[str]]]] = {}
 
         # Token sets of each entry, under the tokens of its brand and those with one letter left out.
         self.sets: dict[str, tuple[set[str], list[set[str]]]] = {}
@@ -334,7 +336,7 @@ class Matcher:
         for kind, phrases in (("S", self.classes), ("L", _LEGAL_WORDS)):
             i = 0
             while i < len(out):
-                n = next((n for n in range(min(phrases.longest, len(out) - i), 0, -1) if " ".join(folded[i : i + n]) in phrases.all and all(w.near for w in out[i + 1 : i + n])), 0)
+                n = next((n for n in range(min(phrases.longest.get(folded[i], 0), len(out) - i), 0, -1) if " ".join(folded[i : i + n]) in phrases.all and all(w.near for w in out[i + 1 : i + n])), 0)
                 said = " ".join(folded[i : i + n])
                 # Short forms look like everyday words unless they stand in capitals or with a point.
                 if n and not (kind == "L" and (said == "ma" or said in ("co", "ct", "cp", "nh", "inc", "ltd") and not out[i].raw[0].isupper())):
@@ -368,7 +370,7 @@ class Matcher:
             elif known:
                 w.kind, w.edge = "W", True
             else:
-                w.edge = w.titled and not headline or not common and (len(w.fold) < 3 or any(v in self.near for v in dropped(w.fold)))
+                w.edge = w.titled and not headline or not common and (len(w.fold) < 3 or w.fold in _SECTOR_WORDS or self.touches(w.fold))
         for i, w in enumerate(out):  # an everyday word that stands in capitals beside a word of a name
             if w.kind == "W" and w.titled and (i and w.near and out[i - 1].kind in ("B", "C", "S", "L") or i + 1 < len(out) and out[i + 1].near and (out[i + 1].kind in ("B", "C") or out[i + 1].kind == "W" and out[i + 1].titled)):
                 w.kind, w.common = "B", False
@@ -379,6 +381,14 @@ class Matcher:
                     w.kind = "C"
         return out
 
+    def touches(self, word: str) -> bool:
+        """Whether a word is at most a slip away from a word of the list's names."""
+        if word not in self.touching:
+            if len(self.touching) > _REMEMBERED:
+                self.touching.clear()
+            self.touching[word] = any(v in self.near for v in dropped(word))
+        return self.touching[word]
+
     def mark_blurred(self, out: list["Word"]) -> None:
         """Sectors and legal forms with one slip of typing."""
         for i, first in enumerate(out):
@@ -397,15 +407,22 @@ class Matcher:
                 if len(solid) > 30:
                     break
                 if len(solid) > 3 and not w.kind and (some or j == i and w.low not in _COMMON):
-                    for v in dropped(solid):
-                        for kind, x, parts in self.blurred.get(v, ()):
-                            # Of several words one at least stands as it is.
-                            if (j == i if len(parts) == 1 and not first.kind else any(o.fold in parts for o in out[i : j + 1])) and (len(x) > 5 or first.titled or j + 1 < len(out) and out[j + 1].near and out[j + 1].fold in self.syllables) and edits(solid, x.replace(" ", ""), 1) <= 1:
-                                hit, n = (kind, x), j + 1
+                    for kind, x, parts in self.blurs_of(solid):
+                        # Of several words one at least stands as it is.
+                        if (j == i if len(parts) == 1 and not first.kind else any(o.fold in parts for o in out[i : j + 1])) and (len(x) > 5 or first.titled or j + 1 < len(out) and out[j + 1].near and out[j + 1].fold in self.syllables):
+                            hit, n = (kind, x), j + 1
             if hit:
                 for w in out[i:n]:
                     (w.kind, w.phrase), w.slip = hit, True
 
+    def blurs_of(self, solid: str) -> list[tuple[str, str, frozenset[str]]]:
+        """Sectors and legal forms at most a slip away from letters without blanks."""
+        if solid not in self.blurs:
+            if len(self.blurs) > _REMEMBERED:
+                self.blurs.clear()
+            self.blurs[solid] = list(dict.fromkeys(b for v in dropped(solid) for b in self.blurred.get(v, ()) if edits(solid, b[1].replace(" ", ""), 1) <= 1))
+        return self.blurs[solid]
+
     def spans(self, out: list["Word"]) -> list[tuple[int, int]]:
         """Runs of words that belong together as one name."""
         got: list[tuple[int, int]] = []
@@ -548,11 +565,14 @@ class Word:
 
 
 class Phrases:
-    """Word groups with the length of the longest."""
+    """Word groups by their first word, with the length of the longest that begins with it."""
 
     def __init__(self, phrases):
         self.all = frozenset(phrases)
-        self.longest = max((p.count(" ") + 1 for p in self.all), default=0)
+        self.longest: dict[str, int] = {}
+        for p in self.all:
+            first = p.split(" ", 1)[0]
+            self.longest[first] = max(self.longest.get(first, 0), p.count(" ") + 1)
 
 
 _LEGAL_WORDS = Phrases(LEGAL)
