@@ -12,12 +12,18 @@ from .normalize import MAX_LABELS
 EVERYWHERE = "*"
 
 
-def question_scopes(questions: DataFrame, companies: DataFrame) -> DataFrame:
+def question_scopes(questions: DataFrame, companies: DataFrame, named: DataFrame | None = None) -> DataFrame:
     """(id, question, scope, n_companies): a row per company a question names, or one with scope EVERYWHERE.
 
-    A scope is company|year|variant; the year counts only if exactly one is named, the variant only if one is.
+    named (id, ticker) gives the companies of questions that were resolved elsewhere; entries that aren't on the list are left
+    out, and by default `scope.resolved_tickers` resolves them. A scope is company|year|variant; the year counts only if exactly one is named, the variant only if one is.
     """
-    q = questions.select("id", "question").dropDuplicates(["id"]).join(S.resolved_tickers(questions, companies), "id")
+    q = questions.select("id", "question").dropDuplicates(["id"])
+    if named is None:
+        q = q.join(S.resolved_tickers(questions, companies), "id")
+    else:
+        known = join_checked(named.select("id", "ticker"), companies.select("ticker"), "ticker", "left_semi", 16)
+        q = q.join(known.groupBy("id").agg(F.array_sort(F.collect_set("ticker")).alias("tickers")), "id", "left").withColumn("tickers", F.coalesce("tickers", F.array().cast("array<string>")))
     asked = S.years(F.col("question"))
     year = F.when(F.size(asked) == 1, F.get(asked, F.lit(0)).cast("string"))
     q = q.withColumn("n_companies", F.size("tickers")).withColumn("ticker", F.explode_outer("tickers"))
@@ -44,15 +50,15 @@ def scoped_documents(tables: DataFrame, companies: DataFrame, scopes: DataFrame)
     return held.select(F.explode("scopes").alias("scope"), F.col("table_key").alias("doc_id"), "t")
 
 
-def ranked_tables(questions: DataFrame, tables: DataFrame, companies: DataFrame, k: int = 10, most: int = S.TICKER_CAP) -> DataFrame:
+def ranked_tables(questions: DataFrame, tables: DataFrame, companies: DataFrame, k: int = 10, most: int = S.TICKER_CAP, named: DataFrame | None = None) -> DataFrame:
     """(id, pos, scope, table_key, score, part): the tables for each question, company after company.
 
     Per company the k best tables by BM25 in its scope, label overlap and section, then, where the
     question names two concepts or more, the best new ones for each concept, up to `most` in all. Scores
     of different companies don't compare. A question without a company searches everywhere; only the
-    best max(20 k, 200) are reranked there. tables: one row per table_key.
+    best max(20 k, 200) are reranked there. tables: one row per table_key. named: see `question_scopes`.
     """
-    scopes = settle(question_scopes(questions, companies))
+    scopes = settle(question_scopes(questions, companies, named))
     wanted = scopes.join(S.concepts(questions.select("id", "question").dropDuplicates(["id"])), "id")
     tops = F.when((F.size("concepts") >= 2) & (F.col("scope") != EVERYWHERE), F.col("concepts")).otherwise(F.array().cast("array<string>"))
     q = wanted.select("id", "scope", "n_companies", F.posexplode(F.concat(F.array("question"), tops)).alias("part", "text"))

@@ -40,6 +40,9 @@ def test_ranked_tables(spark):
     assert "B|1" in by[3] and "A|1" in by[3]  # everywhere
     assert by[4][-1] == "B|1" and by[4][0].startswith("A|") and by[5] == [] and by[6] == []
     assert retrieve.ranked_tables(q.limit(0), tables(spark), companies(spark)).count() == 0
+    named = spark.createDataFrame([(3, "BBB"), (3, "NONE"), (5, "NONE")], "id int, ticker string")
+    got = retrieve.ranked_tables(q, tables(spark), companies(spark), k=3, named=named).collect()
+    assert {r.table_key for r in got if r.id == 3} == {"B|1"} and {r.scope for r in got if r.id in (1, 5)} == {"*"}
 
 
 def test_another_issuers_tables_change_nothing(spark):
