@@ -226,7 +226,21 @@ def n_retrieval_text(spark: SparkSession, sf: str) -> DataFrame:
     return N.normalize(t, table(spark, sf, "companies")).select("record_id", "detected_units", "table_identity", "retrieval_text")
 
 
-@query()
+_HEADING = "CASE section_header " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in HEADINGS.items()) + " ELSE 'Phụ lục' END"
+_LINE = "regexp_replace({}, '[\\r\\n]+', ' ', 'g')"
+
+
+@query(f"""WITH {_BLOCKS},
+nt AS (SELECT record_id, report_id, line_no, coalesce(sec, 'unclassified') AS section_header, unit AS unit_declaration, [{_HEADING}] || CASE WHEN unit_declaration IS NULL THEN [] ELSE [{_STRIP.format(_LINE.format("unit_declaration"))}] END || ['Mục ' || record_id] AS caption_context,
+   coalesce(list_transform(grid, lambda r: list_transform(r, lambda c: {_STRIP.format(_LINE.format("coalesce(c, '')"))})), []) AS grid FROM p),
+base AS ({ORACLE["n_retrieval_text"].replace("norm_tables", "nt")}), {_CELLS.replace("norm_tables", "nt")},
+hd AS (SELECT record_id, r, count(*) FILTER (t <> '') AS filled, count(*) FILTER (t <> '' AND {_NUM.format("t")}) AS nums FROM cs WHERE r < 6 GROUP BY ALL),
+dp AS (SELECT record_id, coalesce(min(r) FILTER (filled = 0 OR nums > 0), max(r) + 1)::INT AS header_depth FROM hd GROUP BY 1)
+SELECT report_id || '|' || line_no::INT AS table_key, split_part(report_id, '_', 1) AS ticker, try_cast(regexp_extract(report_id, '(20[0-9]{{2}})', 1) AS INT) AS year,
+ CASE WHEN lower(report_id) LIKE '%consolidated%' THEN 'consolidated' WHEN lower(report_id) LIKE '%separate%' THEN 'separate' WHEN lower(report_id) LIKE '%aggregated%' THEN 'aggregated'
+  WHEN lower(report_id) LIKE '%explanation%' OR lower(report_id) LIKE '%explanatory%' THEN 'explanatory' ELSE 'unspecified' END AS variant, try_cast(regexp_extract(report_id, '_([0-9]{{1,2}})$', 1) AS INT) AS part,
+ detected_units, table_identity, coalesce(header_depth, 0) AS header_depth, left(sha256(to_json(grid)::VARCHAR), 16) AS content_hash, retrieval_text
+FROM nt JOIN base USING (record_id) LEFT JOIN dp USING (record_id)""")
 def n_normalized(spark: SparkSession, sf: str) -> DataFrame:
     c = X.candidates(report_texts(table(spark, sf, "norm_tables")))
     return N.normalize(c, table(spark, sf, "companies")).select("table_key", "ticker", "year", "variant", "part", "detected_units", "table_identity", "header_depth", "content_hash", "retrieval_text")
