@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.text import composed, tokens
-from ..session import join_checked
+from ..session import join_checked, settle
 from . import link as L, plan as P
 from .normalize import column_metadata, unit_scale
 from .scope import code_words, variant, years
@@ -162,19 +162,25 @@ def rendered(mode: Column, answer: Column, factor: Column) -> Column:
     return F.when(mode == "year", answer.cast("string")).when(factor == 1, F.lit("x")).otherwise(F.concat(F.lit("x * "), factor.cast("string")))
 
 
-def routed(questions: DataFrame, pairs: DataFrame, tables: DataFrame, companies: DataFrame, ops: DataFrame, ignore_unit: bool = False) -> DataFrame:
-    """Every question with the way it is answered: id, question, family, tickers, route, table_key, row_index, column_index, answer, expression, unit, reason.
-
-    route: extremum, lookup, or model for questions of several cells, which have no answer here. ops: ordered operands with
-    source_scale of the tables in pairs (id, table_key).
-    """
+def routes(questions: DataFrame, pairs: DataFrame, tables: DataFrame, companies: DataFrame) -> DataFrame:
+    """(id, question, family, tickers, route) of every question: extremum, lookup, or model for questions of several cells."""
     q = questions.select("id", "question").dropDuplicates(["id"])
     av = available_tickers(pairs, tables)
     none = F.array().cast("array<string>")
     q = q.join(av, "id", "left").withColumn("available", F.coalesce("available", none)).join(precise_tickers(q, av, companies), "id")
     q = q.withColumn("family", L.family(F.col("question"), F.col("available")))
     extreme = P.extremum(F.col("question"), years(F.col("question"))).isNotNull()
-    q = q.withColumn("route", F.when(F.col("family") != "direct_lookup", "model").when(extreme, "extremum").otherwise("lookup"))
+    route = F.when(F.col("family") != "direct_lookup", "model").when(extreme, "extremum").otherwise("lookup")
+    return q.select("id", "question", "family", "tickers", route.alias("route"))
+
+
+def routed(questions: DataFrame, pairs: DataFrame, tables: DataFrame, companies: DataFrame, ops: DataFrame, ignore_unit: bool = False) -> DataFrame:
+    """Every question with the way it is answered: id, question, family, tickers, route, table_key, row_index, column_index, answer, expression, unit, reason.
+
+    Routes are those of `routes`; questions for a model have no answer here. ops: ordered operands with source_scale of the
+    tables in pairs (id, table_key).
+    """
+    q = settle(routes(questions, pairs, tables, companies))
     asked = lambda r: q.filter(F.col("route") == r).select("id", "question", "tickers")
     one = lookups(ops, asked("lookup"), ignore_unit).withColumn("mode", F.lit("value"))
     got = one.unionByName(extrema(ops, asked("extremum"), ignore_unit)).withColumn("expression", F.when(F.col("reason").isNull(), rendered(F.col("mode"), F.col("answer"), F.col("factor"))))

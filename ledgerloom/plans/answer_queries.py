@@ -154,8 +154,7 @@ def _linked(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFra
 
 @query(f"WITH {_ALL} SELECT id, question, family, tickers, route FROM routes")
 def g_routes(spark: SparkSession, sf: str) -> DataFrame:
-    pairs, t, ops = _linked(spark, sf)
-    return G.routed(_asked(spark, sf), pairs, t, table(spark, sf, "companies"), ops).select("id", "question", "family", "tickers", "route")
+    return G.routes(_asked(spark, sf), _pairs(spark, sf), _one_delivery(_tables(spark, sf)), table(spark, sf, "companies"))
 
 
 @query(f"""WITH {_ALL} SELECT id, CASE WHEN reason IS NULL THEN table_key END AS table_key, CASE WHEN reason IS NULL THEN r END AS row_index, CASE WHEN reason IS NULL THEN c END AS column_index, CASE WHEN reason IS NULL THEN x END AS numeric_value,
@@ -163,7 +162,7 @@ def g_routes(spark: SparkSession, sf: str) -> DataFrame:
 def g_lookups(spark: SparkSession, sf: str) -> DataFrame:
     """Lookup questions answered from the tables that answers cite, or the reason why not."""
     pairs, t, ops = _linked(spark, sf)
-    r = settle(G.routed(_asked(spark, sf), pairs, t, table(spark, sf, "companies"), ops).filter("route = 'lookup'").select("id", "question", "tickers"))
+    r = settle(G.routes(_asked(spark, sf), pairs, t, table(spark, sf, "companies")).filter("route = 'lookup'").select("id", "question", "tickers"))
     return G.lookups(ops, r).select("id", "table_key", "row_index", "column_index", "numeric_value", F.round("answer", 6).alias("answer"), "unit", "reason")
 
 
