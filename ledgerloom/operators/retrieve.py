@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..session import join_checked, settle
 from . import index as I, rank as R, scope as S
 from .normalize import MAX_LABELS
+from .together import MOST_TOGETHER, best_in_scopes
 
 #: Scope of questions that name no company on the list.
 EVERYWHERE = "*"
@@ -38,40 +39,33 @@ def table_scopes() -> Column:
     return F.array_compact(F.array_distinct(F.array(F.lit(EVERYWHERE), *[F.when(F.col("ticker").isNotNull(), c) for c in own])))
 
 
-def scoped_documents(tables: DataFrame, companies: DataFrame, scopes: DataFrame) -> DataFrame:
-    """(scope, doc_id, t) of the tables in each scope that is asked for, each table's tokens worked out once; a scope without tables has no row and never falls back."""
-    t = tables.select("table_key", "ticker", "year", "variant", "searchable_text")
+def scoped_documents(tables: DataFrame, companies: DataFrame) -> DataFrame:
+    """(doc_id, scopes, t, label_sets, section, identity) of the tables, each table's tokens worked out once; a scope without tables never falls back."""
+    t = tables.select("table_key", "ticker", "year", "variant", "searchable_text", "row_labels", "section_header", "table_identity")
     t = join_checked(t, companies.select("ticker", "name"), "ticker", "left", 100)
     text = I.enriched([F.col("ticker"), F.col("name"), F.col("year")], F.col("searchable_text"))
-    asked = scopes.select("scope").distinct()
-    wanted = t.select("table_key", F.explode(table_scopes()).alias("scope"))
-    wanted = join_checked(wanted, asked, "scope", "left_semi", 64).groupBy("table_key").agg(F.collect_list("scope").alias("scopes"))  # five at most
-    held = t.select("table_key", I.tokens(text, I.STOP_WORDS).alias("t")).join(wanted, "table_key")
-    return held.select(F.explode("scopes").alias("scope"), F.col("table_key").alias("doc_id"), "t")
+    labels = R.label_sets(F.slice(F.transform("row_labels", lambda x: x["label"]), 1, MAX_LABELS))
+    return t.select(F.col("table_key").alias("doc_id"), table_scopes().alias("scopes"), I.tokens(text, I.STOP_WORDS).alias("t"), labels.alias("label_sets"), F.col("section_header").alias("section"), F.col("table_identity").alias("identity"))
 
 
-def ranked_tables(questions: DataFrame, tables: DataFrame, companies: DataFrame, k: int = 10, most: int = S.TICKER_CAP, named: DataFrame | None = None) -> DataFrame:
+def ranked_tables(questions: DataFrame, tables: DataFrame, companies: DataFrame, k: int = 10, most: int = S.TICKER_CAP, named: DataFrame | None = None, together: int = MOST_TOGETHER) -> DataFrame:
     """(id, pos, scope, table_key, score, part): the tables for each question, company after company.
 
     Per company the k best tables by BM25 in its scope, label overlap and section, then, where the
     question names two concepts or more, the best new ones for each concept, up to `most` in all. Scores
     of different companies don't compare. A question without a company searches everywhere; only the
     best max(20 k, 200) are reranked there. tables: one row per table_key. named: see `question_scopes`.
+    together: see `together.MOST_TOGETHER`.
     """
     scopes = settle(question_scopes(questions, companies, named))
     wanted = scopes.join(S.concepts(questions.select("id", "question").dropDuplicates(["id"])), "id")
     tops = F.when((F.size("concepts") >= 2) & (F.col("scope") != EVERYWHERE), F.col("concepts")).otherwise(F.array().cast("array<string>"))
     q = wanted.select("id", "scope", "n_companies", F.posexplode(F.concat(F.array("question"), tops)).alias("part", "text"))
     q = settle(q.withColumn("query_id", F.concat_ws("#", F.col("id").cast("string"), F.col("part").cast("string"))))
-    docs = settle(scoped_documents(tables, companies, scopes))
-    # Everywhere and by company apart, so that each is scored once and only the window of the former moves on.
-    all_, own = F.col("scope") == EVERYWHERE, F.col("scope") != EVERYWHERE
-    near = I.top_documents(docs.filter(all_), q.filter(all_), max(20 * k, 200)).drop("rank")
-    found = I.bm25(docs.filter(own), q.filter(own)).unionByName(near)
-    labels = R.label_sets(F.slice(F.transform("row_labels", lambda x: x["label"]), 1, MAX_LABELS))
-    about = tables.select(F.col("table_key").alias("doc_id"), labels.alias("label_sets"), F.col("section_header").alias("section"), F.col("table_identity").alias("identity"))
-    asked = q.select("query_id", "scope", "id", "part", "n_companies", F.col("text").alias("question"), R.token_set(F.col("text")).alias("q_set"))
-    scored = R.reranked(found.join(asked, ["query_id", "scope"]).join(about, "doc_id"))
+    # A part after the first has its own, smaller budget; the best for the larger one hold it.
+    deep = max(k, S.CONCEPT_BUDGET)
+    found = best_in_scopes(scoped_documents(tables, companies), q.select("query_id", "scope", "text"), deep, EVERYWHERE, max(20 * k, 200), most=together)
+    scored = found.join(q.select("query_id", "scope", "id", "part", "n_companies"), ["query_id", "scope"])
     budget = F.when(F.col("part") == 0, k).otherwise(S.concept_budget(F.col("n_companies")))
     best = I.ranked(scored, None, ("query_id", "scope")).filter(F.col("rank") <= budget)
     first = Window.partitionBy("id", "scope", "doc_id").orderBy("part")

@@ -3,11 +3,12 @@
 import math
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.text import number, tokens, truncated
-from ledgerloom.operators import index, link, metrics, package, plan, rank, scope
+from ledgerloom.operators import index, link, metrics, package, plan, rank, scope, together
 
 
 def one(spark, expr, text):
@@ -213,3 +214,27 @@ def test_vectors_without_direction_fail(spark, bad):
     q = spark.createDataFrame([(1, [1.0, 0.0, 0.0, 1.0])], "query_id bigint, vector array<float>")
     with pytest.raises(Exception, match="without direction|different lengths"):
         rank.nearest(d, q, 5).collect()
+
+
+def _scoped_sides(spark, words=40, n=300):
+    rng = np.random.default_rng(5)
+    text = lambda size: [f"w{x}" for x in rng.integers(0, words, size)]
+    docs = [(f"d{i}", ["*", "ab"[i % 2]], text(rng.integers(0, 20)), [text(rng.integers(0, 4)) for _ in range(rng.integers(0, 4))], ["notes", "balance_sheet", None][i % 3], ["Bên liên quan", None][i % 2]) for i in range(n)]
+    docs = [(*d[:3], [list(dict.fromkeys(x)) for x in d[3]], *d[4:]) for d in docs]
+    queries = [(i, s, " ".join(text(6)) + (" bên liên quan" if i % 4 == 0 else "")) for i in range(30) for s in (["*"], ["a", "b"], ["none"])[i % 3]] + [(90, "a", None), (91, "*", "w1 w1 w1"), (92, "a", "unknown")]
+    return spark.createDataFrame(docs, "doc_id string, scopes array<string>, t array<string>, label_sets array<array<string>>, section string, identity string"), spark.createDataFrame(queries, "query_id int, scope string, text string")
+
+
+@pytest.mark.parametrize("pairs", [50_000_000, 100])
+def test_pairs_scored_together_equal_joins(spark, monkeypatch, pairs):
+    monkeypatch.setattr(together, "PAIRS", pairs)  # 100 cuts the queries of a scope into blocks
+    docs, q = _scoped_sides(spark)
+    by = lambda most: sorted(map(tuple, index.ranked(together.best_in_scopes(docs, q, 5, "*", 40, most=most), 5, ("query_id", "scope"), 6).collect()))
+    got = by(1000)
+    assert len(got) > 100 and got == by(0)
+
+
+def test_no_row_for_every_pair(spark):
+    docs, q = _scoped_sides(spark, words=5, n=2000)
+    n = together.best_in_scopes(docs, q, 5, "*", 40).groupBy("query_id", "scope").count()
+    assert n.count() > 20 and n.agg(F.max("count")).first()[0] < 100
