@@ -238,3 +238,10 @@ def test_no_row_for_every_pair(spark):
     docs, q = _scoped_sides(spark, words=5, n=2000)
     n = together.best_in_scopes(docs, q, 5, "*", 40).groupBy("query_id", "scope").count()
     assert n.count() > 20 and n.agg(F.max("count")).first()[0] < 100
+
+
+def test_reranking_moves_no_scored_pairs(spark):
+    from ledgerloom.plans.search_queries import k_reranked
+
+    plan = k_reranked(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" in plan and "n_t" not in plan and "label_sets" in plan
