@@ -245,3 +245,32 @@ def test_reranking_moves_no_scored_pairs(spark):
 
     plan = k_reranked(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert "MapInArrow" in plan and "n_t" not in plan and "label_sets" in plan
+
+
+def test_keys_meet_once_for_all_ks(spark):
+    ranked = spark.createDataFrame([(1, "a", 1), (1, "b", 2), (1, "a", 3), (1, "c", 4), (2, "a", 1), (3, "a", 1)], "query_id int, key string, rank int")
+    want = spark.createDataFrame([(1, "b"), (1, "c"), (1, "b"), (2, "z"), (4, "a")], "query_id int, key string")
+    got = metrics.at_ks(ranked, want, (1, 2, 4))
+    for k in (1, 2, 4):
+        one = metrics.macro(metrics.prf(ranked.filter(f"rank <= {k}"), want)).first()
+        assert got.filter(f"k = {k}").select(*one.asDict()).first() == one
+    # Rows are not multiplied by the ks before they are joined.
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate") == 1 and plan.index("Generate") < plan.index("Join")
+
+
+def test_tables_delivered_twice_stay_where_they_lie(spark):
+    from ledgerloom.plans.search_queries import _one_delivery
+
+    t = spark.createDataFrame([("a", "2", "x"), ("a", "1", "y"), ("b", "3", "z"), (None, "4", "n"), ("c", None, "n"), ("d", "5", "v"), ("d", None, "w")], "table_key string, record_id string, grid string")
+    one = _one_delivery(t)
+    assert sorted(map(tuple, one.collect())) == [("a", "1", "y"), ("b", "3", "z"), ("d", "5", "v")]
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan and "SortMergeJoin" not in plan
+
+
+def test_common_words_meet_no_names(spark):
+    companies = spark.createDataFrame([("AAA", "Công ty Alphax Bee Gamma Deltaz"), ("BBB", "Công ty Betaxy"), ("CCC", "Công ty Gamma Omega")], "ticker string, name string")
+    asked = [(1, "Alphax Bee Gamma"), (2, "Bee Gamma"), (3, "Betaxy"), (4, "Gamma Omega và Gamma"), (5, "Alphax x Gamma Deltaz"), (6, "Gamma"), (7, "Bee Gamma Deltaz")]
+    got = scope.phrase_matches(spark.createDataFrame(asked, "id int, question string"), companies)
+    assert sorted(map(tuple, got.collect())) == [(1, "AAA"), (3, "BBB"), (4, "CCC"), (7, "AAA")]
