@@ -70,7 +70,8 @@ def linked_operands(questions: DataFrame, rankings: DataFrame, tables: DataFrame
     """Ordered operands with source_scale of the tables ranked for each question; only those tables are taken apart."""
     wanted = tables.join(rankings.select("table_key").distinct(), "table_key", "left_semi")
     ops = link.operands(questions, rankings.select("id", "table_key"), link.value_cells(wanted))
-    return ground.with_scales(settle(link.ordered(ops, scope.concepts(questions))), wanted)
+    # What nothing reads afterwards isn't shuffled or written.
+    return ground.with_scales(settle(link.ordered(ops, scope.concepts(questions)).drop("raw_value", "asked_years", "asked_variant")), wanted)
 
 
 def predictions(questions: DataFrame, rankings: DataFrame, tables: DataFrame, companies: DataFrame, complete: Callable[[str], str] | None = None, ignore_unit: bool = False, retries: int = 2) -> DataFrame:
