@@ -274,3 +274,50 @@ def test_common_words_meet_no_names(spark):
     asked = [(1, "Alphax Bee Gamma"), (2, "Bee Gamma"), (3, "Betaxy"), (4, "Gamma Omega và Gamma"), (5, "Alphax x Gamma Deltaz"), (6, "Gamma"), (7, "Bee Gamma Deltaz")]
     got = scope.phrase_matches(spark.createDataFrame(asked, "id int, question string"), companies)
     assert sorted(map(tuple, got.collect())) == [(1, "AAA"), (3, "BBB"), (4, "CCC"), (7, "AAA")]
+
+
+def _packed_sides(words=30, n=400):
+    """Queries and a reader of tables of one scope, packed ten tables at a time; many tables are equal but for their names."""
+    import pickle
+
+    import pyarrow as pa
+
+    rng = np.random.default_rng(3)
+    text = lambda size: [f"w{x}" for x in rng.integers(0, words, size)]
+    kinds = [(text(rng.integers(0, 12)), [text(rng.integers(1, 4)) for _ in range(rng.integers(0, 3))]) for _ in range(60)]
+    docs = [{"doc_id": f"d{i}", "scopes": ["*"], "t": kinds[i % 60][0], "label_sets": [list(dict.fromkeys(x)) for x in kinds[i % 60][1]], "bonus": float(i % 2), "related": i % 3 == 0} for i in range(n)]
+    asked = [{"query_id": i, "scope": "*", "t": text(5), "asked": i % 4 == 0, "hash": i} for i in range(25)]
+    given = [f"w{x}" for x in range(words)], ["*"], [0, 1], [0]
+    read = lambda pack, rows, schema: [x for b in pack(iter(pa.Table.from_pylist(rows, pa.schema(schema)).to_batches(max_chunksize=10)), *given) for x in b.column("data").to_pylist()]
+    d = read(together.pack_docs, docs, [("doc_id", pa.string()), ("scopes", pa.list_(pa.string())), ("t", pa.list_(pa.string())), ("label_sets", pa.list_(pa.list_(pa.string()))), ("bonus", pa.float64()), ("related", pa.bool_())])
+    q = read(together.pack_queries, asked, [("query_id", pa.int64()), ("scope", pa.string()), ("t", pa.list_(pa.string())), ("asked", pa.bool_()), ("hash", pa.int64())])
+    return [pickle.loads(x) for x in q], lambda: map(pickle.loads, d)
+
+
+@pytest.mark.parametrize("near", [0, 3, 40, 1000])
+def test_tables_scored_in_shares_equal_all_at_once(monkeypatch, near):
+    asked, read = _packed_sides()
+    of = lambda: sorted(zip(*together._best(asked, read(), 4, near, 9)))
+    whole = of()
+    monkeypatch.setattr(together, "AT_ONCE", 25)
+    shares = of()
+    assert len(whole) > 70 and [x[:2] for x in shares] == [x[:2] for x in whole]
+    assert np.allclose([x[2] for x in shares], [x[2] for x in whole], rtol=0, atol=1e-12)
+
+
+def test_packs_of_a_scope_are_not_held_together():
+    import weakref
+
+    asked, read = _packed_sides()
+    alive, most = [], 0
+
+    def packs():
+        nonlocal most
+        for p in read():
+            alive.append(weakref.ref(p[3]))  # its words
+            most = max(most, sum(x() is not None for x in alive))
+            yield p
+            del p
+
+    assert len(together._best(asked, packs(), 4, 40, 9)[0]) > 90
+    assert len(alive) == 40 and most <= 3
